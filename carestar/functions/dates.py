@@ -12,6 +12,11 @@ LAST_DAY = dt.date(2099, 12, 31)
 OPEN_END = dt.date(9999, 12, 31)
 
 
+def moment(value: dt.datetime) -> Column:
+    """A driver-side time as a literal that no session time zone can shift."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_key(day: Column) -> Column:
     """The integer yyyymmdd; keeps date order, so key ranges equal date ranges."""
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")

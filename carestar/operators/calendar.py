@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.functions.dates import calendar_attributes
+from carestar.functions.dates import calendar_attributes, moment
 from carestar.operators.upsert import insert_missing
 from carestar.schemas import WAREHOUSE
 
@@ -26,7 +26,7 @@ def calendar(
 ) -> DataFrame:
     """One row per day of the inclusive range; the fiscal columns stay NULL."""
     check_range(first, last)
-    stamp = now if now is not None else F.lit(dt.datetime(1900, 1, 1))
+    stamp = now if now is not None else moment(dt.datetime(1900, 1, 1))
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(first), F.lit(last))).alias("full_date")
     )
@@ -38,7 +38,7 @@ def calendar(
 
 def calendar_of(days: DataFrame, day: str, now: Column | None = None) -> DataFrame:
     """Calendar rows for the distinct days of a DataFrame column."""
-    stamp = now if now is not None else F.lit(dt.datetime(1900, 1, 1))
+    stamp = now if now is not None else moment(dt.datetime(1900, 1, 1))
     distinct = days.select(F.col(day).cast("date").alias("full_date")).distinct()
     columns = calendar_attributes(F.col("full_date"))
     return _in_schema(distinct.select(*[c.alias(n) for n, c in columns.items()]), stamp)
@@ -49,8 +49,8 @@ def _in_schema(days: DataFrame, stamp: Column) -> DataFrame:
     filled = (
         days.withColumn("fiscal_year", F.lit(None).cast("smallint"))
         .withColumn("fiscal_quarter", F.lit(None).cast("tinyint"))
-        .withColumn("create_at", stamp.cast("timestamp_ntz"))
-        .withColumn("update_at", stamp.cast("timestamp_ntz"))
+        .withColumn("create_at", stamp)
+        .withColumn("update_at", stamp)
     )
     return filled.select(*schema.names)
 

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column as SparkColumn
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from carestar.functions import text
 from carestar.schemas import Column, Entity
 
 
-def _typed(column: Column, blank_date: str, squash: str) -> SparkColumn:
-    raw = F.col(column.name)
+def _typed(column: Column, blank_date: str, squash: str) -> str:
+    raw, spec = column.name, column.spec
     if column.rule == "id":
-        return text.clipped(raw, column.spec)
+        return text.clipped(raw, spec)
     if column.rule == "text":
-        return text.blank_to_null(text.clipped(raw, column.spec))
+        return text.blank_to_null(text.clipped(raw, spec))
     if column.rule == "flat":
-        flat = F.substring(text.flattened(raw, squash), 1, column.spec)
-        return text.blank_to_null(flat)
+        return text.blank_to_null(f"substring({text.flattened(raw, squash)}, 1, {spec})")
     if column.rule == "when":
-        return text.to_when(raw, column.spec, blank_date)
+        return text.to_when(raw, spec, blank_date)
     if column.rule == "number":
-        return text.to_number(raw, column.spec)
+        return text.to_number(raw, spec)
     raise ValueError(f"unknown rule {column.rule!r}")
 
 
@@ -39,11 +36,11 @@ def clean(
     ``collation`` (for example ``UTF8_LCASE_RTRIM``) makes all text columns, and
     so every later join, group and maximum on them, use that collation.
     """
-    kept = landing.where(F.trim(entity.filter_column) != "")
     projected = []
     for column in entity.columns:
         value = _typed(column, blank_date, squash)
         if collation and isinstance(column.spec, int):
-            value = F.collate(value, collation)
-        projected.append(value.alias(column.name))
-    return kept.select(*projected, "batch_id", "update_at")
+            value = f"collate({value}, '{collation}')"
+        projected.append(f"{value} AS {column.name}")
+    kept = landing.where(f"trim({entity.filter_column}) <> ''")
+    return kept.selectExpr(*projected, "batch_id", "update_at")

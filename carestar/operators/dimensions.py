@@ -13,6 +13,7 @@ from carestar.functions.dates import FIRST_DAY, OPEN_END
 from carestar.functions.hashing import row_fingerprint
 from carestar.operators.surrogate import dense_ids
 from carestar.operators.upsert import insert_missing
+from carestar.sources.literal import one_row
 
 UNKNOWN_KEY = -1
 UNKNOWN_CODE = "UNKNOWN"
@@ -37,10 +38,9 @@ def new_codes(
 
 @dataclass(frozen=True)
 class Versions:
-    """What a type-2 load changes, split by where each row is stored."""
+    """The current versions after a type-2 load."""
 
-    unchanged: DataFrame  # current versions that stay current
-    closed: DataFrame  # versions this load closes
+    carried: DataFrame  # held before; those with a change are closed now
     fresh: DataFrame  # first and follow-up versions this load opens
 
 
@@ -76,14 +76,14 @@ def next_versions(
     )
     compared = current.join(source_hash, current[natural_key] == F.col("_nk"), "left")
     changed = F.col("_source_hash").isNotNull() & (F.col("_source_hash") != F.col("row_hash"))
-    unchanged = compared.where(~changed).select(*current.columns)
-    closed = (
-        compared.where(changed)
-        .withColumn("valid_to", F.date_sub(F.lit(as_of), 1))
-        .withColumn("is_current", F.lit(False))
-        .withColumn("update_at", now)
-        .select(*current.columns)
-    )
+    closed = {
+        "valid_to": F.date_sub(F.lit(as_of), 1),
+        "is_current": F.lit(False),
+        "update_at": now,
+    }
+    carried = compared.withColumns(
+        {name: F.when(changed, new).otherwise(F.col(name)) for name, new in closed.items()}
+    ).select(*current.columns)
 
     current_hash = current.select(
         F.col(natural_key).alias("_nk"), F.col("row_hash").alias("_current_hash")
@@ -103,7 +103,7 @@ def next_versions(
         .drop("_nk", "_current_hash")
     )
     fresh = dense_ids(opened, surrogate_key, [natural_key], after=last_key)
-    return Versions(unchanged, closed, fresh.select(*current.columns))
+    return Versions(carried, fresh.select(*current.columns))
 
 
 def apply_versions(dim: DataFrame, source: DataFrame, **options) -> DataFrame:
@@ -112,17 +112,12 @@ def apply_versions(dim: DataFrame, source: DataFrame, **options) -> DataFrame:
     last_key = dim.agg(F.max(key)).scalar()
     parts = next_versions(dim.where("is_current"), source, last_key=last_key, **options)
     history = dim.where(~F.col("is_current"))
-    return (
-        history.unionByName(parts.closed).unionByName(parts.unchanged).unionByName(parts.fresh)
-    )
+    return history.unionByName(parts.carried).unionByName(parts.fresh)
 
 
 def with_unknown_member(dim: DataFrame, key: str, values: dict[str, object]) -> DataFrame:
     """Add the literal unknown row unless a row with its key is there."""
-    spark = dim.sparkSession
-    schema = dim.schema
-    row = tuple(values.get(field.name) for field in schema)
-    literal = spark.createDataFrame([row], schema)
+    literal = one_row(dim.sparkSession, values, dim.schema)
     return dim.unionByName(insert_missing(dim, literal, [key]))
 
 

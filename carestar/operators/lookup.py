@@ -5,6 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_SEEN = """filter(all, v -> v.key = top.key
+    OR v.valid_from < top.valid_from OR v.valid_to > top.valid_to)"""
+_CUTS = """array_sort(array_distinct(concat(
+    transform(seen, v -> v.valid_from), transform(seen, v -> date_add(v.valid_to, 1)))))"""
+_PIECES = """if(size(seen) = 1,
+    array(named_struct('_from', top.valid_from, '_to', top.valid_to, '_key', top.key)),
+    transform(cuts, (cut, place) -> named_struct(
+        '_from', cut,
+        '_to', date_sub(get(cuts, place + 1), 1),
+        '_key', array_max(filter(seen, v -> cut BETWEEN v.valid_from AND v.valid_to)).key)))"""
+
 
 def timeline(dim: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame:
     """Disjoint day ranges ``(_nk, _from, _to, _key)`` per member.
@@ -15,52 +26,17 @@ def timeline(dim: DataFrame, natural_key: str, surrogate_key: str) -> DataFrame:
     version to a member, so the list of a member is no longer than the number
     of loads, and versions that the top one hides are dropped before they count.
     """
-    version = F.struct(
-        F.col("valid_from"), F.col(surrogate_key).alias("key"), F.col("valid_to")
-    )
+    version = F.expr(f"struct(valid_from, {surrogate_key} AS key, valid_to)")
     members = (
-        dim.where(F.col("valid_from") <= F.col("valid_to"))
+        dim.where("valid_from <= valid_to")
         .groupBy(F.col(natural_key).alias("_nk"))
         .agg(F.collect_list(version).alias("all"), F.max(version).alias("top"))
     )
-    seen = F.filter(
-        "all",
-        lambda v: (v["key"] == F.col("top.key"))
-        | (v["valid_from"] < F.col("top.valid_from"))
-        | (v["valid_to"] > F.col("top.valid_to")),
-    )
-    cuts = F.array_sort(
-        F.array_distinct(
-            F.concat(
-                F.transform("seen", lambda v: v["valid_from"]),
-                F.transform("seen", lambda v: F.date_add(v["valid_to"], 1)),
-            )
-        )
-    )
-
-    def piece(cut: Column, place: Column) -> Column:
-        covering = F.filter(
-            F.col("seen"), lambda v: (v["valid_from"] <= cut) & (v["valid_to"] >= cut)
-        )
-        return F.struct(
-            cut.alias("_from"),
-            F.date_sub(F.get("cuts", place + 1), 1).alias("_to"),
-            F.array_max(covering)["key"].alias("_key"),
-        )
-
-    single = F.array(
-        F.struct(
-            F.col("top.valid_from").alias("_from"),
-            F.col("top.valid_to").alias("_to"),
-            F.col("top.key").alias("_key"),
-        )
-    )
-    pieces = F.when(F.size("seen") == 1, single).otherwise(F.transform("cuts", piece))
     return (
-        members.withColumn("seen", seen)
-        .withColumn("cuts", cuts)
-        .select("_nk", F.inline(pieces))
-        .where(F.col("_key").isNotNull() & F.col("_to").isNotNull())
+        members.selectExpr("_nk", "top", f"{_SEEN} AS seen")
+        .selectExpr("_nk", "top", "seen", f"{_CUTS} AS cuts")
+        .selectExpr("_nk", f"inline({_PIECES})")
+        .where("_key IS NOT NULL AND _to IS NOT NULL")
     )
 
 
@@ -85,11 +61,10 @@ def as_of_lookup(
     ranges = timeline(dim, natural_key, surrogate_key)
     match = (facts[fact_key] == ranges["_nk"]) & on.between(ranges["_from"], ranges["_to"])
     if _binary_text(facts, fact_key):
-        ranges = ranges.withColumn("_hash", F.xxhash64("_nk"))
-        match = match & (F.xxhash64(facts[fact_key]) == F.col("_hash"))
+        match = match & (F.xxhash64(facts[fact_key]) == F.xxhash64(ranges["_nk"]))
     joined = facts.join(ranges, match, "left")
-    keep = [facts[name] for name in facts.columns]
-    return joined.select(*keep, F.col("_key").alias(output or surrogate_key))
+    name = output or surrogate_key
+    return joined.withColumnRenamed("_key", name).select(*facts.columns, name)
 
 
 def _binary_text(df: DataFrame, name: str) -> bool:

@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carestar.functions.dates import moment
 from carestar.operators.upsert import insert_missing, upsert
 from carestar.schemas import CONTROL, ENTITIES
 from carestar.sources.landing import LoadResult, utc_now
+from carestar.sources.literal import few_rows, one_row
 from carestar.sources.store import TableStore
 
 RUN_LOG = "etl_run_log"
@@ -37,8 +39,19 @@ def run_entry(
     params: str | None = None,
 ) -> DataFrame:
     end = end or utc_now()
-    row = (uuid.uuid4().hex, proc_name, batch_id, start, end, status, rows, error, params, end)
-    return spark.createDataFrame([row], CONTROL[RUN_LOG])
+    values = {
+        "log_id": uuid.uuid4().hex,
+        "proc_name": proc_name,
+        "batch_id": batch_id,
+        "start_time": start,
+        "end_time": end,
+        "status": status,
+        "rows_affected": rows,
+        "error_msg": error,
+        "params": params,
+        "created_at": end,
+    }
+    return one_row(spark, values, CONTROL[RUN_LOG])
 
 
 def log_run(store: TableStore, proc_name: str, batch_id: str, status: str, **values) -> None:
@@ -49,14 +62,23 @@ def is_done(store: TableStore, proc_name: str, batch_id: str) -> bool:
     log = store.read_or_none(RUN_LOG)
     if log is None:
         return False
-    batch = store.spark.createDataFrame([(batch_id,)], "batch_id string")
+    batch = store.spark.sql("SELECT 1").select(F.lit(batch_id).alias("batch_id"))
     return not already_succeeded(log, proc_name, batch).isEmpty()
 
 
 def seeded_watermarks(spark: SparkSession, existing: DataFrame | None) -> DataFrame:
     """One row per landing table; missing ones start at 1900-01-01 with no rows."""
-    seeds = spark.createDataFrame(
-        [(e.landing_table, None, NEVER, 0, "SUCCESS") for e in ENTITIES.values()],
+    seeds = few_rows(
+        spark,
+        [
+            {
+                "table_name": entity.landing_table,
+                "last_loaded_at": NEVER,
+                "rows_loaded": 0,
+                "status": "SUCCESS",
+            }
+            for entity in ENTITIES.values()
+        ],
         CONTROL[WATERMARKS],
     )
     if existing is None:
@@ -72,7 +94,7 @@ def updated_watermarks(existing: DataFrame, loads: DataFrame) -> DataFrame:
         F.lit("SUCCESS").alias("status"),
     )
     merged = upsert(
-        as_rows, news, ["table_name"], now=F.lit(NEVER).cast("timestamp_ntz"),
+        as_rows, news, ["table_name"], now=moment(NEVER),
         order="last_loaded_at",
     )
     return merged.select(*existing.columns)
@@ -82,10 +104,16 @@ def record_loads(store: TableStore, batch_id: str, results: list[LoadResult]) ->
     """Watermarks of the tables that loaded or had nothing new."""
     spark = store.spark
     done = [
-        (r.table_name, batch_id, r.end_time, r.rows_loaded, "SUCCESS")
+        {
+            "table_name": r.table_name,
+            "last_batch_id": batch_id,
+            "last_loaded_at": r.end_time,
+            "rows_loaded": r.rows_loaded,
+            "status": "SUCCESS",
+        }
         for r in results
         if r.status in ("SUCCESS", "SKIP")
     ]
-    loads = spark.createDataFrame(done, CONTROL[WATERMARKS])
+    loads = few_rows(spark, done, CONTROL[WATERMARKS])
     held = seeded_watermarks(spark, store.read_or_none(WATERMARKS))
     store.replace(WATERMARKS, updated_watermarks(held, loads).coalesce(1))

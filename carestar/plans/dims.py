@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carestar.functions.dates import moment
 from carestar.operators.dimensions import (
     UNKNOWN_CODE,
     UNKNOWN_KEY,
@@ -19,6 +20,7 @@ from carestar.operators.dimensions import (
 )
 from carestar.operators.surrogate import dense_ids
 from carestar.schemas import WAREHOUSE
+from carestar.sources.literal import no_rows
 
 
 @dataclass(frozen=True)
@@ -30,7 +32,7 @@ class HistoryDim:
     natural_key: str
     tracked: Sequence[str]
     unknown: dict[str, str]
-    source: Callable[[dict[str, DataFrame]], DataFrame]
+    source: Callable[[Mapping[str, DataFrame]], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -43,41 +45,38 @@ class CodeDim:
     unknown: str
 
 
-def _patients(staging: dict[str, DataFrame]) -> DataFrame:
+def _lowered(*names: str) -> list[str]:
+    return [f"{name} AS {name.lower()}" for name in names]
+
+
+def _patients(staging: Mapping[str, DataFrame]) -> DataFrame:
     rows = staging["patients"].where(F.col("Id").isNotNull())
-    named = {
-        "patient_id": "Id",
-        "first_name": "FIRST",
-        "last_name": "LAST",
-        **{c.lower(): c for c in ("BIRTHDATE", "DEATHDATE", "GENDER", "RACE", "ETHNICITY")},
-        **{c.lower(): c for c in ("CITY", "STATE", "ZIP", "COUNTY")},
-        **{c.lower(): c for c in ("HEALTHCARE_EXPENSES", "HEALTHCARE_COVERAGE")},
-    }
-    return rows.select(
-        *[F.col(source).alias(name) for name, source in named.items()],
-        F.year("BIRTHDATE").alias("birth_year"),
+    return rows.selectExpr(
+        "Id AS patient_id",
+        "FIRST AS first_name",
+        "LAST AS last_name",
+        *_lowered("BIRTHDATE", "DEATHDATE", "GENDER", "RACE", "ETHNICITY"),
+        *_lowered("CITY", "STATE", "ZIP", "COUNTY"),
+        *_lowered("HEALTHCARE_EXPENSES", "HEALTHCARE_COVERAGE"),
+        "year(BIRTHDATE) AS birth_year",
     )
 
 
-def _organizations(staging: dict[str, DataFrame]) -> DataFrame:
+def _organizations(staging: Mapping[str, DataFrame]) -> DataFrame:
     rows = staging["organizations"].where(F.col("Id").isNotNull())
     names = ("NAME", "CITY", "STATE", "ZIP", "PHONE", "REVENUE", "UTILIZATION")
-    return rows.select(
-        F.col("Id").alias("organization_id"), *[F.col(n).alias(n.lower()) for n in names]
-    )
+    return rows.selectExpr("Id AS organization_id", *_lowered(*names))
 
 
-def _providers(staging: dict[str, DataFrame]) -> DataFrame:
+def _providers(staging: Mapping[str, DataFrame]) -> DataFrame:
     rows = staging["providers"].where(F.col("Id").isNotNull())
     names = ("NAME", "GENDER", "SPECIALITY", "CITY", "STATE", "ZIP", "UTILIZATION")
-    return rows.select(
-        F.col("Id").alias("provider_id"),
-        F.col("ORGANIZATION").alias("organization_id"),
-        *[F.col(n).alias(n.lower()) for n in names],
+    return rows.selectExpr(
+        "Id AS provider_id", "ORGANIZATION AS organization_id", *_lowered(*names)
     )
 
 
-def _payers(staging: dict[str, DataFrame]) -> DataFrame:
+def _payers(staging: Mapping[str, DataFrame]) -> DataFrame:
     """Payers with their greatest ownership among the coverage periods."""
     periods = staging["payer_transitions"].where(F.col("PAYER").isNotNull())
     owned = periods.groupBy(F.col("PAYER").alias("_payer")).agg(
@@ -86,11 +85,8 @@ def _payers(staging: dict[str, DataFrame]) -> DataFrame:
     rows = staging["payers"].where(F.col("Id").isNotNull())
     names = ("NAME", "CITY", "STATE_HEADQUARTERED", "ZIP", "PHONE")
     sums = ("AMOUNT_COVERED", "AMOUNT_UNCOVERED", "REVENUE", "UNIQUE_CUSTOMERS", "MEMBER_MONTHS")
-    return rows.join(owned, rows["Id"] == owned["_payer"], "left").select(
-        F.col("Id").alias("payer_id"),
-        *[F.col(n).alias(n.lower()) for n in names],
-        "ownership",
-        *[F.col(n).alias(n.lower()) for n in sums],
+    return rows.join(owned, rows["Id"] == owned["_payer"], "left").selectExpr(
+        "Id AS payer_id", *_lowered(*names), "ownership", *_lowered(*sums)
     )
 
 
@@ -150,14 +146,14 @@ CODE_DIMS = (CONDITION_CODE, MEDICATION)
 
 def unknown_row(spark: SparkSession, dim: HistoryDim, now: dt.datetime) -> DataFrame:
     """A dimension that holds its unknown member only: the state before any load."""
-    empty = spark.createDataFrame([], WAREHOUSE[dim.table])
+    empty = no_rows(spark, WAREHOUSE[dim.table])
     values = unknown_version(dim.surrogate_key, dim.natural_key, dim.unknown, now)
     return with_unknown_member(empty, dim.surrogate_key, values)
 
 
 def unknown_code_row(spark: SparkSession, dim: CodeDim, now: dt.datetime) -> DataFrame:
     """The unknown code takes the first ordinary key."""
-    empty = spark.createDataFrame([], WAREHOUSE[dim.table])
+    empty = no_rows(spark, WAREHOUSE[dim.table])
     values = {
         dim.surrogate_key: 1,
         dim.code: UNKNOWN_CODE,
@@ -174,7 +170,7 @@ def history_options(dim: HistoryDim, as_of: dt.date, now: dt.datetime, valid_fro
         "surrogate_key": dim.surrogate_key,
         "tracked": dim.tracked,
         "as_of": as_of,
-        "now": F.lit(now).cast("timestamp_ntz"),
+        "now": moment(now),
         "valid_from": valid_from,
     }
 
@@ -186,15 +182,14 @@ def code_additions(
     codes = new_codes(existing, staging, "CODE", "DESCRIPTION", (dim.code, dim.description))
     last = existing.agg(F.max(dim.surrogate_key)).scalar()
     keyed = dense_ids(codes, dim.surrogate_key, [dim.code], after=last)
-    stamp = F.lit(now).cast("timestamp_ntz")
+    filled = {"create_at": moment(now), "update_at": moment(now)}
     columns = []
     for field in WAREHOUSE[dim.table]:
-        if field.name in keyed.columns:
+        if field.name in (dim.surrogate_key, dim.code, dim.description):
             columns.append(F.col(field.name))
-        elif field.name in ("create_at", "update_at"):
-            columns.append(stamp.alias(field.name))
         else:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            value = filled.get(field.name, F.lit(None).cast(field.dataType))
+            columns.append(value.alias(field.name))
     return keyed.select(*columns)
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.functions.dates import bounded_date_key, date_key
+from carestar.functions.dates import bounded_date_key, date_key, moment
 from carestar.operators.dimensions import UNKNOWN_CODE
 from carestar.operators.lookup import as_of_lookup
 from carestar.operators.surrogate import unique_ids
@@ -20,14 +21,13 @@ _PATIENT_RULES = ("drop", "unknown", "error")
 def conform(df: DataFrame, table: str, now: dt.datetime) -> DataFrame:
     """Columns of the table in order and type, with a row key and the load time."""
     row_key, *_ = WAREHOUSE[table].names
-    keyed = unique_ids(df, row_key).withColumn("load_dts", F.lit(now))
+    keyed = unique_ids(df, row_key).withColumn("load_dts", moment(now))
     columns = []
     for field in WAREHOUSE[table]:
-        value = F.col(field.name)
-        if field.dataType.typeName() != "string":  # keep the collation of text
-            value = value.cast(field.dataType).alias(field.name)
-        columns.append(value)
-    return keyed.select(*columns)
+        name, kind = field.name, field.dataType.simpleString()
+        # Text keeps the collation it has.
+        columns.append(name if kind == "string" else f"CAST({name} AS {kind}) AS {name}")
+    return keyed.selectExpr(*columns)
 
 
 def _with_dimension(
@@ -99,7 +99,7 @@ def encounter_source(encounters: DataFrame, first: dt.date, last: dt.date) -> Da
 
 
 def fact_encounter(
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     warehouse: dict[str, DataFrame],
     first: dt.date,
     last: dt.date,
@@ -145,7 +145,7 @@ def condition_source(
 
 
 def fact_condition(
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     warehouse: dict[str, DataFrame],
     first: dt.date,
     last: dt.date,
@@ -198,7 +198,7 @@ def medication_source(
 
 
 def fact_medications(
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     warehouse: dict[str, DataFrame],
     first: dt.date,
     last: dt.date,

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestar.functions.dates import FIRST_DAY, LAST_DAY, key_of
+from carestar.functions.dates import FIRST_DAY, LAST_DAY, key_of, moment
 from carestar.operators.calendar import calendar, check_range, missing_days
 from carestar.plans import control, daily, dims, facts
 from carestar.schemas import ENTITIES, WAREHOUSE
 from carestar.sources.landing import LandingZone, run_extract, utc_now
+from carestar.sources.literal import no_rows
 from carestar.sources.store import TableStore
 
 LOAD = "warehouse_load"
@@ -69,7 +70,7 @@ def prepare(store: TableStore, now: dt.datetime | None = None) -> None:
     now = now or utc_now()
     spark = store.spark
     if not store.exists("dim_date"):
-        store.replace("dim_date", spark.createDataFrame([], WAREHOUSE["dim_date"]))
+        store.replace("dim_date", no_rows(spark, WAREHOUSE["dim_date"]))
     for dim in dims.HISTORY_DIMS:
         if not store.exists(dim.table):
             store.replace(dim.table, dims.unknown_row(spark, dim, now), "is_current")
@@ -86,7 +87,7 @@ def load_calendar(
     params = f"StartDate={first};EndDate={last}"
     try:
         check_range(first, last)
-        wanted = calendar(store.spark, first, last, F.lit(start))
+        wanted = calendar(store.spark, first, last, moment(start))
         rows = store.append("dim_date", missing_days(store.read("dim_date"), wanted))
     except Exception as error:
         control.log_run(
@@ -110,16 +111,28 @@ def load_history(
     held = store.read(dim.table)
     parts = dims.next_versions(
         held.where("is_current"),
-        dim.source(read_staging(store)),
+        dim.source(Staging(store)),
         last_key=held.agg(F.max(dim.surrogate_key)).scalar(),
         **dims.history_options(dim, as_of, now, valid_from),
     )
-    rows = parts.closed.unionByName(parts.unchanged).unionByName(parts.fresh)
+    rows = parts.carried.unionByName(parts.fresh)
     return store.swap(dim.table, rows, "is_current", drop=lambda value: value == "true")
 
 
-def read_staging(store: TableStore) -> dict[str, DataFrame]:
-    return {name: store.read(entity.staging_table) for name, entity in ENTITIES.items()}
+class Staging(Mapping):
+    """The staging tables by entity name, opened when asked for."""
+
+    def __init__(self, store: TableStore):
+        self._store = store
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._store.read(ENTITIES[name].staging_table)
+
+    def __iter__(self):
+        return iter(ENTITIES)
+
+    def __len__(self) -> int:
+        return len(ENTITIES)
 
 
 def read_dims(store: TableStore) -> dict[str, DataFrame]:
@@ -128,7 +141,7 @@ def read_dims(store: TableStore) -> dict[str, DataFrame]:
 
 
 def load_facts(store: TableStore, first, last, now, options: Options) -> dict[str, int]:
-    staging, warehouse = read_staging(store), read_dims(store)
+    staging, warehouse = Staging(store), read_dims(store)
     low, high = key_of(first), key_of(last)
     builders: dict[str, tuple[Callable[..., DataFrame], str]] = {
         "fact_encounter": (facts.fact_encounter, "encounter_date_key"),

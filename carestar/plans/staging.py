@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestar.functions.dates import moment
 from carestar.operators.clean import clean
 from carestar.operators.upsert import upsert
 from carestar.schemas import ENTITIES, Entity
@@ -28,7 +29,7 @@ def staged(
         target,
         clean(landing, entity, **rules),
         entity.keys,
-        now=F.lit(now).cast("timestamp_ntz"),
+        now=moment(now),
         one_row_per_key=entity.one_row_per_key,
     ).select(*columns)
 

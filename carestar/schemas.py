@@ -288,8 +288,24 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
-def _fields(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": DAY,
+    "decimal(18,2)": MONEY,
+    "decimal(19,2)": T.DecimalType(19, 2),
+    "int": WHOLE,
+    "smallint": T.ShortType(),
+    "string": T.StringType(),
+    "timestamp_ntz": MOMENT,
+    "tinyint": T.ByteType(),
+}
+
+
+def _fields(listing: str) -> T.StructType:
+    """A schema from "name type, name type"; works before a session exists."""
+    pairs = (field.split(" ") for field in listing.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 _VERSION = (

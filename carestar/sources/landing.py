@@ -12,13 +12,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from carestar.functions.dates import moment
 from carestar.functions.hashing import content_fingerprint
 from carestar.schemas import ENTITIES, Entity
 from carestar.sources.csv import read_entity_csv
-
-RESULT_SCHEMA = T.StructType.fromDDL(
-    "table_name string, status string, rows_loaded bigint, error string, "
-    "start_time timestamp_ntz, end_time timestamp_ntz"
+from carestar.sources.literal import few_rows, no_rows
+
+RESULT_SCHEMA = T.StructType(
+    [
+        T.StructField("table_name", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("rows_loaded", T.LongType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("start_time", T.TimestampNTZType()),
+        T.StructField("end_time", T.TimestampNTZType()),
+    ]
 )
 
 
@@ -39,8 +47,8 @@ def utc_now() -> dt.datetime:
 def stamped(rows: DataFrame, batch_id: str, now: dt.datetime) -> DataFrame:
     """Add the batch columns; the time is one value per table and run."""
     return (
-        rows.withColumn("create_at", F.lit(now).cast("timestamp_ntz"))
-        .withColumn("update_at", F.lit(now).cast("timestamp_ntz"))
+        rows.withColumn("create_at", moment(now))
+        .withColumn("update_at", moment(now))
         .withColumn("batch_id", F.lit(batch_id))
     )
 
@@ -62,7 +70,7 @@ class LandingZone:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = self.spark.createDataFrame([], entity.landing_schema)
+            rows = no_rows(self.spark, entity.landing_schema)
         return rows if batch_ids is None else rows.where(F.col("batch_id").isin(*batch_ids))
 
     def append(self, entity: Entity, rows: DataFrame) -> None:
@@ -140,7 +148,7 @@ def run_extract(
 
 
 def results_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
-    return spark.createDataFrame([tuple(asdict(r).values()) for r in results], RESULT_SCHEMA)
+    return few_rows(spark, [asdict(result) for result in results], RESULT_SCHEMA)
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -15,10 +15,12 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carestar.sources.literal import no_rows
+
 _LOAD = "load"
 _MONTH = "month_key"
 
@@ -138,7 +140,10 @@ class TableStore:
             kept = self._read_parts(table, before, edge).where(
                 (F.col(column) < low) | (F.col(column) > high)
             )
-        parts, rows = self._write(table, df, _MONTH, F.floor(F.col(column) / 100).cast("int"), kept)
+        monthly = df if kept is None else df.unionByName(kept)
+        monthly = monthly.withColumn(_MONTH, F.floor(F.col(column) / 100).cast("int"))
+        counted = F.count_if(F.col(column).between(low, high))
+        parts, rows = self._write(table, monthly, _MONTH, counted)
         self._publish(table, before, [*held, *parts], before.schema if before else df.schema)
         return rows
 
@@ -155,7 +160,7 @@ class TableStore:
 
     def _read_parts(self, table: str, snapshot: Snapshot, parts) -> DataFrame:
         if not parts:
-            return self.spark.createDataFrame([], snapshot.schema)
+            return no_rows(self.spark, snapshot.schema)
         folder = self._folder(table)
         schema = T.StructType(list(snapshot.schema))
         if _MONTH not in schema.names:
@@ -167,22 +172,23 @@ class TableStore:
         )
         return rows.select(*snapshot.schema.names)
 
-    def _write(self, table, df, partition=None, value=None, carried=None):
-        """Write one part folder per partition value; AQE sizes the files."""
-        counted = Observation()
-        out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-        if carried is not None:
-            out = out.unionByName(carried)
+    def _write(self, table: str, df: DataFrame, partition: str | None, count: Column | None = None):
+        """Write one part folder per partition value; AQE sizes the files.
+
+        Rows are counted while they are written, as the last step before it.
+        """
+        rows = Observation()
         load = f"{_LOAD}={uuid.uuid4().hex}"
         path = f"{self._folder(table)}/{load}"
+        count = F.count(F.lit(1)) if count is None else count
+        sized = df.hint("rebalance") if partition is None else df.hint("rebalance", partition)
+        writer = sized.observe(rows, count.alias("rows")).write
         if partition is None:
-            out.write.parquet(path)
-            return [load], counted.get["rows"]
-        if value is not None:
-            out = out.withColumn(partition, value)
-        out.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+            writer.parquet(path)
+            return [load], rows.get["rows"]
+        writer.partitionBy(partition).parquet(path)
         parts = [f"{load}/{name}" for name in self._list(path) if "=" in name]
-        return parts, counted.get["rows"]
+        return parts, rows.get["rows"]
 
     def _publish(self, table, before: Snapshot | None, parts, schema: T.StructType) -> None:
         version = before.version + 1 if before else 1
