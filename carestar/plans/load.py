@@ -120,13 +120,19 @@ def load_history(
 
 
 class Staging(Mapping):
-    """The staging tables by entity name, opened when asked for."""
+    """The staging tables by entity name, opened when asked for.
 
-    def __init__(self, store: TableStore):
-        self._store = store
+    Of the tables named in ``by_month`` only the months of the range are opened.
+    """
+
+    def __init__(self, store: TableStore, by_month: tuple[str, ...] = (), low=None, high=None):
+        self._store, self._by_month, self._range = store, by_month, (low, high)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._store.read(ENTITIES[name].staging_table)
+        table = ENTITIES[name].staging_table
+        if name in self._by_month:
+            return self._store.read_months(table, *self._range)
+        return self._store.read(table)
 
     def __iter__(self):
         return iter(ENTITIES)
@@ -141,16 +147,18 @@ def read_dims(store: TableStore) -> dict[str, DataFrame]:
 
 
 def load_facts(store: TableStore, first, last, now, options: Options) -> dict[str, int]:
-    staging, warehouse = Staging(store), read_dims(store)
+    warehouse = read_dims(store)
     low, high = key_of(first), key_of(last)
-    builders: dict[str, tuple[Callable[..., DataFrame], str]] = {
-        "fact_encounter": (facts.fact_encounter, "encounter_date_key"),
-        "fact_condition": (facts.fact_condition, "start_date_key"),
-        "fact_medications": (facts.fact_medications, "start_date_key"),
+    # Conditions and medications look up encounters of any month by id.
+    builders: dict[str, tuple[Callable[..., DataFrame], str, str]] = {
+        "fact_encounter": (facts.fact_encounter, "encounters", "encounter_date_key"),
+        "fact_condition": (facts.fact_condition, "conditions", "start_date_key"),
+        "fact_medications": (facts.fact_medications, "medications", "start_date_key"),
     }
 
     def load(table: str) -> int:
-        build, key = builders[table]
+        build, source, key = builders[table]
+        staging = Staging(store, (source,), low, high)
         rows = build(staging, warehouse, first, last, now, options.on_missing)
         return store.replace_keys(table, rows, key, low, high)
 
@@ -162,10 +170,10 @@ def load_daily_facts(store: TableStore, first, last, now, options: Options) -> d
     stays = store.read("fact_encounter")
     builders: dict[str, Callable[[], DataFrame]] = {
         "fact_encounter_daily": lambda: daily.fact_encounter_daily(
-            store.read_keys("fact_encounter", "encounter_date_key", low, high), first, last, now
+            store.read_months("fact_encounter", low, high), first, last, now
         ),
         "fact_condition_daily": lambda: daily.fact_condition_daily(
-            store.read_keys("fact_condition", "start_date_key", None, high),
+            store.read_months("fact_condition", None, high),
             stays,
             first,
             last,
@@ -173,7 +181,7 @@ def load_daily_facts(store: TableStore, first, last, now, options: Options) -> d
             options.cumulative,
         ),
         "fact_medication_daily": lambda: daily.fact_medication_daily(
-            store.read_keys("fact_medications", "start_date_key", None, high), first, last, now
+            store.read_months("fact_medications", None, high), first, last, now
         ),
     }
 
@@ -216,7 +224,7 @@ def load_warehouse(
             for d in dims.HISTORY_DIMS
         }
         rows |= _together(lambda table: steps[table](), steps, options.parallel)
-        medications = store.read(ENTITIES["medications"].staging_table)
+        medications = Staging(store, ("medications",), key_of(first), key_of(last))["medications"]
         span = facts.medication_span(medications, first, last)
         rows["dim_date"] += load_calendar(store, *span, batch_id)
         rows |= load_facts(store, first, last, now, options)

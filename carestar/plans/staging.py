@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestar.functions.dates import moment
+from carestar.functions.dates import date_key, moment
 from carestar.operators.clean import clean
 from carestar.operators.upsert import upsert
 from carestar.schemas import ENTITIES, Entity
@@ -34,6 +34,17 @@ def staged(
     ).select(*columns)
 
 
+def stage(
+    store: TableStore, entity: Entity, landing: DataFrame, now: dt.datetime, **rules
+) -> int:
+    """Apply landed rows to a stored staging table; returns its new row count."""
+    rows = staged(landing, entity, store.read_or_none(entity.staging_table), now, **rules)
+    if entity.day_column is None:
+        return store.replace(entity.staging_table, rows)
+    month_of = date_key(F.col(entity.day_column))
+    return store.replace(entity.staging_table, rows, month_of=month_of)
+
+
 def transform(
     zone: LandingZone,
     store: TableStore,
@@ -48,9 +59,7 @@ def transform(
     Without ``batch_ids`` all of landing is read; older rows lose against the
     staged ones. Naming the batches not staged yet reads only those.
     """
-    target = store.read_or_none(entity.staging_table)
-    rows = staged(zone.read(entity, batch_ids), entity, target, now or utc_now(), **rules)
-    return store.replace(entity.staging_table, rows)
+    return stage(store, entity, zone.read(entity, batch_ids), now or utc_now(), **rules)
 
 
 def transform_all(

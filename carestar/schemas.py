@@ -44,6 +44,8 @@ class Entity:
     filter_column: str
     # One row per key, or every row of the newest batch that shares the key.
     one_row_per_key: bool
+    # The day that facts of the entity are loaded by; staging is kept by its month.
+    day_column: str | None = None
 
     @property
     def landing_table(self) -> str:
@@ -142,6 +144,7 @@ ENCOUNTERS = Entity(
     ("Id",),
     "Id",
     True,
+    "START",
 )
 
 CONDITIONS = Entity(
@@ -158,6 +161,7 @@ CONDITIONS = Entity(
     ("PATIENT", "START", "CODE"),
     "PATIENT",
     False,
+    "START",
 )
 
 MEDICATIONS = Entity(
@@ -181,6 +185,7 @@ MEDICATIONS = Entity(
     ("PATIENT", "START", "CODE"),
     "PATIENT",
     False,
+    "START",
 )
 
 ORGANIZATIONS = Entity(

@@ -48,6 +48,10 @@ def _value(part: str, name: str) -> str | None:
     return None
 
 
+def _month(key: Column) -> Column:
+    return F.floor(key / 100).cast("int")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -76,8 +80,8 @@ class TableStore:
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
-    def read_keys(self, table: str, column: str, low: int | None, high: int | None) -> DataFrame:
-        """Rows whose date key lies in the range, opening only the months it meets."""
+    def read_months(self, table: str, low: int | None, high: int | None) -> DataFrame:
+        """The months that a range of date keys meets; the others are not opened."""
         snapshot = self._required(table)
         parts = []
         for part in snapshot.parts:
@@ -88,18 +92,23 @@ class TableStore:
                 if high is not None and int(month) > high // 100:
                     continue
             parts.append(part)
-        rows = self._read_parts(table, snapshot, parts)
-        if low is not None:
-            rows = rows.where(F.col(column) >= low)
-        if high is not None:
-            rows = rows.where(F.col(column) <= high)
-        return rows
+        return self._read_parts(table, snapshot, parts)
 
     # -- writing ----------------------------------------------------------
 
-    def replace(self, table: str, df: DataFrame, partition: str | None = None) -> int:
-        """The whole table becomes ``df``; returns the number of rows written."""
-        parts, rows = self._write(table, df, partition)
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        partition: str | None = None,
+        month_of: Column | None = None,
+    ) -> int:
+        """The whole table becomes ``df``; returns the number of rows written.
+
+        ``month_of``, a date key, keeps the table by month instead.
+        """
+        rows = df if month_of is None else df.withColumn(_MONTH, _month(month_of))
+        parts, rows = self._write(table, rows, partition if month_of is None else _MONTH)
         self._publish(table, self.snapshot(table), parts, df.schema)
         return rows
 
@@ -141,7 +150,7 @@ class TableStore:
                 (F.col(column) < low) | (F.col(column) > high)
             )
         monthly = df if kept is None else df.unionByName(kept)
-        monthly = monthly.withColumn(_MONTH, F.floor(F.col(column) / 100).cast("int"))
+        monthly = monthly.withColumn(_MONTH, _month(F.col(column)))
         counted = F.count_if(F.col(column).between(low, high))
         parts, rows = self._write(table, monthly, _MONTH, counted)
         self._publish(table, before, [*held, *parts], before.schema if before else df.schema)
@@ -173,15 +182,17 @@ class TableStore:
         return rows.select(*snapshot.schema.names)
 
     def _write(self, table: str, df: DataFrame, partition: str | None, count: Column | None = None):
-        """Write one part folder per partition value; AQE sizes the files.
+        """Write one part folder per partition value.
 
-        Rows are counted while they are written, as the last step before it.
+        Rows are brought together by month first, in shuffle partitions that AQE
+        sizes and splits, so that not every task writes into every month. Rows
+        are counted as they are written.
         """
         rows = Observation()
         load = f"{_LOAD}={uuid.uuid4().hex}"
         path = f"{self._folder(table)}/{load}"
         count = F.count(F.lit(1)) if count is None else count
-        sized = df.hint("rebalance") if partition is None else df.hint("rebalance", partition)
+        sized = df.hint("rebalance", _MONTH) if partition == _MONTH else df
         writer = sized.observe(rows, count.alias("rows")).write
         if partition is None:
             writer.parquet(path)

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from carestar.plans.staging import staged
+from carestar.plans.staging import stage
 from carestar.schemas import Entity
 from carestar.sources.landing import stamped, utc_now
 from carestar.sources.store import TableStore
@@ -43,8 +43,7 @@ def stream_to_staging(
     def apply(batch: DataFrame, number: int) -> None:
         moment = now or utc_now()
         landed = stamped(batch, f"stream-{number}", moment)
-        target = store.read_or_none(entity.staging_table)
-        store.replace(entity.staging_table, staged(landed, entity, target, moment, **rules))
+        stage(store, entity, landed, moment, **rules)
 
     return (
         csv_stream(store.spark, entity, folder)

@@ -868,6 +868,12 @@ ORACLE = {
        AND date_key NOT BETWEEN 19990301 AND 19990331
     UNION ALL SELECT o_orderkey, date_key, 'X' FROM o
     WHERE date_key BETWEEN 19970115 AND 19970610 AND o_orderkey % 2 = 0""",
+    "replace_range_frame": """
+    SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders
+    WHERE o_orderdate NOT BETWEEN TIMESTAMP '1997-01-15' AND TIMESTAMP '1997-06-10'
+    UNION ALL SELECT o_orderkey, o_orderdate, 'X' FROM orders
+    WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-15' AND TIMESTAMP '1997-06-10'
+      AND o_orderkey % 2 = 0""",
     "load_full": _load_full(),
     "load_partial": _load_partial(),
     "batch_guard": "SELECT 'B' || c_custkey AS batch_id, EXISTS (SELECT 1 FROM orders "

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from carestar.functions import dates, hashing, text
 from carestar.operators import calendar as calendars
-from carestar.operators import dimensions, intervals, quality
+from carestar.operators import dimensions, intervals, quality, ranges
 from carestar.operators.clean import clean
 from carestar.operators.lookup import as_of_lookup
 from carestar.operators.surrogate import dense_ids
@@ -579,6 +579,19 @@ def replace_range(spark, folder):
     return store.read("orders")
 
 
+def replace_range_frame(spark, folder):
+    """The same reload as a plan over two DataFrames."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    low, high = dt.datetime(1997, 1, 15), dt.datetime(1997, 6, 10)
+    reloaded = orders.where(
+        F.col("o_orderdate").between(dates.moment(low), dates.moment(high))
+        & (F.col("o_orderkey") % 2 == 0)
+    ).withColumn("o_orderstatus", F.lit("X"))
+    return ranges.replace_range(
+        orders, reloaded, "o_orderdate", dates.moment(low), dates.moment(high)
+    )
+
+
 def _staged_store(spark, folder, purpose, **rules) -> TableStore:
     root = scratch_dir(spark, purpose)
     zone, store = LandingZone(spark, f"{root}/landing"), TableStore(spark, f"{root}/tables")
@@ -748,6 +761,7 @@ QUERIES = {
     "treatment_islands": treatment_islands,
     "open_orders_daily": open_orders_daily,
     "replace_range": replace_range,
+    "replace_range_frame": replace_range_frame,
     "load_full": load_full,
     "load_partial": load_partial,
     "batch_guard": batch_guard,
