@@ -69,14 +69,16 @@ def prepare(store: TableStore, now: dt.datetime | None = None) -> None:
     """Create the dimensions that do not exist yet, with their unknown members."""
     now = now or utc_now()
     spark = store.spark
-    if not store.exists("dim_date"):
-        store.replace("dim_date", no_rows(spark, WAREHOUSE["dim_date"]))
+    first: dict[str, tuple] = {"dim_date": (no_rows(spark, WAREHOUSE["dim_date"]),)}
     for dim in dims.HISTORY_DIMS:
-        if not store.exists(dim.table):
-            store.replace(dim.table, dims.unknown_row(spark, dim, now), "is_current")
+        first[dim.table] = (dims.unknown_row(spark, dim, now), "is_current")
     for dim in dims.CODE_DIMS:
-        if not store.exists(dim.table):
-            store.replace(dim.table, dims.unknown_code_row(spark, dim, now))
+        first[dim.table] = (dims.unknown_code_row(spark, dim, now),)
+
+    def create(table: str) -> int:
+        return 0 if store.exists(table) else store.replace(table, *first[table])
+
+    _together(create, first, len(first))
 
 
 def load_calendar(

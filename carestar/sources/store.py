@@ -115,6 +115,8 @@ class TableStore:
     def append(self, table: str, df: DataFrame, partition: str | None = None) -> int:
         before = self.snapshot(table)
         parts, rows = self._write(table, df, partition)
+        if before and not rows:
+            return 0
         held = before.parts if before else ()
         self._publish(table, before, [*held, *parts], before.schema if before else df.schema)
         return rows
