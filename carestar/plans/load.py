@@ -35,7 +35,7 @@ class Options:
     valid_from: str = "initial"
     on_missing: str = "drop"
     cumulative: str = "range"
-    parallel: int = 4
+    parallel: int = 8
 
 
 def extract(

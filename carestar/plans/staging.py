@@ -13,7 +13,7 @@ from carestar.operators.clean import clean
 from carestar.operators.upsert import upsert
 from carestar.schemas import ENTITIES, Entity
 from carestar.sources.landing import LandingZone, utc_now
-from carestar.sources.store import TableStore
+from carestar.sources.store import TableMissing, TableStore
 
 
 def staged(
@@ -59,6 +59,8 @@ def transform(
     Without ``batch_ids`` all of landing is read; older rows lose against the
     staged ones. Naming the batches not staged yet reads only those.
     """
+    if not zone.exists(entity):
+        raise TableMissing(f"required table {entity.landing_table} is missing")
     return stage(store, entity, zone.read(entity, batch_ids), now or utc_now(), **rules)
 
 

@@ -63,14 +63,20 @@ class LandingZone:
     def path(self, entity: Entity) -> str:
         return f"{self.root}/{entity.landing_table}"
 
-    def read(self, entity: Entity, batch_ids: list[str] | None = None) -> DataFrame:
-        """All landed rows, or those of some batches (other folders stay closed)."""
+    def exists(self, entity: Entity) -> bool:
         try:
-            rows = self.spark.read.schema(entity.landing_schema).parquet(self.path(entity))
+            self.spark.read.schema(entity.landing_schema).parquet(self.path(entity))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            rows = no_rows(self.spark, entity.landing_schema)
+            return False
+        return True
+
+    def read(self, entity: Entity, batch_ids: list[str] | None = None) -> DataFrame:
+        """All landed rows, or those of some batches (other folders stay closed)."""
+        if not self.exists(entity):
+            return no_rows(self.spark, entity.landing_schema)
+        rows = self.spark.read.schema(entity.landing_schema).parquet(self.path(entity))
         return rows if batch_ids is None else rows.where(F.col("batch_id").isin(*batch_ids))
 
     def append(self, entity: Entity, rows: DataFrame) -> None:
