@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "") -> Column:
-    """Null-safe equality on all key columns (NULL matches NULL)."""
-    pairs = (left[key].eqNullSafe(right[prefix + key]) for key in keys)
-    return reduce(lambda a, b: a & b, pairs)
+def same_key(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str, nullable: bool = True
+) -> Column:
+    """Equality on all key columns; null-safe (NULL matches NULL) if ``nullable``."""
+
+    def pair(key: str) -> Column:
+        ours, theirs = left[key], right[prefix + key]
+        return ours.eqNullSafe(theirs) if nullable else ours == theirs
+
+    return reduce(lambda a, b: a & b, map(pair, keys))
 
 
 def newest_rows(
@@ -35,9 +41,7 @@ def newest_rows(
         )
         ranked = source.withColumn("_rank", F.row_number().over(newest_first))
         return ranked.where("_rank = 1").drop("_rank")
-    newest = source.groupBy(*[F.col(key).alias(f"_n_{key}") for key in keys]).agg(
-        F.max(order).alias("_newest")
-    )
+    newest = source.groupBy(*_prefixed(keys, "_n_")).agg(F.max(order).alias("_newest"))
     match = same_key(source, newest, keys, "_n_") & (source[order] == newest["_newest"])
     return source.join(newest, match, "left_semi")
 
@@ -50,36 +54,57 @@ def upsert(
     now: Column,
     order: str = "update_at",
     one_row_per_key: bool = True,
+    nullable_keys: bool = True,
 ) -> DataFrame:
     """``target`` with the rows of ``source`` applied.
 
     A source row replaces the target row of its key only when its ``order`` is
     later; it then keeps the target's ``create_at``. A source row without a
     target row is inserted with ``create_at = now``. Every other target row
-    stays. When the batch is small the joins broadcast it and the target is
-    scanned without a shuffle.
+    stays.
+
+    Which keys win is settled on keys and times alone, combined map-side; the
+    wide rows of either side are read and moved once. When the batch is small
+    its winners are broadcast and the target is scanned without a shuffle. Keys
+    known not to be NULL join by plain equality, which reuses the partitioning
+    of the ranking.
     """
-    newest = newest_rows(source, keys, order, one_row_per_key)
     if target is None:
-        return newest.withColumn("create_at", now)
+        return newest_rows(source, keys, order, one_row_per_key).withColumn("create_at", now)
 
-    known = target.join(
-        newest.select(*[F.col(key).alias(f"_s_{key}") for key in keys]).distinct(),
-        reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys)),
-        "left_semi",
+    latest = source.groupBy(*_prefixed(keys, "_s_")).agg(F.max(order).alias("_latest"))
+    held = (
+        target.join(latest, same_key(target, latest, keys, "_s_", nullable_keys), "left_semi")
+        .groupBy(*_prefixed(keys, "_t_"))
+        .agg(F.max(order).alias("_held"), F.min("create_at").alias("_made"))
     )
-    held = known.groupBy(*[F.col(key).alias(f"_t_{key}") for key in keys]).agg(
-        F.max(order).alias("_held_order"), F.min("create_at").alias("_held_create")
+    pairs = [(F.col(f"_s_{key}"), F.col(f"_t_{key}")) for key in keys]
+    match = reduce(
+        lambda a, b: a & b, (s.eqNullSafe(t) if nullable_keys else s == t for s, t in pairs)
     )
-    taken = (
-        newest.join(held, same_key(newest, held, keys, "_t_"), "left")
-        .where(F.col("_held_order").isNull() | (F.col("_held_order") < F.col(order)))
-        .withColumn("create_at", F.coalesce("_held_create", now))
-        .select(*target.columns)
+    winners = (
+        latest.join(held, match, "left")
+        .where(F.col("_held").isNull() | (F.col("_held") < F.col("_latest")))
+        .select(
+            *[F.col(f"_s_{key}").alias(f"_w_{key}") for key in keys],
+            "_latest",
+            F.coalesce("_made", now).alias("_made"),
+        )
     )
-    taken_keys = taken.select(*[F.col(key).alias(f"_x_{key}") for key in keys]).distinct()
-    untouched = target.join(taken_keys, same_key(target, taken_keys, keys, "_x_"), "left_anti")
-    return untouched.unionByName(taken)
+    untouched = target.join(
+        winners, same_key(target, winners, keys, "_w_", nullable_keys), "left_anti"
+    )
+    if one_row_per_key:
+        ranked = newest_rows(source, keys, order, True)
+        taken = ranked.join(winners, same_key(ranked, winners, keys, "_w_", nullable_keys))
+    else:
+        newest = same_key(source, winners, keys, "_w_", nullable_keys)
+        taken = source.join(winners, newest & (source[order] == winners["_latest"]))
+    return untouched.unionByName(taken.withColumn("create_at", F.col("_made")).select(*target.columns))
+
+
+def _prefixed(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(key).alias(prefix + key) for key in keys]
 
 
 def insert_missing(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -31,6 +31,8 @@ def staged(
         entity.keys,
         now=moment(now),
         one_row_per_key=entity.one_row_per_key,
+        # The key filter of a single-key table leaves no NULL key.
+        nullable_keys=len(entity.keys) > 1,
     ).select(*columns)
 
 
