@@ -65,7 +65,7 @@ def load_steps(store):
     bounds = key_of(FACT_DAYS[0]), key_of(FACT_DAYS[1])
     for name, build, key in builders:
         rows = build(inputs, warehouse, *FACT_DAYS, NOW)
-        timed(name, lambda: store.replace_keys(name, rows, key, *bounds))
+        timed(name, lambda: store.replace_keys(name, rows, key, *bounds, rows.columns[0]))
 
 
 def daily_steps(store):

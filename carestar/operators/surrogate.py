@@ -48,8 +48,11 @@ def dense_ids(
 
 
 def unique_ids(df: DataFrame, name: str, after: int = 0) -> DataFrame:
-    """Unique, increasing, not gap-free keys with no shuffle at all, for facts.
+    """Fill a NULL key column with unique, not gap-free keys and no shuffle, for facts.
 
-    Nothing refers to a fact's key, so the keys are set once, in the write.
+    Nothing refers to a fact's key. The numbers depend on the place of a row in
+    its task, so they belong into the stage that writes: a repeated task then
+    replaces all of its output.
     """
-    return df.withColumn(name, F.monotonically_increasing_id() + F.lit(after + 1))
+    fresh = F.monotonically_increasing_id() + F.lit(after + 1)
+    return df.withColumn(name, F.coalesce(F.col(name), fresh))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from carestar.functions.dates import bounded_date_key, date_key, moment
 from carestar.operators.dimensions import UNKNOWN_CODE
 from carestar.operators.lookup import as_of_lookup
-from carestar.operators.surrogate import unique_ids
 from carestar.plans import dims
 from carestar.schemas import WAREHOUSE
 
@@ -19,9 +18,9 @@ _PATIENT_RULES = ("drop", "unknown", "error")
 
 
 def conform(df: DataFrame, table: str, now: dt.datetime) -> DataFrame:
-    """Columns of the table in order and type, with a row key and the load time."""
+    """Columns of the table in order and type; the row key is set when it is stored."""
     row_key, *_ = WAREHOUSE[table].names
-    keyed = unique_ids(df, row_key).withColumn("load_dts", moment(now))
+    keyed = df.withColumn(row_key, F.lit(None)).withColumn("load_dts", moment(now))
     columns = []
     for field in WAREHOUSE[table]:
         name, kind = field.name, field.dataType.simpleString()

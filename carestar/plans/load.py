@@ -162,7 +162,7 @@ def load_facts(store: TableStore, first, last, now, options: Options) -> dict[st
         build, source, key = builders[table]
         staging = Staging(store, (source,), low, high)
         rows = build(staging, warehouse, first, last, now, options.on_missing)
-        return store.replace_keys(table, rows, key, low, high)
+        return store.replace_keys(table, rows, key, low, high, WAREHOUSE[table].names[0])
 
     return _together(load, builders, options.parallel)
 
@@ -188,7 +188,8 @@ def load_daily_facts(store: TableStore, first, last, now, options: Options) -> d
     }
 
     def load(table: str) -> int:
-        return store.replace_keys(table, builders[table](), "date_key", low, high)
+        serial = WAREHOUSE[table].names[0]
+        return store.replace_keys(table, builders[table](), "date_key", low, high, serial)
 
     return _together(load, builders, options.parallel)
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carestar.operators.surrogate import unique_ids
 from carestar.sources.literal import no_rows
 
 _LOAD = "load"
@@ -38,6 +39,7 @@ class Snapshot:
     version: int
     parts: tuple[str, ...]
     schema: T.StructType
+    last_serial: int = 0
 
 
 def _value(part: str, name: str) -> str | None:
@@ -68,7 +70,8 @@ class TableStore:
         newest = max(names)
         body = json.loads(self._get(f"{self._folder(table)}/_versions/{newest}"))
         schema = T.StructType.fromJson(body["schema"])
-        return Snapshot(int(newest.split(".")[0]), tuple(body["parts"]), schema)
+        version = int(newest.split(".")[0])
+        return Snapshot(version, tuple(body["parts"]), schema, body["last_serial"])
 
     def exists(self, table: str) -> bool:
         return self.snapshot(table) is not None
@@ -129,15 +132,24 @@ class TableStore:
         self._publish(table, before, [*held, *parts], before.schema)
         return rows
 
-    def replace_keys(self, table: str, df: DataFrame, column: str, low: int, high: int) -> int:
+    def replace_keys(
+        self,
+        table: str,
+        df: DataFrame,
+        column: str,
+        low: int,
+        high: int,
+        serial: str | None = None,
+    ) -> int:
         """Rows with a date key in the inclusive range become ``df``.
 
         The table is kept by month. Months wholly inside the range are dropped by
         name, also when ``df`` brings them no rows; months on its edges are
         rewritten without their old rows of the range; others are not touched.
+        NULLs in the ``serial`` column are filled with keys never used before.
         """
         before = self.snapshot(table)
-        held, edge = [], []
+        held, edge, kept = [], [], None
         for part in before.parts if before else ():
             month = int(_value(part, _MONTH))
             if not low // 100 <= month <= high // 100:
@@ -146,7 +158,6 @@ class TableStore:
             last_day = calendar.monthrange(month // 100, month % 100)[1]
             if low > month * 100 + 1 or high < month * 100 + last_day:
                 edge.append(part)
-        kept = None
         if edge:
             kept = self._read_parts(table, before, edge).where(
                 (F.col(column) < low) | (F.col(column) > high)
@@ -154,8 +165,10 @@ class TableStore:
         monthly = df if kept is None else df.unionByName(kept)
         monthly = monthly.withColumn(_MONTH, _month(F.col(column)))
         counted = F.count_if(F.col(column).between(low, high))
-        parts, rows = self._write(table, monthly, _MONTH, counted)
-        self._publish(table, before, [*held, *parts], before.schema if before else df.schema)
+        last = before.last_serial if before else 0
+        parts, rows, last = self._write_numbered(table, monthly, _MONTH, counted, serial, last)
+        schema = before.schema if before else df.schema
+        self._publish(table, before, [*held, *parts], schema, last)
         return rows
 
     # -- inside -----------------------------------------------------------
@@ -183,30 +196,49 @@ class TableStore:
         )
         return rows.select(*snapshot.schema.names)
 
-    def _write(self, table: str, df: DataFrame, partition: str | None, count: Column | None = None):
-        """Write one part folder per partition value.
+    def _write(self, table: str, df: DataFrame, partition: str | None) -> tuple[list[str], int]:
+        count = F.count(F.lit(1))
+        return self._write_numbered(table, df, partition, count, None, 0)[:2]
+
+    def _write_numbered(
+        self,
+        table: str,
+        df: DataFrame,
+        partition: str | None,
+        count: Column,
+        serial: str | None,
+        last: int,
+    ) -> tuple[list[str], int, int]:
+        """Write one part folder per partition value; parts, row count, last serial.
 
         Rows are brought together by month first, in shuffle partitions that AQE
         sizes and splits, so that not every task writes into every month. Rows
         are counted as they are written.
         """
-        rows = Observation()
+        seen = Observation()
         load = f"{_LOAD}={uuid.uuid4().hex}"
         path = f"{self._folder(table)}/{load}"
-        count = F.count(F.lit(1)) if count is None else count
         sized = df.hint("rebalance", _MONTH) if partition == _MONTH else df
-        writer = sized.observe(rows, count.alias("rows")).write
+        if serial is not None:
+            sized = unique_ids(sized, serial, last)
+        top = F.max(F.lit(last) if serial is None else F.col(serial))
+        writer = sized.observe(seen, count.alias("rows"), top.alias("top")).write
         if partition is None:
             writer.parquet(path)
-            return [load], rows.get["rows"]
-        writer.partitionBy(partition).parquet(path)
-        parts = [f"{load}/{name}" for name in self._list(path) if "=" in name]
-        return parts, rows.get["rows"]
-
-    def _publish(self, table, before: Snapshot | None, parts, schema: T.StructType) -> None:
+            parts = [load]
+        else:
+            writer.partitionBy(partition).parquet(path)
+            parts = [f"{load}/{name}" for name in self._list(path) if "=" in name]
+        return parts, seen.get["rows"], max(last, seen.get["top"] or 0)
+
+    def _publish(
+        self, table: str, before: Snapshot | None, parts, schema: T.StructType, last: int = 0
+    ) -> None:
         version = before.version + 1 if before else 1
         folder = f"{self._folder(table)}/_versions"
-        body = json.dumps({"parts": list(parts), "schema": schema.jsonValue()})
+        body = json.dumps(
+            {"parts": list(parts), "schema": schema.jsonValue(), "last_serial": last}
+        )
         self._put(f"{folder}/{version:010d}.json", body)
 
     def _path(self, path: str):

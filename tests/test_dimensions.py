@@ -107,5 +107,6 @@ def test_dense_ids(spark):
 
 
 def test_unique_ids(spark):
-    ids = [r.n for r in unique_ids(spark.range(1000).repartition(7), "n", after=10).collect()]
-    assert len(set(ids)) == 1000 and min(ids) == 11
+    df = spark.range(1000).repartition(7).selectExpr("if(id < 3, id, NULL) AS n")
+    ids = [r.n for r in unique_ids(df, "n", after=10).collect()]
+    assert len(set(ids)) == 1000 and {0, 1, 2} < set(ids) and sorted(ids)[3] > 10
