@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,11 +35,15 @@ def build_session(app: str = "carestar", master: str | None = None, **extra: str
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder on the storage every executor can reach.
 
-    The cluster names that storage in ``spark.checkpoint.dir``; only a session
-    that does not set it (a local test) gets a machine-local folder.
+    The cluster names that storage in ``spark.checkpoint.dir``. Where that is unset, a local
+    session gets a folder of this machine; any other is refused, as its executors would each
+    write to their own disk and later reads would miss rows.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "local")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name shared storage under master {master}")
         shared = tempfile.mkdtemp(prefix="carestar-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/carestar/{purpose}-{uuid.uuid4().hex}"
