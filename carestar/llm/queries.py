@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm.common import table
+from carestar.llm.neardup import near_duplicates
 from carestar.llm.packing import pack
+from carestar.llm.quality import fit_quality, judge_quality
+from carestar.llm.secrets import scan_secrets
 from carestar.llm.sharding import shard_by_bytes
 from carestar.llm.token_counts import count_tokens, with_limit
+from carestar.llm.toxicity import fit_toxicity, score_toxicity
 
 VOCABULARY = tokenizer_path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +44,39 @@ def op8_sharding(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    judged = judge_quality(docs, fit_quality(docs, labels))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "score",
+    )
+
+
+@query
+def op10_secret_scans(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def crc_remainder(column: str, divisor: int):
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(divisor))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels.where(crc_remainder("doc_id", 3) != 1))
+    return score_toxicity(docs, model).select(
+        "doc_id",
+        F.coalesce(crc_remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op3_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
