@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm.common import table
+from carestar.llm.decontam import find_leaks
 from carestar.llm.neardup import near_duplicates
 from carestar.llm.packing import pack
 from carestar.llm.quality import fit_quality, judge_quality
@@ -80,3 +81,8 @@ def op6_toxicity(spark, sf_dir):
 @query
 def op3_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
