@@ -63,6 +63,7 @@ _ARROW = {
     "array<long>": pa.list_(pa.int64()),
     "array<double>": pa.list_(pa.float64()),
     "array<float>": pa.list_(pa.float32()),
+    "array<binary>": pa.list_(pa.binary()),
     "array<string>": pa.list_(pa.string()),
 }
 

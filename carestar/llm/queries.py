@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from carestar.llm.common import table
 from carestar.llm.decontam import find_leaks
+from carestar.llm.lm import score_texts
 from carestar.llm.neardup import near_duplicates
 from carestar.llm.packing import pack
 from carestar.llm.quality import fit_quality, judge_quality
@@ -86,3 +87,13 @@ def op3_near_duplicates(spark, sf_dir):
 @query
 def op2_decontamination(spark, sf_dir):
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_lm_scores(spark, sf_dir):
+    held_out = F.coalesce(crc_remainder("doc_id", 5) == 1, F.lit(False))
+    scored = score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+        "score",
+    )
