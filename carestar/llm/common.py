@@ -69,15 +69,17 @@ _ARROW = {
 
 
 def salted_rank(df: DataFrame, group: str, order: list[str], name: str, rows_per_cell: int) -> DataFrame:
-    """Adds ``name``: numbers from 0 without gaps within each ``group``.
+    """Adds ``name``: numbers from 0 without gaps within each ``group``, of which there are few.
 
-    A group of any size is spread over cells of about ``rows_per_cell`` rows by a hash of
-    ``order``. Rows are counted per cell first; each cell then numbers its own rows from the
-    sum of the cells before it. The cells are narrow rows, one for that many documents.
+    A group is spread over cells of about ``rows_per_cell`` rows by a hash of ``order``. Rows
+    are counted per cell first; each cell then numbers its own rows from the sum of the cells
+    before it. Cells are narrow rows, one for that many rows of ``df``.
     """
-    total = df.count()
-    salts = max(1, -(-total // rows_per_cell))
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    sizes = df.groupBy(F.col(group).alias("__of")).agg(F.count(F.lit(1)).alias("n"))
+    salts = F.broadcast(sizes.select("__of", F.ceil(F.col("n") / rows_per_cell).alias("__salts")))
+    salted = df.join(salts, F.col(group).eqNullSafe(F.col("__of"))).withColumn(
+        "__salt", F.pmod(F.xxhash64(*order), F.col("__salts"))
+    )
     cells = salted.groupBy(F.col(group).alias("__g"), F.col("__salt").alias("__s")).agg(
         F.count(F.lit(1)).alias("__n")
     )
@@ -94,5 +96,5 @@ def salted_rank(df: DataFrame, group: str, order: list[str], name: str, rows_per
     return (
         numbered.join(offsets, same)
         .withColumn(name, (F.col("__row") + F.col("__before")).cast("long"))
-        .drop("__g", "__s", "__salt", "__row", "__before")
+        .drop("__of", "__salts", "__g", "__s", "__salt", "__row", "__before")
     )
