@@ -42,32 +42,27 @@ def combinations(lengths: list[int], window: int, parts: int) -> list[tuple[int,
     return found
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int | None = None) -> np.ndarray:
-    """x >= 0 that minimises |a x - b|, by the active-set method of Lawson and Hanson."""
-    columns = a.shape[1]
-    x = np.zeros(columns)
-    passive = np.zeros(columns, bool)
-    tolerance = 1e-9 * max(1.0, float(np.abs(b).max(initial=0)))
-    for _ in range(rounds or 3 * a.shape[0]):
-        gain = a.T @ (b - a @ x)
-        gain[passive] = -np.inf
-        if not columns or gain.max() <= tolerance:
+def nnls(columns: list[tuple[int, ...]], b: np.ndarray, rounds: int = 40_000) -> np.ndarray:
+    """x >= 0 that minimises |A x - b|, where a column of A counts the rows it lists.
+
+    Each step moves the one x that lowers the sum of squares most, as far as it does and not
+    below 0. A step is elementwise work over all columns, without threaded linear algebra, whose
+    threads wait for each other on a busy machine.
+    """
+    most = max(map(len, columns))
+    rows = np.array([[*c, *[len(b)] * (most - len(c))] for c in columns])
+    square = np.array([sum(c.count(k) ** 2 for k in set(c)) for c in columns], float)
+    left = np.append(b.astype(float), 0.0)
+    x = np.zeros(len(columns))
+    enough = 1e-7 * max(1.0, float(b.max(initial=0)))
+    for _ in range(rounds):
+        step = np.maximum(left[rows].sum(axis=1) / square, -x)
+        best = int((step * step * square).argmax())
+        if abs(step[best]) < enough:
             break
-        passive[int(gain.argmax())] = True
-        while True:
-            chosen = np.flatnonzero(passive)
-            solved = np.linalg.lstsq(a[:, chosen], b, rcond=None)[0]
-            if (solved > 0).all():
-                x[:] = 0
-                x[chosen] = solved
-                break
-            low = solved <= 0
-            step = np.min(x[chosen[low]] / np.maximum(x[chosen[low]] - solved[low], 1e-300))
-            x[chosen] += step * (solved - x[chosen])
-            passive[chosen[low & (x[chosen] <= tolerance)]] = False
-            x[~passive] = 0
-            if not passive.any():
-                break
+        x[best] += step[best]
+        for k in columns[best]:
+            left[k] -= step[best]
     return x
 
 
@@ -90,11 +85,8 @@ def plan_windows(histogram: dict[int, int], window: int, parts: int = 3) -> list
     full = combinations(list(left), window, parts)
     if full:
         order = {k: i for i, k in enumerate(left)}
-        a = np.zeros((len(left), len(full)))
-        for j, combination in enumerate(full):
-            for k in combination:
-                a[order[k], j] += 1
-        counts = nnls(a, np.array([left[k] for k in left], float))
+        columns = [tuple(order[k] for k in combination) for combination in full]
+        counts = nnls(columns, np.array([left[k] for k in left], float))
         for j in np.argsort(-counts, kind="stable"):
             pattern = {k: full[j].count(k) for k in full[j]}
             times = min(int(counts[j] + 1e-6), *(left[k] // m for k, m in pattern.items()))
