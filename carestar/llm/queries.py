@@ -14,6 +14,7 @@ from carestar.llm.lm import score_texts
 from carestar.llm.neardup import near_duplicates
 from carestar.llm.packing import pack
 from carestar.llm.quality import fit_quality, judge_quality
+from carestar.llm.quotes import LINK_SQL, link_quotes
 from carestar.llm.secrets import scan_secrets
 from carestar.llm.sharding import shard_by_bytes
 from carestar.llm.token_counts import count_tokens, with_limit
@@ -97,3 +98,11 @@ def op9_lm_scores(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
         "score",
     )
+
+
+@query
+def op1_quotation_linking(spark, sf_dir):
+    return link_quotes(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op1_quotation_linking"] = LINK_SQL
