@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     combine before the shuffle; each round is written, so that none is computed twice.
     """
     a, b = F.col("a"), F.col("b")
-    left = stored(edges.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(), "edges")
+    left = stored(edges.where(a != b).select("a", "b"), "edges")
     labels = None
     while not left.isEmpty():
         both = left.unionAll(left.select(b.alias("a"), a.alias("b")))
@@ -31,10 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         labels = stored(labels, "labels")
         at_a = left.join(step.select(F.col("v").alias("a"), F.col("to").alias("a2")), "a")
         at_b = at_a.join(step.select(F.col("v").alias("b"), F.col("to").alias("b2")), "b")
-        ends = at_b.where(F.col("a2") != F.col("b2")).select(
-            F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")
-        )
-        left = stored(ends.distinct(), "edges")
+        ends = at_b.where(F.col("a2") != F.col("b2"))
+        left = stored(ends.select(F.col("a2").alias("a"), F.col("b2").alias("b")), "edges")
     if labels is None:
         labels = left.select(a.alias("node"), a.alias("component"))
     return labels

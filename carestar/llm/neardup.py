@@ -1,7 +1,8 @@
-"""Near duplicates: DartMinHash bands, exact checks against bucket leaders, components."""
+"""Near duplicates: DartMinHash bands, exact comparison around bucket leaders, components."""
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -9,9 +10,11 @@ from pyspark.sql import functions as F
 
 from carestar.llm.common import column_lists, per_batch, stored
 from carestar.llm.components import components
-from carestar.llm.dartminhash import DartSignature, WordHashes, shingles, weighted_jaccard
+from carestar.llm.dartminhash import DartSignature, WordHashes, shingles
 
 SIMILARITY = 0.8
+BLOCK = 128
+COLUMNS = 1 << 14
 
 
 def words_of(text: str | None) -> list[str]:
@@ -24,13 +27,14 @@ def _node(words: list[str]) -> bytes:
 
 
 def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(id, node, keys): keys is one hash for each band, none for a text without words."""
+    """(id, mark, node, keys) of (id, mark, text): one key for each band, none for a text
+    without words."""
 
     def start():
         hashes, darts = WordHashes(), DartSignature(bands, rows)
 
         def work(batch):
-            ids, texts = column_lists(batch, "id", "text")
+            ids, marks, texts = column_lists(batch, "id", "mark", "text")
             nodes, full, sets = [], [], []
             for i, text in enumerate(texts):
                 words = words_of(text)
@@ -41,58 +45,132 @@ def signed(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             keys: list = [[]] * len(texts)
             for i, row in zip(full, darts.band_keys(sets) if sets else [], strict=True):
                 keys[i] = row
-            return {"id": ids, "node": nodes, "keys": keys}
+            return {"id": ids, "mark": marks, "node": nodes, "keys": keys}
 
         return work
 
-    return per_batch(docs, start, "id long, node binary, keys array<long>")
+    return per_batch(docs, start, "id long, mark long, node binary, keys array<long>")
 
 
-def checked(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts are at least that similar. ``texts`` (node, text)
-    has one row for each node. Rows come sorted by ``a``, whose shingles are kept meanwhile."""
-    of_b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    of_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+def links_in_block(nodes: list[bytes], sets: list[tuple], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Links that join what any links between the members of a block join.
 
-    def start():
-        hashes, last = WordHashes(), [None, None]
-
-        def work(batch):
-            rows_a, rows_b = [], []
-            a_s, b_s, texts_b = column_lists(batch, "a", "b", "text_b")
-            column = batch.column(batch.schema.get_field_index("text_a"))
-            for i, (a, b, text) in enumerate(zip(a_s, b_s, texts_b, strict=True)):
-                if a != last[0]:
-                    last[:] = a, shingles(words_of(column[i].as_py()), hashes)
-                if weighted_jaccard(last[1], shingles(words_of(text), hashes)) >= similarity:
-                    rows_a.append(a)
-                    rows_b.append(b)
-            return {"a": rows_a, "b": rows_b}
-
-        return work
-
-    return per_batch(pairs.join(of_b, "b").join(of_a, "a"), start, "a binary, b binary")
-
-
-def _led(buckets: DataFrame, labels: DataFrame | None, served: DataFrame | None, leaders: int):
-    """The next leaders (key, leader, own) of buckets that still hold several components.
-
-    Members of a bucket's largest component need no comparing among themselves; the others
-    lead in the order of their hashes, each once, ``leaders`` of them at a time.
+    All pairs are compared exactly, by products of the matrix of members and shingles (a count
+    of c is c columns), some columns at a time; of the links found, a spanning forest is given.
     """
-    if labels is None:
-        first = buckets.groupBy("key").agg(F.min("node").alias("leader"))
-        return first.select("key", "leader", F.col("leader").alias("own"))
-    placed = buckets.join(labels, "node", "left").withColumn("own", F.coalesce("component", "node"))
-    parts = placed.groupBy("key", "own").agg(F.count(F.lit(1)).alias("n"))
-    largest = parts.groupBy("key").agg(
-        F.max_by("own", F.struct("n", "own")).alias("most"), F.count(F.lit(1)).alias("parts")
+    marks = [
+        np.repeat(values, counts) + np.uint64(0x9E3779B97F4A7C15) * _nth(counts).astype(np.uint64)
+        for values, counts in sets
+    ]
+    sizes = np.array([len(m) for m in marks], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    column = np.unique(np.concatenate(marks), return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)))
+    width = min(COLUMNS, int(column[-1]) + 1 if len(column) else 1)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        part = slice(*np.searchsorted(column, (low, low + width)))
+        matrix = np.zeros((len(sets), width), np.float32)
+        matrix[owner[part], column[part] - low] = 1
+        common += matrix @ matrix.T
+    union = sizes[:, None] + sizes[None, :] - common
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links = []
+    for i, j in np.argwhere(np.triu(common >= similarity * union - 1e-9, 1)).tolist():
+        a, b = find(i), find(j)
+        if a != b:
+            root[b] = a
+            links.append((nodes[i], nodes[j]))
+    return links
+
+
+def _nth(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each count in a row."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def compared(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) within the blocks of ``members`` (block, node). A block is small by its
+    making; its rows come together by a sort, and a task holds one block at a time."""
+    rows = members.join(texts, "node").select("block", "node", "text")
+
+    def run(batches):
+        hashes, block, nodes, sets = WordHashes(), None, [], []
+        for batch in batches:
+            found = []
+            for key, node, text in zip(*column_lists(batch, "block", "node", "text"), strict=True):
+                if key != block:
+                    found += links_in_block(nodes, sets, similarity) if len(nodes) > 1 else []
+                    block, nodes, sets = key, [], []
+                nodes.append(node)
+                sets.append(shingles(words_of(text), hashes))
+            yield _link_batch(found)
+        yield _link_batch(links_in_block(nodes, sets, similarity) if len(nodes) > 1 else [])
+
+    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "a binary, b binary")
+
+
+def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    columns = [pa.array([link[k] for link in links], pa.binary()) for k in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
+def _block(*parts) -> Column:
+    return F.concat_ws("/", *(F.hex(p) if p == "leader" else F.col(p).cast("string") for p in parts))
+
+
+def _facing(buckets: DataFrame) -> DataFrame:
+    """(leader, node, part, parts): every member of a bucket faces its leader, and the members
+    that face one leader are dealt into parts of about BLOCK nodes. The leader of a bucket is its
+    member that meets most others in all its buckets, so the middle of a group of edited copies
+    leads it everywhere."""
+    met = buckets.groupBy("node").agg(F.sum("n").alias("met"))
+    leaders = buckets.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("l"))
+    pairs = buckets.join(leaders.select("key", F.col("l.node").alias("leader")), "key")
+    pairs = stored(pairs.select("leader", "node").distinct(), "facing")
+    sizes = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    return pairs.join(sizes, "leader").withColumn("part", part)
+
+
+def _links(buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links that join what all links between members of one bucket join, as (a, b).
+
+    First, each part is compared within itself and with its leader. Where a leader has several
+    parts, members of its largest component are joined already; the others are dealt into parts
+    of their own, each of which is compared with every part of that leader's members.
+    """
+    facing = stored(_facing(buckets), "facing")
+    with_leader = facing.select("leader", "part", F.col("leader").alias("node")).distinct()
+    first = facing.select("leader", "part", "node").where("node <> leader").unionAll(with_leader)
+    links = stored(compared(first.select(_block("leader", "part").alias("block"), "node"), texts, similarity), "links")
+    large = facing.where("parts > 1")
+    if large.isEmpty():
+        return links
+    placed = large.join(components(links), "node", "left")
+    placed = stored(placed.withColumn("component", F.coalesce("component", "node")), "placed")
+    inside = placed.groupBy("leader", "component").agg(F.count(F.lit(1)).alias("n"))
+    most = inside.groupBy("leader").agg(
+        F.max_by("component", F.struct("n", "component")).alias("most"), (F.sum("n") - F.max("n")).alias("others")
     )
-    left = placed.join(largest.where("parts > 1"), "key").where("own != most")
-    left = left.select("key", F.col("node").alias("leader"), "own")
-    left = left.join(served, ["key", "leader"], "left_anti")
-    nth = F.expr("row_number() over (partition by key order by leader)")
-    return left.withColumn("nth", nth).where(F.col("nth") <= leaders).drop("nth")
+    most = most.where("others > 0").withColumn("cuts", F.ceil(F.col("others") / BLOCK)).select("leader", "most", "cuts")
+    placed = placed.join(most, "leader")
+    cut = F.pmod(F.xxhash64("node", F.lit("cut")), F.col("cuts"))
+    others = placed.where("component <> most").withColumn("cut", cut)
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    cuts = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut")
+    rows = others.select("leader", "cut", "node", parts).unionByName(placed.select("leader", "part", "node", cuts))
+    rows = rows.select(_block("leader", "cut", "part").alias("block"), "node").distinct()
+    return links.unionAll(stored(compared(rows, texts, similarity), "links"))
 
 
 def near_duplicates(
@@ -111,17 +189,22 @@ def near_duplicates(
 
     Texts with equal words collapse to a node first. Each node throws darts for bands * rows
     coordinates; nodes with an equal band meet in a bucket (at 0.8 and 32 bands of 5, a pair
-    meets nowhere with a probability of 3e-6). A bucket's first leader is compared exactly with
-    its other members, one row each. While a bucket holds several components, members outside
-    its largest one lead in turn, 1, 4, 16, ... at a time, against the members of other
-    components, until each has led: then every pair of a bucket has been compared or joined,
-    without listing the pairs of a large group.
+    meets nowhere with a probability of 3e-6). Members of a bucket face its leader; the members
+    that face a leader are compared exactly, in blocks of bounded size, as ``_links`` says. No
+    pair of a bucket is left out, and pairs are compared in numpy, never listed as rows.
 
     A null text counts as empty; texts without words are one class. A null id is kept and gives
     no class_id unless the class has another id. Repeated rows are of one class. An empty table
     gives no rows. Other columns are not read.
     """
-    taken = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    classed = _classed(docs, similarity, bands, rows, id_column, text_column)
+    return classed.select(F.col("id").alias(id_column), "class_id", "class_size")
+
+
+def _classed(docs, similarity, bands, rows, id_column, text_column) -> DataFrame:
+    """(id, mark, component, class_id, class_size); mark is a hash of the text as it is."""
+    text = F.col(text_column)
+    taken = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     signs = stored(signed(taken, bands, rows), "signs")
     rows_of = signs.groupBy("node", "id").agg(
         F.count(F.lit(1)).alias("rows"), F.any_value("keys").alias("keys")
@@ -134,40 +217,23 @@ def near_duplicates(
     )
     nodes = stored(nodes, "nodes")
     members = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = stored(members.join(shared, "key"), "buckets")
-    links = labels = served = None
+    labels = None
     if not buckets.isEmpty():
-        texts = _texts_of(taken, nodes, buckets)
-        leaders = 1
-        while True:
-            led = stored(_led(buckets, labels, served, leaders), "leaders")
-            if led.isEmpty():
-                break
-            facing = buckets.join(led, "key").where(F.col("node") != F.col("leader"))
-            if labels is not None:
-                facing = facing.join(labels, "node", "left")
-                facing = facing.where(F.coalesce("component", "node") != F.col("own"))
-            pairs = facing.select(
-                F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
-            ).distinct()
-            found = checked(pairs, texts, similarity)
-            links = stored(found if links is None else links.unionAll(found), "links")
-            labels = components(links)
-            now = led.select("key", "leader")
-            served = now if served is None else served.unionAll(now)
-            leaders *= 4
+        labels = components(_links(buckets, _texts_of(taken, nodes, buckets), similarity))
+    placed = nodes.select("node", "rep", "copies")
     if labels is None:
-        classes = nodes.select("node", F.col("rep").alias("class_id"), F.col("copies").alias("class_size"))
+        placed = placed.withColumn("component", F.col("node"))
     else:
-        placed = nodes.select("node", "rep", "copies").join(labels, "node", "left")
+        placed = placed.join(labels, "node", "left")
         placed = placed.withColumn("component", F.coalesce("component", "node"))
-        sums = placed.groupBy("component").agg(
-            F.min("rep").alias("class_id"), F.sum("copies").alias("class_size")
-        )
-        classes = placed.select("node", "component").join(sums, "component").drop("component")
-    joined = signs.select("id", "node").join(classes, "node")
-    return joined.select(F.col("id").alias(id_column), "class_id", "class_size")
+    sums = placed.groupBy("component").agg(
+        F.min("rep").alias("class_id"), F.sum("copies").alias("class_size")
+    )
+    classes = placed.select("node", "component").join(sums, "component")
+    joined = signs.select("id", "mark", "node").join(classes, "node")
+    return joined.select("id", "mark", "component", "class_id", "class_size")
 
 
 def _texts_of(taken: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -196,15 +262,18 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class one row of the smallest id.
 
-    All columns stay as they are. A class without any id keeps one row; of rows that repeat the
-    kept id, one stays.
+    All columns stay as they are. A class without any id keeps one row. Of rows of a class that
+    share the kept id, those of one text stay, and of rows that repeat it one.
     """
-    classes = near_duplicates(docs, similarity, id_column=id_column, text_column=text_column)
-    kept = classes.where(F.col(id_column).eqNullSafe(F.col("class_id"))).groupBy("class_id")
-    kept = stored(kept.agg(F.count(F.lit(1)).alias("__rows")).withColumnRenamed("class_id", "__kept"), "kept")
-    same = docs[id_column].eqNullSafe(kept["__kept"])
+    classed = _classed(docs, similarity, 32, 5, id_column, text_column)
+    same_text = classed.groupBy("component", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "rows")).alias("first")
+    kept = same_text.groupBy("component").agg(first)
+    kept = kept.select(F.col("first.id").alias("__id"), F.col("first.mark").alias("__mark"), F.col("first.rows").alias("__rows"))
+    kept = stored(kept, "kept")
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__mark"))
     once = docs.join(kept.where("__rows = 1"), same, "left_semi")
     if kept.where("__rows > 1").isEmpty():
         return once
     often = docs.join(kept.where("__rows > 1"), same, "left_semi")
-    return once.unionAll(often.dropDuplicates([id_column]))
+    return once.unionAll(often.dropDuplicates([id_column, text_column]))
