@@ -102,16 +102,16 @@ def index_items(rows: list[tuple]) -> Items:
 
 
 def choose_seeds(items: Items, frequency: dict[int, int]) -> Items:
-    """Keeps, of each SPAN places in a row of an item, the n-gram that the fewest documents hold
+    """Keeps, of any SPAN places in a row of an item, the n-gram that the fewest documents hold
     (ties: the first). Rarity is within the item, so an item that many documents copied keeps
     its seeds, and SPAN + GRAM - 1 words in a row taken over unchanged always hold one."""
     seeds = []
     for i, words in enumerate(items.words):
         codes = items.codes(words)
         counts = [frequency.get(int(c), 0) for c in codes]
-        for low in range(0, len(codes), SPAN):
-            best = min(range(low, min(low + SPAN, len(codes))), key=counts.__getitem__)
-            seeds.append((int(codes[best]), i, best))
+        windows = range(max(1, len(codes) - SPAN + 1))
+        places = {min(range(w, min(w + SPAN, len(codes))), key=counts.__getitem__) for w in windows}
+        seeds += [(int(codes[p]), i, p) for p in places]
     seeds.sort()
     code = np.array([s[0] for s in seeds], np.int64)
     grams, starts = np.unique(code, return_index=True)
