@@ -31,8 +31,9 @@ def per_batch(
     df: DataFrame,
     start: Callable[[], Callable[[pa.RecordBatch], dict]],
     schema: str,
+    rows: int = 10_000,
 ) -> DataFrame:
-    """Maps record batches; ``start`` makes the function once in each task.
+    """Maps record batches of at most ``rows`` rows; ``start`` makes the function once a task.
 
     The function returns a column of values (list or array) for each field of ``schema``.
     """
@@ -42,12 +43,13 @@ def per_batch(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in batches:
+        for whole in batches:
             work = work or start()
-            rows = work(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[n], k) for n, k in zip(names, kinds, strict=True)], schema=out
-            )
+            for low in range(0, whole.num_rows, rows):
+                made = work(whole.slice(low, rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made[n], k) for n, k in zip(names, kinds, strict=True)], schema=out
+                )
 
     return df.mapInArrow(run, schema)
 

@@ -56,7 +56,7 @@ def most_frequent(counts: DataFrame, most: int) -> list:
         taken += n
         if share < 1:
             break
-    return sorted(counts.where(wanted).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
+    return sorted(counts.where(wanted).collect(), key=lambda r: (-r["c"], bytes(r["word"])))[:most]
 
 
 class Vocabulary:
@@ -223,7 +223,7 @@ def score_texts(
     schema = (
         "id long, n_tokens long, n_known long, base_score double, score double, rare array<binary>"
     )
-    scored = per_batch(taken, start, schema).withColumn("row", F.monotonically_increasing_id())
+    scored = per_batch(taken, start, schema, rows=2_500).withColumn("row", F.monotonically_increasing_id())
     scored = stored(scored, "scored")
     # Words rarer than those each task holds: their counts, or none.
     rare = scored.select("row", F.explode("rare").alias("word"))
