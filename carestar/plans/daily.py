@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carestar.functions.dates import date_key, day_of_key, key_of
@@ -14,6 +14,12 @@ from carestar.plans.facts import conform
 HOSPITAL_CLASSES = ("inpatient",)
 
 
+def _open_or_started(low: int) -> Column:
+    """Facts that can show on or after ``low``: started since, still open, or closed since."""
+    stop = F.col("stop_date_key")
+    return stop.isNull() | (stop >= low) | (F.col("start_date_key") >= low)
+
+
 def fact_encounter_daily(
     encounters: DataFrame, first: dt.date, last: dt.date, now: dt.datetime
 ) -> DataFrame:
@@ -53,21 +59,26 @@ def fact_condition_daily(
     """New, active, resolved and hospitalised cases per day, code and organization.
 
     The running total of new cases starts at the range; ``cumulative="history"``
-    adds the cases that began before it.
+    adds the cases that began before it, counted apart. Cases closed before the
+    range are left out by the scan; so are stays of encounters without a case.
     """
     if cumulative not in ("range", "history"):
         raise ValueError(f"unknown cumulative rule {cumulative!r}")
     group = ["condition_code_key", "organization_key"]
-    cases = conditions.where(
+    known = conditions.where(
         (F.col("start_date_key") <= key_of(last)) & F.col("organization_key").isNotNull()
-    ).select(
+    )
+    cases = known.where(_open_or_started(key_of(first))).select(
         *group,
         "encounter_id",
         day_of_key(F.col("start_date_key")).alias("start"),
         day_of_key(F.col("stop_date_key")).alias("stop"),
     )
-    hospital = encounters.where(F.col("encounter_class").isin(*HOSPITAL_CLASSES)).select(
-        F.col("encounter_id").alias("_stay")
+    wanted = cases.select(F.col("encounter_id").alias("_stay")).distinct()
+    hospital = (
+        encounters.where(F.col("encounter_class").isin(*HOSPITAL_CLASSES))
+        .select(F.col("encounter_id").alias("_stay"))
+        .join(wanted, "_stay", "left_semi")
     )
     cases = cases.join(hospital, cases["encounter_id"] == hospital["_stay"], "left")
 
@@ -93,9 +104,12 @@ def fact_condition_daily(
     if cumulative == "history":
         measures.append("earlier_cases")
         totals["cumulative_cases"].append("earlier_cases")
-        earlier = F.when(start < F.lit(first), F.lit(first))
-        changes.append(intervals.Change(earlier, {"earlier_cases": one}))
-    dated = intervals.dated_changes(cases, group, changes, dict.fromkeys(measures, "bigint"))
+    kinds = dict.fromkeys(measures, "bigint")
+    dated = intervals.dated_changes(cases, group, changes, kinds)
+    if cumulative == "history":
+        before = known.where(F.col("start_date_key") < key_of(first)).select(*group)
+        counted = [intervals.Change(F.lit(first), {"earlier_cases": one})]
+        dated = dated.unionByName(intervals.dated_changes(before, group, counted, kinds))
     daily = intervals.daily_status(
         dated,
         group,
@@ -116,10 +130,13 @@ def fact_medication_daily(
 
     Groups are day, medication, organization and payer; NULL organization and
     payer are groups of their own. The overlapping prescriptions of a patient
-    are merged first, so a patient counts once a day.
+    are merged first, so a patient counts once a day. Prescriptions that stopped
+    before the range are left out by the scan; they show on none of its days.
     """
     group = ["medication_key", "organization_key", "payer_key"]
-    rows = medications.where(F.col("start_date_key") <= key_of(last)).select(
+    rows = medications.where(
+        (F.col("start_date_key") <= key_of(last)) & _open_or_started(key_of(first))
+    ).select(
         *group,
         "patient_key",
         day_of_key(F.col("start_date_key")).alias("start"),

@@ -118,12 +118,16 @@ def fact_encounter(
     return conform(rows, "fact_encounter", now)
 
 
-def _care_site(encounters: DataFrame) -> DataFrame:
-    return encounters.select(
+def _care_site(encounters: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Where the encounters of ``rows`` took place. Encounters are of any month, so they are
+    first cut down to the ids asked for, which a small range broadcasts."""
+    wanted = rows.select(F.col(key).alias("_encounter")).distinct()
+    site = encounters.select(
         F.col("Id").alias("_encounter"),
         F.col("PROVIDER").alias("provider_id"),
         F.col("ORGANIZATION").alias("organization_id"),
     )
+    return site.join(wanted, "_encounter", "left_semi")
 
 
 def condition_source(
@@ -139,7 +143,7 @@ def condition_source(
         F.col("CODE").alias("condition_code"),
         F.col("DESCRIPTION").alias("condition_description"),
     )
-    site = _care_site(encounters)
+    site = _care_site(encounters, rows, "encounter_id")
     return rows.join(site, rows["encounter_id"] == site["_encounter"], "left").drop("_encounter")
 
 
@@ -176,7 +180,7 @@ def medication_source(
 ) -> DataFrame:
     """One row per patient, start day and code."""
     rows = medications.where(F.col("START").between(F.lit(first), F.lit(last)))
-    site = _care_site(encounters)
+    site = _care_site(encounters, rows, "ENCOUNTER")
     joined = rows.join(site, rows["ENCOUNTER"] == site["_encounter"], "left")
     zero = F.lit(0).cast("decimal(18,2)")
     return joined.groupBy(

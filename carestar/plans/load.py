@@ -109,7 +109,8 @@ def load_history(
     store: TableStore, dim: dims.HistoryDim, as_of: dt.date, now: dt.datetime, valid_from: str
 ) -> int:
     """One type-2 load. Closed versions are a partition that only ever grows, so
-    a load rewrites the current versions and appends to the history."""
+    a load rewrites the current versions and appends to the history. A version is
+    closed only where a new one opens, so without new versions nothing is written."""
     held = store.read(dim.table)
     parts = dims.next_versions(
         held.where("is_current"),
@@ -117,6 +118,8 @@ def load_history(
         last_key=held.agg(F.max(dim.surrogate_key)).scalar(),
         **dims.history_options(dim, as_of, now, valid_from),
     )
+    if parts.fresh.isEmpty():
+        return 0
     rows = parts.carried.unionByName(parts.fresh)
     return store.swap(dim.table, rows, "is_current", drop=lambda value: value == "true")
 
@@ -167,6 +170,42 @@ def load_facts(store: TableStore, first, last, now, options: Options) -> dict[st
     return _together(load, builders, options.parallel)
 
 
+def drop_moved_encounters(store: TableStore, first: dt.date, last: dt.date) -> list[int]:
+    """Remove the held facts, outside a range just loaded, of encounters that are in it now.
+
+    An encounter whose start moved into the range has a new fact there; its old one is in
+    another month. Only the months that hold such facts are rewritten. Returns the days that
+    lost facts, for their daily facts to be made again.
+    """
+    low, high = key_of(first), key_of(last)
+    inside = F.col("encounter_date_key").between(low, high)
+    loaded = store.read_months("fact_encounter", low, high).where(inside)
+    ids = loaded.select(F.col("encounter_id").alias("_id"))
+    held = store.read("fact_encounter").where(~inside)
+    moved = held.join(ids, held["encounter_id"] == ids["_id"], "left_semi")
+    days = sorted(r[0] for r in moved.select("encounter_date_key").distinct().collect())
+    if days:
+        months = {str(day // 100) for day in days}
+        rows = store.read_month_set("fact_encounter", months)
+        old, match = rows.where(~inside), F.col("encounter_id") == F.col("_id")
+        kept = rows.where(inside).unionByName(old.join(ids, match, "left_anti"))
+        store.swap_months("fact_encounter", kept, F.col("encounter_date_key"), months)
+    return days
+
+
+def reload_encounter_days(store: TableStore, days: list[int], now: dt.datetime) -> int:
+    """Make the daily encounter facts of some days again, a month at a time."""
+    rows = 0
+    for month in sorted({day // 100 for day in days}):
+        low, high = (pick(d for d in days if d // 100 == month) for pick in (min, max))
+        first, last = (dt.datetime.strptime(str(key), "%Y%m%d").date() for key in (low, high))
+        stays = store.read_months("fact_encounter", low, high)
+        daily_rows = daily.fact_encounter_daily(stays, first, last, now)
+        serial = WAREHOUSE["fact_encounter_daily"].names[0]
+        rows += store.replace_keys("fact_encounter_daily", daily_rows, "date_key", low, high, serial)
+    return rows
+
+
 def load_daily_facts(store: TableStore, first, last, now, options: Options) -> dict[str, int]:
     low, high = key_of(first), key_of(last)
     stays = store.read("fact_encounter")
@@ -231,7 +270,9 @@ def load_warehouse(
         span = facts.medication_span(medications, first, last)
         rows["dim_date"] += load_calendar(store, *span, batch_id)
         rows |= load_facts(store, first, last, now, options)
+        left = drop_moved_encounters(store, first, last)
         rows |= load_daily_facts(store, first, last, now, options)
+        rows["fact_encounter_daily"] += reload_encounter_days(store, left, now)
     except Exception as error:
         control.log_run(
             store, LOAD, batch_id, "FAILED", start=start, error=str(error), params=params

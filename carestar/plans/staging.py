@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from carestar.functions.dates import date_key, moment
 from carestar.operators.clean import clean
-from carestar.operators.upsert import upsert
+from carestar.operators.upsert import same_key, upsert
 from carestar.schemas import ENTITIES, Entity
 from carestar.sources.landing import LandingZone, utc_now
 from carestar.sources.store import TableMissing, TableStore
@@ -39,12 +39,28 @@ def staged(
 def stage(
     store: TableStore, entity: Entity, landing: DataFrame, now: dt.datetime, **rules
 ) -> int:
-    """Apply landed rows to a stored staging table; returns its new row count."""
-    rows = staged(landing, entity, store.read_or_none(entity.staging_table), now, **rules)
-    if entity.day_column is None:
-        return store.replace(entity.staging_table, rows)
-    month_of = date_key(F.col(entity.day_column))
-    return store.replace(entity.staging_table, rows, month_of=month_of)
+    """Apply landed rows to a stored staging table; returns the rows written.
+
+    A table kept by month gives up only the months that the batch brings rows for
+    and those that hold rows of its keys now; other months stay as they are.
+    """
+    table, day = entity.staging_table, entity.day_column
+    if day is None:
+        return store.replace(table, staged(landing, entity, store.read_or_none(table), now, **rules))
+    month_of = date_key(F.col(day))
+    if not store.exists(table):
+        rows = staged(landing, entity, None, now, **rules)
+        return store.replace(table, rows, month_of=month_of)
+    held, cleaned = store.read(table), clean(landing, entity, **rules)
+    keys = cleaned.select(*[F.col(k).alias(f"_b_{k}") for k in entity.keys]).distinct()
+    met = held.join(keys, same_key(held, keys, entity.keys, "_b_", len(entity.keys) > 1), "left_semi")
+    days = cleaned.select(F.col(day)).unionAll(met.select(F.col(day)))
+    # No more values than the table has months.
+    months = {r[0] for r in days.select(F.floor(month_of / 100).cast("string")).distinct().collect()}
+    if not months:
+        return 0
+    rows = staged(landing, entity, store.read_month_set(table, months), now, **rules)
+    return store.swap_months(table, rows, month_of, months)
 
 
 def transform(

@@ -13,20 +13,22 @@ class UnexpectedColumns(ValueError):
 
 
 def read_entity_csv(
-    spark: SparkSession, entity: Entity, path: str, multiline: bool = False
+    spark: SparkSession, entity: Entity, path: str, multiline: bool = True
 ) -> DataFrame:
     """All columns as text, matched by header name; blanks are ``''``, not NULL.
 
-    Quotes are doubled inside quoted cells. ``multiline`` accepts line breaks
-    inside quotes, at the price of files that can no longer be split, so it is
-    off unless a file needs it. A column the file lacks is NULL.
+    Quotes are doubled inside quoted cells. Line breaks inside quotes are part of
+    their cell, so a file is one task; with ``multiline=False`` a file can be
+    split, and the read fails on a row that does not have all cells, as a row cut
+    at a line break has not. A column the file lacks is NULL.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(path)
+    reader = (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     )
+    raw = reader.csv(path)
+    if not multiline:
+        strict = reader.option("mode", "FAILFAST").option("columnPruning", False)
+        raw = strict.schema(raw.schema).csv(path)
     by_name = {name.lower(): name for name in raw.columns}
     known = {name.lower() for name in entity.column_names}
     extra = [name for lowered, name in by_name.items() if lowered not in known]

@@ -115,7 +115,7 @@ def load_entity(
     *,
     now: dt.datetime | None = None,
     policy: str = "rowcount",
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> LoadResult:
     """Land one file unless its content is there; an error is a result, not raised."""
     result = LoadResult(entity.landing_table, start_time=utc_now())
@@ -141,13 +141,14 @@ def run_extract(
     now: dt.datetime | None = None,
     policy: str = "rowcount",
     parallel: int = 4,
+    multiline: bool = True,
 ) -> list[LoadResult]:
     """Land all entities as independent Spark jobs, under one batch id."""
     batch_id = batch_id or str(uuid.uuid4())
 
     def load(entity: Entity) -> LoadResult:
         path = f"{csv_dir.rstrip('/')}/{entity.csv}"
-        return load_entity(zone, entity, path, batch_id, now=now, policy=policy)
+        return load_entity(zone, entity, path, batch_id, now=now, policy=policy, multiline=multiline)
 
     with ThreadPoolExecutor(parallel) as pool:
         return list(pool.map(load, ENTITIES.values()))

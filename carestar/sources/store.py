@@ -2,7 +2,7 @@
 
 A table is a folder of immutable part folders plus small version files that name
 the live parts. A write adds parts and then publishes the next version in one
-rename, so readers never see half a load, a plan may read the table it rewrites,
+small file that only one writer can create, so readers never see half a load, a plan may read the table it rewrites,
 and a failed or repeated attempt leaves the published version as it was. Parts
 that a load does not touch are carried over by name and not rewritten.
 """
@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import calendar
 import json
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +52,11 @@ def _value(part: str, name: str) -> str | None:
     return None
 
 
+def _month_name(part: str) -> str | None:
+    month = _value(part, _MONTH)
+    return month if month and month.isdigit() else None
+
+
 def _month(key: Column) -> Column:
     return F.floor(key / 100).cast("int")
 
@@ -68,7 +75,7 @@ class TableStore:
         if not names:
             return None
         newest = max(names)
-        body = json.loads(self._get(f"{self._folder(table)}/_versions/{newest}"))
+        body = self._version(f"{self._folder(table)}/_versions/{newest}")
         schema = T.StructType.fromJson(body["schema"])
         version = int(newest.split(".")[0])
         return Snapshot(version, tuple(body["parts"]), schema, body["last_serial"])
@@ -97,6 +104,12 @@ class TableStore:
             parts.append(part)
         return self._read_parts(table, snapshot, parts)
 
+    def read_month_set(self, table: str, months: set[str | None]) -> DataFrame:
+        """Some months, given as text; None is the month of rows without a day."""
+        snapshot = self._required(table)
+        parts = [p for p in snapshot.parts if _month_name(p) in months]
+        return self._read_parts(table, snapshot, parts)
+
     # -- writing ----------------------------------------------------------
 
     def replace(
@@ -132,6 +145,14 @@ class TableStore:
         self._publish(table, before, [*held, *parts], before.schema)
         return rows
 
+    def swap_months(self, table: str, df: DataFrame, month_of: Column, months: set) -> int:
+        """Some months become ``df``, which has rows of those months only."""
+        before = self._required(table)
+        parts, rows = self._write(table, df.withColumn(_MONTH, _month(month_of)), _MONTH)
+        held = [p for p in before.parts if _month_name(p) not in months]
+        self._publish(table, before, [*held, *parts], before.schema)
+        return rows
+
     def replace_keys(
         self,
         table: str,
@@ -241,6 +262,17 @@ class TableStore:
         )
         self._put(f"{folder}/{version:010d}.json", body)
 
+    def _version(self, path: str, patience: float = 5.0) -> dict:
+        """A version file; one that is just being written is waited for."""
+        until = time.monotonic() + patience
+        while True:
+            try:
+                return json.loads(self._get(path))
+            except json.JSONDecodeError:
+                if time.monotonic() > until:
+                    raise
+                time.sleep(0.1)
+
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -263,11 +295,14 @@ class TableStore:
         target = self._path(path)
         fs = target.getFileSystem(self._hadoop)
         fs.mkdirs(target.getParent())
-        draft = self._path(f"{path}.{uuid.uuid4().hex}.draft")
-        stream = fs.create(draft, False)
+        # Created exclusively, so of two writers of a version one fails on any file system.
+        try:
+            stream = fs.create(target, False)
+        except Py4JJavaError as error:
+            if not fs.exists(target):
+                raise
+            raise ConcurrentWrite(f"{path} was published by another writer") from error
         try:
             stream.write(bytearray(body, "utf-8"))
         finally:
             stream.close()
-        if fs.exists(target) or not fs.rename(draft, target):
-            raise ConcurrentWrite(f"{path} was published by another writer")

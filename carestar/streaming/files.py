@@ -18,12 +18,23 @@ from carestar.sources.landing import stamped, utc_now
 from carestar.sources.store import TableStore
 
 
-def csv_stream(spark: SparkSession, entity: Entity, folder: str) -> DataFrame:
-    """New files of a folder as text rows; columns are in the entity's order."""
+def csv_stream(
+    spark: SparkSession, entity: Entity, folder: str, multiline: bool = True
+) -> DataFrame:
+    """New files of a folder as text rows.
+
+    Each file's header must name the entity's columns in their order; a file with
+    another header fails the run and lands nothing. Line breaks inside quotes are
+    part of their cell; with ``multiline=False`` a row without all cells fails.
+    """
     return (
         spark.readStream.schema(entity.source_schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
         .csv(folder)
         .fillna("")
     )
@@ -36,6 +47,7 @@ def stream_to_staging(
     checkpoint: str,
     *,
     now: dt.datetime | None = None,
+    multiline: bool = True,
     **rules,
 ) -> StreamingQuery:
     """Start a run over all files not read yet; it ends when they are staged."""
@@ -46,7 +58,7 @@ def stream_to_staging(
         stage(store, entity, landed, moment, **rules)
 
     return (
-        csv_stream(store.spark, entity, folder)
+        csv_stream(store.spark, entity, folder, multiline)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(apply)

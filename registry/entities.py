@@ -18,6 +18,9 @@ from carestar.sources.landing import stamped
 FIRST_BATCH = ("batch-1", dt.datetime(2024, 2, 1))
 SECOND_BATCH = ("batch-2", dt.datetime(2024, 3, 1))
 
+# Landing tables that a second extract run brings news for.
+IN_SECOND_BATCH = ("landing_encounters", "landing_conditions", "landing_medications")
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

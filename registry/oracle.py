@@ -638,6 +638,17 @@ def _change_detect() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _contents() -> str:
+    parts = []
+    for name, entity in ENTITIES.items():
+        cells = ", ".join(f"coalesce({c}, '')" for c in entity.column_names)
+        parts.append(
+            f"SELECT '{entity.landing_table}' AS table_name, md5(concat_ws(chr(31), {cells})) AS digest, "
+            f"'batch-1' AS batch_id FROM ({extract(name)})"
+        )
+    return " UNION ALL ".join(parts)
+
+
 def _extract_summary() -> str:
     loaded = " + ".join(
         f"(SELECT count(*) FROM ({extract(name)}))"
@@ -685,13 +696,14 @@ def _upsert_composite() -> str:
 
 
 def _control() -> str:
+    second = "table_name IN ('landing_encounters', 'landing_conditions', 'landing_medications')"
     counts = " UNION ALL ".join(
         f"SELECT '{entity.landing_table}' AS table_name, (SELECT count(*) FROM ({extract(name)})) AS n"
         for name, entity in ENTITIES.items()
     )
     return (
-        "SELECT table_name, CASE WHEN n > 1000 THEN 'batch-2' ELSE 'batch-1' END AS last_batch_id, "
-        f"CASE WHEN n > 1000 THEN TIMESTAMP '{LATER}' ELSE TIMESTAMP '{NOW}' END AS last_loaded_at, "
+        f"SELECT table_name, CASE WHEN {second} THEN 'batch-2' ELSE 'batch-1' END AS last_batch_id, "
+        f"CASE WHEN {second} THEN TIMESTAMP '{LATER}' ELSE TIMESTAMP '{NOW}' END AS last_loaded_at, "
         f"n AS rows_loaded, 'SUCCESS' AS status FROM ({counts})"
     )
 
@@ -806,9 +818,12 @@ def _foreign_keys() -> str:
 ORACLE = {
     "landing_ingest": f"SELECT *, TIMESTAMP '{BATCH_1}' AS create_at, TIMESTAMP '{BATCH_1}' AS update_at, "
     f"'batch-1' AS batch_id FROM ({extract('patients')})",
+    "landing_contents": _contents(),
     "landing_change_detect": _change_detect(),
     "extract_summary": _extract_summary(),
     "stream_landing_upsert": _stream(),
+    "stream_other_header": f"SELECT *, TIMESTAMP '{NOW}' AS create_at, TIMESTAMP '{NOW}' AS update_at, "
+    f"TRUE AS second_failed FROM ({clean('providers')})",
     **{f"clean_{name}": stamped_clean(name) for name in ENTITIES},
     "clean_blank_dates": "SELECT coalesce(STOP, DATE '1900-01-01') AS STOP, count(*) AS n_rows "
     f"FROM ({clean('medications')}) GROUP BY 1",

@@ -102,3 +102,21 @@ def test_watermark_upsert(spark):
     )
     rows = {r.table_name: r for r in control.updated_watermarks(held, news).collect()}
     assert len(rows) == 8 and rows["Landing_Payers"].rows_loaded == 5
+
+
+def test_line_breaks_in_cells_land_whole_by_default(spark, files, tmp_path):
+    path = files("a.csv", HEADER, '"p\n1",1999,,y,o', "p2,1999,,y,o")
+    zone = LandingZone(spark, str(tmp_path / "zone"))
+    result = load_entity(zone, ENTITY, path)
+    assert (result.status, result.rows_loaded) == ("SUCCESS", 2)
+    assert {r.PATIENT for r in zone.read(ENTITY).collect()} == {"p\n1", "p2"}
+
+
+def test_single_lines_fail_on_a_cut_row(spark, files, tmp_path):
+    zone = LandingZone(spark, str(tmp_path / "zone"))
+    broken = files("a.csv", HEADER, '"p\n1",1999,,y,o', "p2,1999,,y,o")
+    result = load_entity(zone, ENTITY, broken, multiline=False)
+    assert result.status == "FAILED" and "MALFORMED" in result.error.upper()
+    assert zone.read(ENTITY).count() == 0
+    whole = files("b.csv", HEADER, "p1,1999,,y,o", "p2,1999,,y,o")
+    assert load_entity(zone, ENTITY, whole, multiline=False).rows_loaded == 2

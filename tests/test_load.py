@@ -211,3 +211,51 @@ def test_blank_stops_as_1900(spark, zone, store):
 def test_the_two_documented_ranges():
     assert (load.FULL_RANGE[1] - load.FULL_RANGE[0]).days + 1 == 73049
     assert (load.PARTIAL_RANGE[1] - load.PARTIAL_RANGE[0]).days + 1 == 578
+
+
+def parts(store, name):
+    return set(store.snapshot(ENTITIES[name].staging_table).parts)
+
+
+def test_a_small_batch_rewrites_only_its_months(spark, zone, staged):
+    before = parts(staged, "encounters")
+    moved = {"Id": "e2", "START": "2020-03-02T08:00:00Z", "PATIENT": "p1"}
+    land(zone, "b2", LATER, {"encounters": rows(spark, "encounters", moved)})
+    staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=["b2"])
+    after = parts(staged, "encounters")
+    kept = {p for p in before if "202001" in p}
+    assert kept and kept <= after
+    assert not {p for p in before - kept} & after
+    held = staged.read(ENTITIES["encounters"].staging_table)
+    assert sorted((r.Id, str(r.START)[:7]) for r in held.collect()) == [
+        ("e0", "2020-01"), ("e1", "2020-01"), ("e2", "2020-03"), ("e3", "2020-03"), ("lost", "2020-01"),
+    ]
+    assert staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=["none"]) == 0
+    assert parts(staged, "encounters") == after
+
+
+def test_an_unchanged_dimension_is_not_written(spark, staged):
+    run(staged, "one")
+    before = {d.table: staged.snapshot(d.table).version for d in load.dims.HISTORY_DIMS}
+    written = run(staged, "two", now=LATER)
+    assert all(written[table] == 0 for table in before)
+    assert before == {table: staged.snapshot(table).version for table in before}
+
+
+def test_a_moved_encounter_is_one_fact(spark, zone, staged):
+    run(staged, "one")
+    moved = {
+        "Id": "e2", "START": "2020-03-02T08:00:00Z", "PATIENT": "p1", "ORGANIZATION": "o1",
+        "PROVIDER": "v1", "PAYER": "y1", "TOTAL_CLAIM_COST": "10", "ENCOUNTERCLASS": "wellness",
+    }
+    land(zone, "b2", LATER, {"encounters": rows(spark, "encounters", moved)})
+    staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=["b2"])
+    run(staged, "march", dt.date(2020, 3, 1), dt.date(2020, 3, 31), now=LATER)
+    facts = staged.read("fact_encounter").select("encounter_id", "encounter_date_key")
+    assert sorted(map(tuple, facts.collect())) == [
+        ("e0", 20200105), ("e1", 20200120), ("e2", 20200302), ("e3", 20200315),
+    ]
+    daily = staged.read("fact_encounter_daily").groupBy("date_key").agg(F.sum("encounter_count"))
+    assert sorted(map(tuple, daily.collect())) == [
+        (20200105, 1), (20200120, 1), (20200302, 1), (20200315, 1),
+    ]

@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from carestar.schemas import ENTITIES
 from carestar.streaming.files import stream_to_staging
 
@@ -24,3 +27,16 @@ def test_new_files_are_staged_once(store, folder, tmp_path):
     (tmp_path / "b.csv").write_text(HEADER + "p1,1999,,y,B\np2,x,,y,C\n")
     result = run(t3)
     assert [(r[0], r[2], r[3]) for r in result] == [("p1", "B", t3), ("p2", "C", t3)]
+
+
+def test_a_file_with_another_header_fails_the_run(store, folder, tmp_path):
+    def run():
+        stream_to_staging(store, ENTITY, str(tmp_path), f"{folder}/checkpoint").awaitTermination()
+
+    (tmp_path / "a.csv").write_text(HEADER + 'p1,1999,,y,"A\nB"\n')
+    run()
+    other = ",".join(HEADER.strip().split(",")[::-1])
+    (tmp_path / "b.csv").write_text(f"{other}\nA,y,,1999,p2\n")
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert [(r.PATIENT, r.OWNERSHIP) for r in store.read(ENTITY.staging_table).collect()] == [("p1", "A\nB")]
