@@ -31,7 +31,7 @@ def per_batch(
     df: DataFrame,
     start: Callable[[], Callable[[pa.RecordBatch], dict]],
     schema: str,
-    rows: int = 10_000,
+    rows: int = 2_000,
 ) -> DataFrame:
     """Maps record batches of at most ``rows`` rows; ``start`` makes the function once a task.
 

@@ -29,7 +29,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 class WordHashes(dict):
     def __missing__(self, word):
-        if len(self) >= 1 << 20:
+        if len(self) >= 1 << 18:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

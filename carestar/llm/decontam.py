@@ -193,7 +193,7 @@ def seed_frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
 
         return work
 
-    counted = per_batch(docs.select("text"), start, "gram long, n long")
+    counted = per_batch(docs.select("text"), start, "gram long, n long", rows=10_000)
     return {r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
 
 

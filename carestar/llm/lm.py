@@ -40,7 +40,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
         return work
 
-    counted = per_batch(texts, start, "word binary, n long")
+    counted = per_batch(texts, start, "word binary, n long", rows=10_000)
     return counted.groupBy("word").agg(F.sum("n").alias("c"))
 
 
@@ -223,7 +223,7 @@ def score_texts(
     schema = (
         "id long, n_tokens long, n_known long, base_score double, score double, rare array<binary>"
     )
-    scored = per_batch(taken, start, schema, rows=2_500).withColumn("row", F.monotonically_increasing_id())
+    scored = per_batch(taken, start, schema).withColumn("row", F.monotonically_increasing_id())
     scored = stored(scored, "scored")
     # Words rarer than those each task holds: their counts, or none.
     rare = scored.select("row", F.explode("rare").alias("word"))

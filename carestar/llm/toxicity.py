@@ -287,7 +287,7 @@ def fit_toxicity(
 
     schema = "word string, n_toxic long, n_clean long"
     summed = (
-        per_batch(taken.where("part > 0"), start_counts, schema)
+        per_batch(taken.where("part > 0"), start_counts, schema, rows=10_000)
         .groupBy("word")
         .agg(F.sum("n_toxic").alias("t"), F.sum("n_clean").alias("c"))
         .where((F.col("t") >= MIN_TOXIC) | (F.col("word") == ""))
