@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from carestar.schemas import ENTITIES, Column
+from carestar.schemas import ENTITIES, FOREIGN_KEYS, UNIQUE, Column
 
 NOW, LATER = "2024-02-02 03:04:05", "2024-03-02 03:04:05"
 BATCH_1, BATCH_2 = "2024-02-01 00:00:00", "2024-03-01 00:00:00"
@@ -620,6 +620,37 @@ def _load_partial() -> str:
     )
 
 
+def _audit_references() -> str:
+    number = "CAST(regexp_extract(encounter_id, '[0-9]+') AS BIGINT)"
+    planted = {
+        ("fact_encounter", "patient_key"): f"SELECT count(*) FROM f_encounter WHERE {number} % 7 = 0",
+        ("fact_condition", "organization_key"): f"SELECT count(*) FROM f_condition WHERE {number} % 11 = 0",
+        ("fact_medications", "medication_key"): f"SELECT count(*) FROM f_medications WHERE {number} % 13 = 0",
+    }
+    rows = " UNION ALL ".join(
+        f"SELECT '{fact}' AS fact_table, '{column}' AS fact_column, '{dim}' AS dim_table, "
+        f"CAST(({planted.get((fact, column), 'SELECT 0')}) AS BIGINT) AS orphan_rows"
+        for (fact, column), (dim, _) in FOREIGN_KEYS.items()
+    )
+    return _with_facts("f_encounter", "f_condition", "f_medications") + f" SELECT * FROM ({rows})"
+
+
+def _audit_keys() -> str:
+    repeated = (
+        "SELECT count(*) FROM f_encounter WHERE CAST(regexp_extract(encounter_id, '[0-9]+') AS BIGINT) % 7 = 0"
+    )
+    rows = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{','.join(keys)}' AS key_columns, "
+        f"CAST(({repeated if table == 'fact_encounter' else 'SELECT 0'}) AS BIGINT) AS duplicated_keys"
+        for table, keys in UNIQUE.items()
+    )
+    return _with_facts("f_encounter") + f" SELECT * FROM ({rows})"
+
+
+_LOADS = (("years", "1995-01-01", "2001-12-31"), ("cases", "2024-01-01", "2024-12-31"),
+          ("month", "1998-06-01", "1998-06-30"))
+
+
 # -- the statements -----------------------------------------------------------
 
 
@@ -891,6 +922,16 @@ ORACLE = {
       AND o_orderkey % 2 = 0""",
     "load_full": _load_full(),
     "load_partial": _load_partial(),
+    "loaded_fact_encounter": _with_facts("f_encounter") + " SELECT * FROM f_encounter",
+    "loaded_fact_condition": _with_facts("f_condition") + " SELECT * FROM f_condition",
+    "loaded_fact_encounter_daily": _with_facts("f_encounter") + _encounter_daily("f_encounter"),
+    "load_log": " UNION ALL ".join(
+        f"SELECT 'warehouse_load' AS proc_name, '{batch}' AS batch_id, 'SUCCESS' AS status, "
+        f"'FromDate={low};ToDate={high};AsOfDate=2021-06-15' AS params"
+        for batch, low, high in _LOADS
+    ),
+    "audit_references": _audit_references(),
+    "audit_keys": _audit_keys(),
     "batch_guard": "SELECT 'B' || c_custkey AS batch_id, EXISTS (SELECT 1 FROM orders "
     "WHERE o_custkey = c_custkey AND o_orderpriority IN ('1-URGENT', '2-HIGH') "
     "AND o_orderstatus = 'F') AS skip FROM customer",

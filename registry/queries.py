@@ -19,7 +19,7 @@ from carestar.operators.lookup import as_of_lookup
 from carestar.operators.surrogate import dense_ids
 from carestar.operators.upsert import insert_missing, upsert
 from carestar.plans import control, daily, dims, facts, load, staging
-from carestar.schemas import ENTITIES, WAREHOUSE
+from carestar.schemas import ENTITIES, FOREIGN_KEYS, UNIQUE, WAREHOUSE
 from carestar.schemas import WHOLE as WHOLE_NUMBER
 from carestar.session import scratch_dir
 from carestar.sources.landing import (
@@ -648,6 +648,67 @@ def load_partial(spark, folder):
     return _row_counts(store)
 
 
+_LOADED: dict[tuple[str, str], TableStore] = {}
+
+
+def loaded_store(spark, folder) -> TableStore:
+    """A warehouse loaded in three ranges, the last of them one month inside the first; the
+    queries below read it, so a session loads it once for each folder."""
+    known = (spark.sparkContext.applicationId, folder)
+    if known not in _LOADED:
+        store = _staged_store(spark, folder, "loaded")
+        load.load_warehouse(store, *DATA_YEARS, as_of=AS_OF, batch_id="years", now=NOW)
+        load.load_warehouse(store, *CONDITION_DAYS, as_of=AS_OF, batch_id="cases", now=NOW)
+        month = (dt.date(1998, 6, 1), dt.date(1998, 6, 30))
+        load.load_warehouse(store, *month, as_of=AS_OF, batch_id="month", now=LATER)
+        _LOADED[known] = store
+    return _LOADED[known]
+
+
+def _loaded(fact, key, *wanted):
+    def query(spark, folder):
+        store = loaded_store(spark, folder)
+        warehouse = {dim.table: store.read(dim.table) for dim in wanted}
+        return natural(store.read(fact), warehouse, *wanted).drop(key, *_FACT_ONLY)
+
+    return query
+
+
+def load_log(spark, folder):
+    """The run log of the three loads: what ran, for which batch and range, and how it ended."""
+    log = loaded_store(spark, folder).read("etl_run_log").where(F.col("proc_name") == load.LOAD)
+    return log.select("proc_name", "batch_id", "status", "params")
+
+
+# Rows planted into a loaded warehouse: fact, key column, and how many rows in a hundred.
+_PLANTED = (
+    ("fact_encounter", "patient_key", 7),
+    ("fact_condition", "organization_key", 11),
+    ("fact_medications", "medication_key", 13),
+)
+
+
+def audit_references(spark, folder):
+    """Orphans per foreign key, after some fact rows got keys that no dimension has."""
+    store = loaded_store(spark, folder)
+    tables = {name: store.read(name) for name in WAREHOUSE}
+    for fact, column, divisor in _PLANTED:
+        number = F.regexp_extract("encounter_id", "[0-9]+", 0).cast("bigint")
+        lost = F.when(number % divisor == 0, F.lit(10**15)).otherwise(F.col(column))
+        tables[fact] = tables[fact].withColumn(column, lost)
+    return quality.foreign_key_violations(tables, FOREIGN_KEYS)
+
+
+def audit_keys(spark, folder):
+    """Duplicated keys per uniqueness contract, after some encounters were repeated."""
+    store = loaded_store(spark, folder)
+    tables = {name: store.read(name) for name in UNIQUE}
+    number = F.regexp_extract("encounter_id", "[0-9]+", 0).cast("bigint")
+    stays = tables["fact_encounter"]
+    tables["fact_encounter"] = stays.unionByName(stays.where(number % 7 == 0))
+    return quality.unique_violations(tables, UNIQUE, ignore_null=["fact_medication_daily"])
+
+
 def batch_guard(spark, folder):
     """Which customer batches a log of order runs marks as done."""
     runs = table(spark, folder, "orders").select(
@@ -789,6 +850,17 @@ QUERIES = {
     "replace_range_frame": replace_range_frame,
     "load_full": load_full,
     "load_partial": load_partial,
+    "loaded_fact_encounter": _loaded("fact_encounter", "fact_encounter_key", *_ALL_DIMS),
+    "loaded_fact_condition": _loaded(
+        "fact_condition", "fact_condition_key", dims.PATIENT, dims.PROVIDER, dims.ORGANIZATION,
+        dims.CONDITION_CODE,
+    ),
+    "loaded_fact_encounter_daily": _loaded(
+        "fact_encounter_daily", "daily_key", dims.ORGANIZATION, dims.PAYER
+    ),
+    "load_log": load_log,
+    "audit_references": audit_references,
+    "audit_keys": audit_keys,
     "batch_guard": batch_guard,
     "dq_width": dq_width,
     "dq_unique": dq_unique,
