@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-BUCKETS = 1024
+LEAST_BUCKETS = 1024
 
 
 def dense_ids(
@@ -16,16 +16,19 @@ def dense_ids(
     name: str,
     by: Sequence[str],
     after: Column | None = None,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Number the rows ``after + 1 …`` without gaps, as a function of the data alone.
 
     Rows are spread over hash buckets of ``by``, numbered inside each bucket and
-    moved up by the sizes of the buckets before. The offset table has at most
-    ``buckets`` rows, whatever the data, so broadcasting it is safe. The numbers
-    do not depend on physical partitions, so a recomputed task gives the same
-    keys. ``by`` must be unique.
+    moved up by the sizes of the buckets before. There are 1,024 buckets, or as many
+    as the session has shuffle partitions if these are more, so that a large first
+    load has work for all tasks; the offset table has a row for each and is
+    broadcast. The numbers do not depend on where rows lie, so a recomputed task
+    gives the same keys. ``by`` must be unique.
     """
+    if buckets is None:
+        buckets = max(LEAST_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     start = F.greatest(F.coalesce(after, F.lit(0)), F.lit(0)) if after is not None else F.lit(0)
     bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int"))
     # ``_all`` is one group of at most ``buckets`` rows.
