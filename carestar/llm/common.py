@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.session import scratch_dir
@@ -100,3 +100,24 @@ def salted_rank(df: DataFrame, group: str, order: list[str], name: str, rows_per
         .withColumn(name, (F.col("__row") + F.col("__before")).cast("long"))
         .drop("__of", "__salts", "__g", "__s", "__salt", "__row", "__before")
     )
+
+
+def flag_likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, flag: str, bits: int = 1 << 24):
+    """Adds ``flag``: false only if no row of ``wanted`` has that key.
+
+    A Bloom filter of one hash: a table of at most bits / 64 numbers, whatever the input, which
+    is broadcast. What it flags is looked up exactly afterwards; what it does not needs no
+    shuffle. With very many wanted keys it flags all, and the exact look-up does the work.
+    """
+    places = wanted.select(F.pmod(F.xxhash64(wanted_key), F.lit(bits)).alias("h"))
+    bit = "shiftleft(1L, cast(h % 64 as int))"
+    words = places.groupBy(F.expr("h div 64").alias("__at")).agg(F.expr(f"bit_or({bit})").alias("__word"))
+    marked = df.withColumn("__h", F.pmod(F.xxhash64(key), F.lit(bits)))
+    found = marked.join(F.broadcast(words), F.expr("__h div 64") == F.col("__at"), "left")
+    hit = F.expr("coalesce(shiftright(__word, cast(__h % 64 as int)) & 1L, 0L) = 1L")
+    return found.withColumn(flag, hit).drop("__h", "__at", "__word")
+
+
+def likely_in(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """``df`` without most rows whose key is not wanted, and with all whose key is."""
+    return flag_likely(df, key, wanted, wanted_key, "__likely").where("__likely").drop("__likely")

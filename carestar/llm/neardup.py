@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, per_batch, stored
+from carestar.llm.common import column_lists, flag_likely, likely_in, per_batch, stored
 from carestar.llm.components import components
 from carestar.llm.dartminhash import DartSignature, WordHashes, shingles
 
@@ -218,7 +218,9 @@ def _classed(docs, similarity, bands, rows, id_column, text_column) -> DataFrame
     nodes = stored(nodes, "nodes")
     members = nodes.select(F.explode("keys").alias("key"), "node")
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = stored(members.join(shared, "key"), "buckets")
+    shared = stored(shared, "shared")
+    likely = likely_in(members, F.col("key"), shared, F.col("key"))
+    buckets = stored(likely.join(shared, "key"), "buckets")
     labels = None
     if not buckets.isEmpty():
         labels = components(_links(buckets, _texts_of(taken, nodes, buckets), similarity))
@@ -247,7 +249,8 @@ def _texts_of(taken: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFra
         return pa.array([_node(words_of(t)) for t in texts.to_pylist()], pa.binary())
 
     def read(nodes):
-        found = taken.join(nodes, F.col("id").eqNullSafe(F.col("rep"))).select("node", "text")
+        likely = likely_in(taken, F.col("id"), nodes, F.col("rep"))
+        found = likely.join(nodes, F.col("id").eqNullSafe(F.col("rep"))).select("node", "text")
         return found.where(node_of("text") == F.col("node"))
 
     found = read(wanted.where("rep_rows = 1"))
@@ -265,15 +268,26 @@ def one_of_each(
     All columns stay as they are. A class without any id keeps one row. Of rows of a class that
     share the kept id, those of one text stay, and of rows that repeat it one.
     """
-    classed = _classed(docs, similarity, 32, 5, id_column, text_column)
+    classed = stored(_classed(docs, similarity, 32, 5, id_column, text_column), "classed")
     same_text = classed.groupBy("component", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "rows")).alias("first")
-    kept = same_text.groupBy("component").agg(first)
-    kept = kept.select(F.col("first.id").alias("__id"), F.col("first.mark").alias("__mark"), F.col("first.rows").alias("__rows"))
-    kept = stored(kept, "kept")
+    firsts = same_text.groupBy("component").agg(first).select("component", "first")
+    is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
+    judged = same_text.join(firsts, "component")
+    # Rows that go, and rows of which one stays: few. All others stay without a look-up.
+    doubtful = judged.where(~is_first | (F.col("rows") > 1))
+    doubtful = doubtful.select(
+        F.col("id").alias("__id"), F.col("mark").alias("__mark"), is_first.alias("__stays"), F.col("rows").alias("__rows")
+    )
+    doubtful = stored(doubtful, "doubtful")
+    key, wanted = F.struct(F.col(id_column).cast("long"), F.xxhash64(text_column)), F.struct("__id", "__mark")
+    flagged = flag_likely(docs, key, doubtful, wanted, "__likely")
+    sure = flagged.where("not __likely").select(*docs.columns)
+    maybe = flagged.where("__likely").select(*docs.columns)
     same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__mark"))
-    once = docs.join(kept.where("__rows = 1"), same, "left_semi")
-    if kept.where("__rows > 1").isEmpty():
-        return once
-    often = docs.join(kept.where("__rows > 1"), same, "left_semi")
-    return once.unionAll(often.dropDuplicates([id_column, text_column]))
+    kept = sure.unionAll(maybe.join(doubtful, same, "left_anti"))
+    repeated = doubtful.where("__stays")
+    if repeated.isEmpty():
+        return kept
+    often = maybe.join(repeated, same, "left_semi")
+    return kept.unionAll(often.dropDuplicates([id_column, text_column]))
