@@ -49,16 +49,20 @@ def as_of_lookup(
     natural_key: str,
     surrogate_key: str,
     output: str | None = None,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """Add the surrogate key of the version valid on day ``on``; NULL if none.
 
+    ``ranges`` is the timeline of ``dim`` where the caller has it already.
+
     Ranges of a member are disjoint, so the join keeps the fact rows as they
     are: no row is multiplied and nothing is aggregated afterwards. A small
     dimension is broadcast from its measured size. A large one is shuffled; the
     second, redundant key makes both inputs of that join plain shuffles, the
     form in which AQE can split the partition of a hot member.
     """
-    ranges = timeline(dim, natural_key, surrogate_key)
+    if ranges is None:
+        ranges = timeline(dim, natural_key, surrogate_key)
     match = (facts[fact_key] == ranges["_nk"]) & on.between(ranges["_from"], ranges["_to"])
     if _binary_text(facts, fact_key):
         match = match & (F.xxhash64(facts[fact_key]) == F.xxhash64(ranges["_nk"]))

@@ -30,7 +30,11 @@ def conform(df: DataFrame, table: str, now: dt.datetime) -> DataFrame:
 
 
 def _with_dimension(
-    rows: DataFrame, dim: dims.HistoryDim, members: DataFrame, day: Column
+    rows: DataFrame,
+    dim: dims.HistoryDim,
+    members: DataFrame,
+    day: Column,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     return as_of_lookup(
         rows,
@@ -39,9 +43,15 @@ def _with_dimension(
         on=day,
         natural_key=dim.natural_key,
         surrogate_key=dim.surrogate_key,
+        ranges=ranges,
     )
 
 
+def ranges_of(table: str) -> str:
+    """The name under which a warehouse holds the timeline of a dimension, if it does."""
+    return f"{table}_ranges"
+
+
 def _with_dimensions(
     rows: DataFrame,
     warehouse: dict[str, DataFrame],
@@ -58,7 +68,8 @@ def _with_dimensions(
     if on_missing not in _PATIENT_RULES:
         raise ValueError(f"unknown rule for missing members {on_missing!r}")
     for dim in wanted:
-        rows = _with_dimension(rows, dim, warehouse[dim.table], F.col(day))
+        ranges = warehouse.get(ranges_of(dim.table))
+        rows = _with_dimension(rows, dim, warehouse[dim.table], F.col(day), ranges)
         key = F.col(dim.surrogate_key)
         if on_missing == "unknown":
             rows = rows.withColumn(dim.surrogate_key, F.coalesce(key, F.lit(dims.UNKNOWN_KEY)))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from carestar.functions.dates import FIRST_DAY, LAST_DAY, key_of, moment
 from carestar.operators.calendar import calendar, check_range, missing_days
+from carestar.operators.lookup import timeline
 from carestar.plans import control, daily, dims, facts
 from carestar.schemas import ENTITIES, WAREHOUSE
 from carestar.sources.landing import LandingZone, run_extract, utc_now
@@ -151,8 +152,21 @@ def read_dims(store: TableStore) -> dict[str, DataFrame]:
     return {table: store.read(table) for table in tables}
 
 
+def with_timelines(store: TableStore, warehouse: dict[str, DataFrame], parallel: int) -> dict:
+    """``warehouse`` with the timeline of each history dimension, built once and stored, so
+    that the lookups of a load's facts all read it."""
+    by_table = {facts.ranges_of(dim.table): dim for dim in dims.HISTORY_DIMS}
+
+    def build(name: str) -> int:
+        dim = by_table[name]
+        return store.replace(name, timeline(warehouse[dim.table], dim.natural_key, dim.surrogate_key))
+
+    _together(build, by_table, parallel)
+    return warehouse | {name: store.read(name) for name in by_table}
+
+
 def load_facts(store: TableStore, first, last, now, options: Options) -> dict[str, int]:
-    warehouse = read_dims(store)
+    warehouse = with_timelines(store, read_dims(store), options.parallel)
     low, high = key_of(first), key_of(last)
     # Conditions and medications look up encounters of any month by id.
     builders: dict[str, tuple[Callable[..., DataFrame], str, str]] = {
