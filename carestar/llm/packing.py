@@ -42,8 +42,11 @@ def combinations(lengths: list[int], window: int, parts: int) -> list[tuple[int,
     return found
 
 
-def nnls(columns: list[tuple[int, ...]], b: np.ndarray, rounds: int = 40_000) -> np.ndarray:
-    """x >= 0 that minimises |A x - b|, where a column of A counts the rows it lists.
+def nnls(
+    columns: list[tuple[int, ...]], b: np.ndarray, enough: float = 1e-7, rounds: int = 40_000
+) -> np.ndarray:
+    """x >= 0 that minimises |A x - b|, where a column of A counts the rows it lists, until no
+    step would move an x by ``enough``.
 
     Each step moves the one x that lowers the sum of squares most, as far as it does and not
     below 0. A step is elementwise work over all columns, without threaded linear algebra, whose
@@ -54,7 +57,6 @@ def nnls(columns: list[tuple[int, ...]], b: np.ndarray, rounds: int = 40_000) ->
     square = np.array([sum(c.count(k) ** 2 for k in set(c)) for c in columns], float)
     left = np.append(b.astype(float), 0.0)
     x = np.zeros(len(columns))
-    enough = 1e-7 * max(1.0, float(b.max(initial=0)))
     for _ in range(rounds):
         step = np.maximum(left[rows].sum(axis=1) / square, -x)
         best = int((step * step * square).argmax())
@@ -86,7 +88,9 @@ def plan_windows(histogram: dict[int, int], window: int, parts: int = 3) -> list
     if full:
         order = {k: i for i, k in enumerate(left)}
         columns = [tuple(order[k] for k in combination) for combination in full]
-        counts = nnls(columns, np.array([left[k] for k in left], float))
+        # Counts are rounded down, so smaller steps than these change little.
+        enough = max(0.2, 1e-5 * max(left.values()))
+        counts = nnls(columns, np.array([left[k] for k in left], float), enough)
         for j in np.argsort(-counts, kind="stable"):
             pattern = {k: full[j].count(k) for k in full[j]}
             times = min(int(counts[j] + 1e-6), *(left[k] // m for k, m in pattern.items()))
