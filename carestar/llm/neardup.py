@@ -271,15 +271,21 @@ def one_of_each(
     classed = stored(_classed(docs, similarity, 32, 5, id_column, text_column), "classed")
     same_text = classed.groupBy("component", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "rows")).alias("first")
-    firsts = same_text.groupBy("component").agg(first).select("component", "first")
-    is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("mark") == F.col("first.mark"))
-    judged = same_text.join(firsts, "component")
-    # Rows that go, and rows of which one stays: few. All others stay without a look-up.
-    doubtful = judged.where(~is_first | (F.col("rows") > 1))
-    doubtful = doubtful.select(
-        F.col("id").alias("__id"), F.col("mark").alias("__mark"), is_first.alias("__stays"), F.col("rows").alias("__rows")
+    firsts = same_text.groupBy(F.col("component").alias("__of")).agg(first)
+    firsts = firsts.select(
+        "__of", F.col("first.id").alias("__id"), F.col("first.mark").alias("__mark"), F.col("first.rows").alias("__rows")
+    )
+    # The key is the row, not its class, so that a large class is not one task's work.
+    is_first = (
+        (F.col("component") == F.col("__of"))
+        & F.col("id").eqNullSafe(F.col("__id"))
+        & (F.col("mark") == F.col("__mark"))
     )
-    doubtful = stored(doubtful, "doubtful")
+    gone = same_text.join(firsts, is_first, "left_anti")
+    gone = gone.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.lit(False).alias("__stays"))
+    repeats = firsts.where("__rows > 1").select("__id", "__mark", F.lit(True).alias("__stays"))
+    # Rows that go, and rows of which one stays: few. All others stay without a look-up.
+    doubtful = stored(gone.unionAll(repeats), "doubtful")
     key, wanted = F.struct(F.col(id_column).cast("long"), F.xxhash64(text_column)), F.struct("__id", "__mark")
     flagged = flag_likely(docs, key, doubtful, wanted, "__likely")
     sure = flagged.where("not __likely").select(*docs.columns)

@@ -139,7 +139,7 @@ def pack(
     vocabulary: str,
     end_id: int = 2,
     window: int = 4096,
-    rows_per_cell: int = 1_000,
+    rows_per_cell: int = 250,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:

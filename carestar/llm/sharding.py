@@ -28,7 +28,7 @@ def shard_by_bytes(
     docs: DataFrame,
     shards: int = 24,
     bundles_per_shard: int = 512,
-    rows_per_cell: int = 1_000,
+    rows_per_cell: int = 250,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
