@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: a lossless count of word pairs, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from carestar.llm.common import column_lists, per_batch
 
-GRAM = 3
-SPAN = 4
+LEAST_ITEM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_WORDS = 12
 THRESHOLD = 0.5
@@ -46,27 +45,23 @@ def _words(text: str | None) -> list[str]:
 
 @dataclass
 class Items:
-    """Test items as word numbers, and the n-grams that are their seeds."""
+    """Test items as word numbers, and the word pairs that are their seeds."""
 
     ids: list
     vocabulary: dict[str, int]
     words: list[np.ndarray]
-    grams: np.ndarray  # sorted codes of all n-grams of items
-    starts: np.ndarray | None = None  # of each gram in the two lists below
+    grams: np.ndarray  # sorted codes of all pairs of items
+    starts: np.ndarray | None = None  # of each pair in the three lists below
     item: np.ndarray | None = None
-    place: np.ndarray | None = None
+    place: np.ndarray | None = None  # of the pair's first word
+    near: np.ndarray | None = None  # whether its words are neighbours in the item
     cache: object = field(default=None, repr=False)
+    limits: tuple | None = field(default=None, repr=False)
 
-    def codes(self, numbers: np.ndarray) -> np.ndarray:
-        """Codes of the n-grams; -1 where a word is in no item. Exact up to 2,000,000 words."""
-        n = len(numbers) - GRAM + 1
-        if n < 1:
-            return np.zeros(0, np.int64)
-        total, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for k in range(GRAM):
-            total = total * (len(self.vocabulary) + 1) + numbers[k : k + n]
-            known &= numbers[k : k + n] > 0
-        return np.where(known, total, -1)
+    def codes(self, numbers: np.ndarray, apart: int) -> np.ndarray:
+        """Codes of the pairs of words ``apart``; -1 where a word is in no item."""
+        first, second = numbers[:-apart], numbers[apart:]
+        return np.where((first > 0) & (second > 0), first * (len(self.vocabulary) + 1) + second, -1)
 
     def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions whose code is one of ``grams``, and which."""
@@ -90,34 +85,36 @@ def index_items(rows: list[tuple]) -> Items:
     ids, words = [], []
     for item, text in rows:
         listed = _words(text)
-        if len(listed) >= GRAM:
+        if len(listed) >= LEAST_ITEM:
             ids.append(item)
             words.append(
                 np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in listed], np.int64)
             )
     items = Items(ids, vocabulary, words, np.zeros(0, np.int64))
     if words:
-        items.grams = np.unique(np.concatenate([items.codes(w) for w in words]))
+        items.grams = np.unique(np.concatenate([items.codes(w, k) for w in words for k in (1, 2)]))
     return items
 
 
-def choose_seeds(items: Items, frequency: dict[int, int]) -> Items:
-    """Keeps, of any SPAN places in a row of an item, the n-gram that the fewest documents hold
-    (ties: the first). Rarity is within the item, so an item that many documents copied keeps
-    its seeds, and SPAN + GRAM - 1 words in a row taken over unchanged always hold one."""
-    seeds = []
+def choose_seeds(items: Items, frequency: dict[int, int] | None = None) -> Items:
+    """Indexes every pair of words of the items that are one or two apart. None is left out,
+    however many documents hold it (``frequency``), so that the count in ``candidates`` is exact."""
+    code, item, place, near = [], [], [], []
     for i, words in enumerate(items.words):
-        codes = items.codes(words)
-        counts = [frequency.get(int(c), 0) for c in codes]
-        windows = range(max(1, len(codes) - SPAN + 1))
-        places = {min(range(w, min(w + SPAN, len(codes))), key=counts.__getitem__) for w in windows}
-        seeds += [(int(codes[p]), i, p) for p in places]
-    seeds.sort()
-    code = np.array([s[0] for s in seeds], np.int64)
-    grams, starts = np.unique(code, return_index=True)
+        for apart in (1, 2):
+            n = len(words) - apart
+            code.append(items.codes(words, apart))
+            item.append(np.full(n, i))
+            place.append(np.arange(n))
+            near.append(np.full(n, apart == 1))
+    code = np.concatenate([np.zeros(0, np.int64), *code])
+    order = np.argsort(code, kind="stable")
+    grams, starts = np.unique(code[order], return_index=True)
     return Items(
-        items.ids, items.vocabulary, items.words, grams, np.append(starts, len(seeds)),
-        np.array([s[1] for s in seeds], np.int64), np.array([s[2] for s in seeds], np.int64),
+        items.ids, items.vocabulary, items.words, grams, np.append(starts, len(code)),
+        np.concatenate([np.zeros(0, np.int64), *item])[order],
+        np.concatenate([np.zeros(0, np.int64), *place])[order],
+        np.concatenate([np.zeros(0, bool), *near])[order],
     )
 
 
@@ -146,57 +143,80 @@ def needed_score(length: int, threshold: float) -> int:
     return max(math.ceil(threshold * MATCH * length), MATCH * min(length, LEAST_WORDS))
 
 
+def candidates(items: Items, numbers: np.ndarray, needs: np.ndarray, spans: np.ndarray) -> dict[int, list[int]]:
+    """For each item that the text may leak, the blocks b so that words from b to b + 2 times the
+    item's span may hold the alignment. Every alignment that scores enough is in one of them.
+
+    Of m aligned words, each but the last has a gap of edits to the next. Their score is at most
+    2 + the sum over gaps of 2 - edits, so gaps without edits (neighbours in both) count 2, those
+    of one edit (one or two apart in each) count 1, and together at least the needed score - 2."""
+    place_at, item_at, place, weight = [], [], [], []
+    for apart in (1, 2):
+        at, which = items.found(items.codes(numbers, apart))
+        if not len(at):
+            continue
+        many = items.starts[which + 1] - items.starts[which]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        entry = np.repeat(items.starts[which], many) + nth
+        place_at.append(np.repeat(at, many))
+        item_at.append(items.item[entry])
+        place.append(items.place[entry])
+        weight.append(1 + items.near[entry] if apart == 1 else np.ones(len(entry), np.int64))
+    if not item_at:
+        return {}
+    at, item = np.concatenate(place_at), np.concatenate(item_at)
+    # An item without enough in the whole text needs no look at blocks.
+    weight, place = np.concatenate(weight), np.concatenate(place)
+    total = np.bincount(item, weight, len(items.words))
+    keep = total[item] >= needs[item] - 2
+    if not keep.any():
+        return {}
+    at, item, weight, place = at[keep], item[keep], weight[keep], place[keep]
+    block, blocks = at // spans[item], len(numbers) + 1
+    # Each block counts for itself and the one before; a place of the item counts once.
+    key = np.concatenate([item * blocks + block, (item * blocks + block - 1)[block > 0]])
+    weight, place = np.concatenate([weight, weight[block > 0]]), np.concatenate([place, place[block > 0]])
+    keys, cell = np.unique(key, return_inverse=True)
+    enough = np.bincount(cell, weight) >= needs[keys // blocks] - 2
+    rows = enough[cell]
+    cell, weight, place = cell[rows], weight[rows], place[rows]
+    order = np.lexsort((-weight, place, cell))
+    cell, weight, place = cell[order], weight[order], place[order]
+    first = np.ones(len(cell), bool)
+    first[1:] = (cell[1:] != cell[:-1]) | (place[1:] != place[:-1])
+    once = np.bincount(cell[first], weight[first], len(keys))
+    found: dict[int, list[int]] = {}
+    for k in keys[once >= needs[keys // blocks] - 2]:
+        found.setdefault(int(k // blocks), []).append(int(k % blocks))
+    return found
+
+
 def aligned(items: Items, text: str | None, threshold: float) -> list[tuple]:
     """(item number, score, end word in the text) of each item that the text leaks."""
+    if items.limits is None or items.limits[0] != threshold:
+        needs = np.array([needed_score(len(w), threshold) for w in items.words], np.int64)
+        sizes = np.array([len(w) for w in items.words], np.int64)
+        # m aligned words leave 2 m - needed for edits, of which insertions make the text longer.
+        items.limits = threshold, needs, np.maximum(3 * sizes - needs, 1)
+    _, needs, spans = items.limits
     numbers = items.numbers(text)
-    at, which = items.found(items.codes(numbers))
-    if not len(at):
-        return []
-    many = items.starts[which + 1] - items.starts[which]
-    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    entry = np.repeat(items.starts[which], many) + nth
-    item, shift = items.item[entry], np.repeat(at, many) - items.place[entry]
-    order = np.lexsort((shift, item))
-    item, shift = item[order], shift[order]
     hits = []
-    for i in np.unique(item):
-        words = items.words[i]
-        shifts = np.unique(shift[item == i])
-        slack = len(words) // 4 + 8
-        lows, highs = shifts - slack, shifts + len(words) + slack
+    for i, blocks in sorted(candidates(items, numbers, needs, spans).items()):
+        words, span = items.words[i], int(spans[i])
         best, cut = (0, 0), 0
-        while cut < len(lows):  # windows that touch are one
+        while cut < len(blocks):  # windows that touch are one
             last = cut
-            while last + 1 < len(lows) and lows[last + 1] <= highs[last]:
+            while last + 1 < len(blocks) and blocks[last + 1] <= blocks[last] + 2:
                 last += 1
-            low = max(0, int(lows[cut]))
-            score, end = smith_waterman(numbers[low : int(highs[last])], words)
+            low = blocks[cut] * span
+            score, end = smith_waterman(numbers[low : (blocks[last] + 2) * span], words)
             best = max(best, (score, low + end))
             cut = last + 1
-        if best[0] >= needed_score(len(words), threshold):
-            hits.append((int(i), *best))
+        if best[0] >= needs[i]:
+            hits.append((i, *best))
     return hits
 
 
-def seed_frequencies(docs: DataFrame, items: Items) -> dict[int, int]:
-    """For each n-gram of the items, how many documents hold it. Tasks send a count for each
-    n-gram met in a batch; the result has no more rows than the items have n-grams."""
-
-    def start():
-        def work(batch):
-            counts = np.zeros(len(items.grams), np.int64)
-            for text in column_lists(batch, "text")[0]:
-                _, which = items.found(items.codes(items.numbers(text)))
-                counts[np.unique(which)] += 1
-            met = np.flatnonzero(counts)
-            return {"gram": items.grams[met], "n": counts[met]}
-
-        return work
-
-    counted = per_batch(docs.select("text"), start, "gram long, n long", rows=10_000)
-    return {r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-
-
 def item_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_bytes: int) -> Iterator[list[tuple]]:
     """The distinct items in blocks of about ``block_bytes`` of text, by a hash; one block comes
     to the driver at a time."""
@@ -210,21 +230,14 @@ def item_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_by
 
 
 def fit_blocks(
-    docs: DataFrame,
     benchmark: DataFrame,
-    text_column: str = "text",
     item_column: str = "item_id",
     item_text_column: str = "text",
     block_bytes: int = BLOCK_BYTES,
 ) -> list[Items]:
-    """The items with their seeds, chosen by counts over all of ``docs``."""
-    texts = docs.select(F.col(text_column).alias("text"))
-    blocks = []
-    for rows in item_blocks(benchmark, item_column, item_text_column, block_bytes):
-        items = index_items(rows)
-        if items.words:
-            blocks.append(choose_seeds(items, seed_frequencies(texts, items)))
-    return blocks
+    """The items with their seeds."""
+    indexed = map(index_items, item_blocks(benchmark, item_column, item_text_column, block_bytes))
+    return [choose_seeds(items) for items in indexed if items.words]
 
 
 def find_leaks(
@@ -242,8 +255,9 @@ def find_leaks(
 
     Items are a query set: tasks get them in blocks of at most ``block_bytes`` of text, and
     every document is read against all of a block, so no documents are shuffled and a passage
-    in a third of them costs no more than any other. A document with a seed of an item is
-    aligned with it by words around the seeds; it leaks the item if at least ``threshold`` of
+    in a third of them costs no more than any other. A document is aligned with an item by words
+    wherever it holds as many of the item's word pairs as an alignment that scores enough must;
+    so the result is that of aligning all pairs. It leaks the item if at least ``threshold`` of
     the item's words, and twelve (all, if the item has fewer), are aligned without edits, or
     more of them with edits (match 2, mismatch and gap -1).
 
@@ -254,7 +268,7 @@ def find_leaks(
     taken = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     schema = "id long, item long, score double, aligned long, end_word long"
     found = None
-    for items in fit_blocks(docs, benchmark, text_column, item_column, item_text_column, block_bytes):
+    for items in fit_blocks(benchmark, item_column, item_text_column, block_bytes):
 
         def start(items=items):
             def work(batch):

@@ -27,7 +27,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    blocks = fit_blocks(docs, table(spark, sf_dir, "benchmark"))
+    blocks = fit_blocks(table(spark, sf_dir, "benchmark"))
     return docs.where(~leaks_column(F.col("text"), blocks))
 
 

@@ -108,3 +108,40 @@ def test_seeds_cover_every_run_of_six_words():
     places = sorted(seeds.place)
     assert all(any(p <= s <= p + 3 for s in places) for p in range(len(items.words[0]) - 5))
     assert aligned(seeds, " ".join(prose(3, 50).split()[10:22]), 0.1)
+
+
+def edited(rng, words, rate, kinds):
+    out = []
+    for w in words:
+        kind = rng.choice(kinds) if rng.random() < rate else "keep"
+        out += [] if kind == "drop" else [w] if kind == "keep" else [f"new{rng.randrange(99)}"]
+        out += [w] if kind == "add" else []
+    return out
+
+
+def test_every_copy_that_scores_enough_is_found_however_edited():
+    """Edits of every word, every second and so on, and random ones, against aligning all pairs."""
+    rng = random.Random(4)
+    items = choose_seeds(index_items([*ITEMS, (90, " ".join(prose(9, 8).split() * 3)), (91, prose(8, 5))]), {})
+    passed = missed_by_runs = 0
+    for n in range(600):
+        words = items_words = prose(500 + n % 20, 20 + n % 20).split()
+        if n % 3 == 0:
+            every, at = 2 + n % 5, rng.randrange(6)
+            copy = ["new" if k % every == at % every else w for k, w in enumerate(words)]
+        elif n % 3 == 1:
+            copy = edited(rng, words, rng.choice((0.2, 0.25, 0.3)), ("change",))
+        else:
+            copy = edited(rng, words, rng.choice((0.3, 0.6, 1.0)), ("add", "drop", "change", "add"))
+        if n % 50 == 2:
+            copy = [x for w in words for x in (w, "and")]
+        lead = prose(n, rng.randrange(40)).split()
+        text = [*lead, *copy, *prose(n + 1, 20).split()]
+        got = {i: s for i, s, _ in aligned(items, " ".join(text), 0.5)}
+        best = brute_alignment(text, items_words)
+        if best >= needed_score(len(words), 0.5):
+            passed += 1
+            runs = "".join("1" if w in words else "0" for w in copy).split("0")
+            missed_by_runs += max(map(len, runs)) < 6
+        assert got.get(n % 20) == (best if best >= needed_score(len(words), 0.5) else None)
+    assert passed > 200 and missed_by_runs > 50
