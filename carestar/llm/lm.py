@@ -149,7 +149,7 @@ def train(texts: DataFrame, words, lexicon, least_updates: int, seed: int = 7) -
 def score_texts(
     docs: DataFrame,
     learn_from: Column,
-    train_share: float = 0.25,
+    train_share: float = 1.0,
     least_updates: int = 300,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -160,7 +160,8 @@ def score_texts(
     unigram log10 probability of the text under them. score is the model's: a gated recurrent
     network over the most frequent tokens and one token for all others, which are then drawn by
     their add-half counts; so score, too, is a probability of the whole text with its rarest
-    words. The network learns from ``train_share`` of those rows, chosen by a hash of the text.
+    words. The network, too, learns from all of those rows; a ``train_share`` under 1 leaves it
+    that share of them, chosen by a hash of the text.
 
     Words beyond the 262,144 most frequent are looked up by a join; that the driver and the
     tasks hold only so many does not change results. Counts and rare words move through shuffles
@@ -178,8 +179,9 @@ def score_texts(
     top = most_frequent(counts, KNOWN)
     parts = [bytes(r["word"]) for r in top], [r["c"] for r in top], tokens, distinct
     words = spark.sparkContext.broadcast(parts)  # plain values: workers need no module for them
-    share = F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1000)) < int(1000 * train_share)
-    learnt = train(seen.where(share), words, Vocabulary(*parts).lexicon, least_updates)
+    if train_share < 1:
+        seen = seen.where(F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1000)) < int(1000 * train_share))
+    learnt = train(seen, words, Vocabulary(*parts).lexicon, least_updates)
     weights = spark.sparkContext.broadcast(learnt)
 
     def start():

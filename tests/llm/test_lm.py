@@ -119,3 +119,16 @@ def test_held_out_texts_score_above_the_unigram_model(spark):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
     rows = lm.score_texts(docs, ~held).join(docs.where(held).select("doc_id"), "doc_id").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.97
+
+
+def test_the_network_learns_from_every_row_that_is_not_held_out(spark, monkeypatch):
+    rows = [(i, prose(i % 40, 12)) for i in range(120)] + [(200, None), (201, "")]
+    given, train = [], lm.train
+
+    def watched(texts, *more):
+        given.extend(r.text for r in texts.collect())
+        return train(texts, *more)
+
+    monkeypatch.setattr(lm, "train", watched)
+    lm.score_texts(frame(spark, rows), F.pmod("doc_id", F.lit(5)) != 1, least_updates=1).collect()
+    assert sorted(map(str, given)) == sorted(str(t) for i, t in rows if i % 5 != 1)
