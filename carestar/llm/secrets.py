@@ -91,11 +91,9 @@ def _unquoted(layer: _Layer) -> _Layer | None:
         return None
     found = []
     for m in _PERCENT.finditer(layer.text):
-        try:
-            new = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
-        found.append((m.start(), m.end(), new, [3 * len(c.encode()) for c in new]))
+        new = bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape")
+        if any(_width(c) > 1 or c < "\x80" for c in new):  # not only bytes that are no UTF-8
+            found.append((m.start(), m.end(), new, [3 * _width(c) for c in new]))
     return _replaced(layer, found)
 
 
@@ -115,12 +113,18 @@ def _unescaped(layer: _Layer) -> _Layer | None:
     return _replaced(layer, found)
 
 
+def _width(c: str) -> int:
+    """Bytes of a character; a byte that is not UTF-8 is a lone surrogate."""
+    return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
+
+
 def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+    """The text of the bytes if all of it is printable or any of it holds something to find or
+    to open; bytes that are not UTF-8 keep a character each."""
+    text = data.decode(errors="surrogateescape")
+    if text and all(c.isprintable() or c in "\t\r\n" for c in text):
+        return text
+    return text if base_spans(text) or any(p.search(text) for p in (_BASE64, _PERCENT, _ESCAPE)) else None
 
 
 def _inflated(data: bytes, limit: int) -> tuple[bytes | None, bool]:
@@ -179,7 +183,7 @@ def _unpacked(layer: _Layer, limit: int) -> tuple[list[_Layer], int]:
             n = len(text)
             layers.append(layer.child(text, np.full(n, m.start()), np.full(n, m.end())))
             continue
-        sizes = np.array([len(c.encode()) for c in text])
+        sizes = np.array([_width(c) for c in text])
         last = np.cumsum(sizes)
         starts, ends = (last - sizes) * 4 // 3, -(-last * 4 // 3)
         ends = np.minimum(ends, len(body))

@@ -120,3 +120,24 @@ def test_redacted_column(spark):
     rows = [(1, None), (2, "clean"), (3, SECRET), (4, "")]
     got = frame(spark, rows).select("doc_id", redact_column("text").alias("t")).collect()
     assert {r.doc_id: r.t for r in got} == {1: None, 2: "clean", 3: '[SECRET]"', 4: ""}
+
+
+@pytest.mark.parametrize("odd", ["\u00a0", "\ufeff", "\u200b", "\u3000", "\u00ad", "\x00", "\x1b[0m", b"\xff", b"\xe9t\xe9"])
+@pytest.mark.parametrize(
+    "wrap", [b64, lambda s: b64(gzip.compress(s)), lambda s: "".join(f"%{b:02X}" for b in s), lambda s: b64(b64(s))]
+)
+def test_odd_characters_do_not_close_a_layer(odd, wrap):
+    odd = odd if isinstance(odd, bytes) else odd.encode()
+    inner = wrap(b"Le code" + odd + b": " + SECRET.encode() + odd + b" fin")
+    text = f"voici {inner} l\u00e0"
+    spans = scan(text)[1]
+    low = text.index(inner)
+    assert any(k == 0 and low <= s < e <= low + len(inner) for s, k, e in spans)
+    assert not scan(redacted(text, spans))[1]
+
+
+def test_bytes_that_are_no_text_keep_their_offsets():
+    lead = b"\xff\xfe caf\xe9 \xc3\xa9 "
+    run = b64(lead + SECRET.encode())
+    low, _, high = next(s for s in scan(run)[1] if s[1] == 0)
+    assert low == len(lead) * 4 // 3 and high == -(-(len(lead) + len(SECRET) - 1) * 4 // 3)
