@@ -36,6 +36,8 @@ _ESCAPE = re.compile(
 )
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{2,76}={0,2}")
+_PART = re.compile("[/_+-]")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]")
 _TO_STANDARD = bytes.maketrans(b"-_", b"+/")
 
 
@@ -118,79 +120,106 @@ def _width(c: str) -> int:
     return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
 
 
-def _readable(data: bytes) -> str | None:
-    """The text of the bytes if all of it is printable or any of it holds something to find or
-    to open; bytes that are not UTF-8 keep a character each."""
+def _readable(data: bytes, holding: bool = False) -> str | None:
+    """The text of the bytes if any of it holds something to find or to open or, unless that is
+    asked for (``holding``), all of it is printable; bytes that are not UTF-8 keep a character each."""
     text = data.decode(errors="surrogateescape")
-    if text and all(c.isprintable() or c in "\t\r\n" for c in text):
+    if text and not holding and all(c.isprintable() or c in "\t\r\n" for c in text):
         return text
     return text if base_spans(text) or any(p.search(text) for p in (_BASE64, _PERCENT, _ESCAPE)) else None
 
 
-def _inflated(data: bytes, limit: int) -> tuple[bytes | None, bool]:
-    """What the bytes open to (None: not compressed), and whether it was too much."""
-    for magic, opener in (
-        (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
-        (b"\x78", zlib.decompressobj),
-        (b"BZh", bz2.BZ2Decompressor),
-    ):
-        if data.startswith(magic):
-            try:
-                machine = opener()
-                out = machine.decompress(data, limit + 1)
-                return (None, True) if len(out) > limit else (out if machine.eof else None, False)
-            except (zlib.error, OSError, ValueError):
-                return None, False
-    return None, False
+def _inflated(data: bytes, limit: int) -> tuple[list[bytes], int]:
+    """What compressed pieces anywhere in the bytes open to, and how many were too much. Pieces
+    that follow one another are one, as long as that is within the limit."""
+    outs, closed, at, joined = [], 0, 0, -1
+    while m := _MAGIC.search(data, at):
+        start = m.start()
+        at = start + 1
+        try:
+            machine = (
+                bz2.BZ2Decompressor() if m[0][:1] == b"B" else zlib.decompressobj(31 if m[0][:1] == b"\x1f" else 15)
+            )
+            out = machine.decompress(memoryview(data)[start:], limit + 1)
+        except (zlib.error, OSError, ValueError):
+            continue
+        if len(out) > limit:
+            closed += 1
+        elif machine.eof:
+            if start == joined and len(outs[-1]) + len(out) <= limit:
+                outs[-1] += out
+            else:
+                outs.append(out)
+            at = joined = len(data) - len(machine.unused_data)
+    return outs, closed
+
+
+def _all_inflated(data: bytes, limit: int) -> tuple[list[bytes], int]:
+    """What the bytes open to, through any compression inside; the same bytes once."""
+    seen, closed, work = {data: None}, 0, deque([data])
+    while work:
+        outs, much = _inflated(work.popleft(), limit)
+        closed += much
+        for out in outs:
+            if out not in seen:
+                seen[out] = None
+                work.append(out)
+    return list(seen)[1:], closed
 
 
 def _base64_runs(text: str):
-    """Runs of base64 letters; lines of 60 to 76 letters are one run with those that follow."""
+    """Runs of base64 letters; lines of 60 to 76 letters are one run with those that follow. The
+    first of them may follow other letters up to a / - _ or +."""
     at = 0
     for m in _BASE64.finditer(text):
         if m.start() < at:
             continue
         wrapped = m.end() - m.start() >= 60 and _WRAPPED.match(text, m.start())
+        if not wrapped:
+            yield m
+            if m.end() - m.start() > 60 and text[m.end() : m.end() + 1] in ("\r", "\n"):
+                for part in _PART.finditer(text, max(m.start(), m.end() - 77), m.end() - 60):
+                    if wrapped := _WRAPPED.match(text, part.end()):
+                        break
         if wrapped:
             at = wrapped.end()
-        yield wrapped or m
+            yield wrapped
 
 
 def _unpacked(layer: _Layer, limit: int) -> tuple[list[_Layer], int]:
-    """A layer for each base64 run that opens to text, through any compression inside."""
+    """A layer for each base64 run that opens to text, through any compression inside. What a run
+    holds may start after other letters, so it is decoded from each of its first four; of the
+    later three, only what holds something to find or to open is text."""
     layers, closed = [], 0
     for m in _base64_runs(layer.text):
         run = m[0]
-        at = [i for i, c in enumerate(run) if c not in "\r\n="] if "\n" in run else None
-        body = run.replace("\r", "").replace("\n", "").rstrip("=").encode().translate(_TO_STANDARD)
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + b"=" * (-len(body) % 4))
-        except binascii.Error:
-            continue
-        opened, nested = data, False
-        while True:
-            out, much = _inflated(opened, limit)
+        at = np.array([i for i, c in enumerate(run) if c not in "\r\n="]) if "\n" in run else None
+        whole = run.replace("\r", "").replace("\n", "").rstrip("=").encode().translate(_TO_STANDARD)
+        for phase in range(4):
+            body = whole[phase:]
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            try:
+                data = base64.b64decode(body + b"=" * (-len(body) % 4))
+            except binascii.Error:
+                continue
+            opened, much = _all_inflated(data, limit)
             closed += much
-            if out is None:
-                break
-            opened, nested = out, True
-        text = _readable(opened)
-        if text is None:
-            continue
-        if nested:  # a character of compressed text comes from the whole run
-            n = len(text)
-            layers.append(layer.child(text, np.full(n, m.start()), np.full(n, m.end())))
-            continue
-        sizes = np.array([_width(c) for c in text])
-        last = np.cumsum(sizes)
-        starts, ends = (last - sizes) * 4 // 3, -(-last * 4 // 3)
-        ends = np.minimum(ends, len(body))
-        if at:
-            at = np.array(at)
-            starts, ends = at[starts], at[ends - 1] + 1
-        layers.append(layer.child(text, m.start() + starts, m.start() + ends))
+            for out in opened:  # a character of compressed text comes from the whole run
+                text = _readable(out)
+                if text is not None:
+                    n = len(text)
+                    layers.append(layer.child(text, np.full(n, m.start()), np.full(n, m.end())))
+            text = _readable(data, phase > 0)
+            if text is None:
+                continue
+            sizes = np.array([_width(c) for c in text])
+            last = np.cumsum(sizes)
+            starts, ends = (last - sizes) * 4 // 3, -(-last * 4 // 3)
+            starts, ends = starts + phase, np.minimum(ends, len(body)) + phase
+            if at is not None:
+                starts, ends = at[starts], at[ends - 1] + 1
+            layers.append(layer.child(text, m.start() + starts, m.start() + ends))
     return layers, closed
 
 

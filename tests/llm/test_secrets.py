@@ -141,3 +141,33 @@ def test_bytes_that_are_no_text_keep_their_offsets():
     run = b64(lead + SECRET.encode())
     low, _, high = next(s for s in scan(run)[1] if s[1] == 0)
     assert low == len(lead) * 4 // 3 and high == -(-(len(lead) + len(SECRET) - 1) * 4 // 3)
+
+
+@pytest.mark.parametrize(
+    "lead", ["id-", "https://h.example/cb/", "abcdefgh_", "a/", "ab+", "abc/d-", "/", "x" * 20 + "/y/", "k=v/w-", "path/to/some/thing/"]
+)
+@pytest.mark.parametrize("tail", ["", "/end", "-x1", "_abc"])
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        b64,
+        lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("="),
+        lambda s: b64(b64(s)),
+        lambda s: b64(gzip.compress(s.encode())),
+        lambda s: b64(zlib.compress(s.encode())),
+        lambda s: base64.encodebytes((s + " lorem ipsum" * 20).encode()).decode().rstrip(),
+    ],
+)
+def test_payloads_after_other_base64_letters_are_opened(lead, tail, wrap):
+    for secret in ("password=Zx9kQ27LmP04vT", SECRET):
+        text = f"see {lead}{wrap(secret)}{tail} there"
+        _, spans, _, closed = scan(text)
+        low = text.index(lead)
+        assert not closed
+        assert any(k == 0 and low <= s < e <= len(text) - 6 for s, k, e in spans), text
+        assert not scan(redacted(text, spans))[1]
+
+
+def test_members_of_a_compressed_file_are_one_text():
+    both = gzip.compress(SECRET[:20].encode()) + gzip.compress(SECRET[20:].encode())
+    assert any(k == 0 for _, k, _ in scan(b64(both))[1])
