@@ -29,9 +29,10 @@ class Lexicon:
 
 
 def make_lexicon(mass: np.ndarray, rest_mass: float, classes: int) -> Lexicon:
-    """Classes of about equal mass over core tokens of falling ``mass``."""
+    """Classes over core tokens of falling ``mass``, of about equal sums of its root: a class of
+    mass p and s tokens then costs about the same p * s as any other."""
     n = len(mass)
-    share = np.cumsum(mass) / mass.sum() if n else np.zeros(0)
+    share = np.cumsum(np.sqrt(mass)) / np.sqrt(mass).sum() if n else np.zeros(0)
     number = np.minimum((share * classes * (1 - 1e-9)).astype(int), classes - 1)
     first = np.flatnonzero(np.diff(number, prepend=-1)) if n else np.zeros(0, int)
     edges = np.append(first, n)
@@ -100,6 +101,8 @@ class Gru:
     def __init__(self, lexicon: Lexicon, weights: dict[str, np.ndarray]):
         self.lexicon, self.w = lexicon, weights
         self.hidden = weights["u"].shape[0]
+        self.inputs_met = np.zeros(0, int)  # the rows of ``table`` whose gradients are not zero
+        self.d_table = None
 
     def run(self, inputs, starts, state, keep=False):
         """States after each step of a window, and what the way back needs."""
@@ -128,22 +131,24 @@ class Gru:
         out = np.zeros(len(ys))
         at = np.flatnonzero(ys >= 0)
         hs, ys = hs[at], ys[at]
+        order = np.argsort(lex.class_of[ys], kind="stable")
+        at, hs, ys = at[order], hs[order], ys[order]
         cls = lex.class_of[ys]
         logits = hs @ w["wc"] + w["bc"]
         top = logits.max(axis=1)
         value = logits[np.arange(len(ys)), cls] - top
         value -= np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(len(lex.edges)))
+        ends = np.searchsorted(cls, np.arange(len(lex.edges)))
         for c in range(len(lex.edges) - 1):
-            rows = order[ends[c] : ends[c + 1]]
+            rows = slice(ends[c], ends[c + 1])
             low, high = lex.edges[c], lex.edges[c + 1]
-            if not len(rows) or high - low == 1:
+            if ends[c] == ends[c + 1] or high - low == 1:
                 continue
             inner = hs[rows] @ w["wo"][low:high].T + w["bo"][low:high]
             top = inner.max(axis=1)
-            value[rows] += inner[np.arange(len(rows)), ys[rows] - low] - top
-            value[rows] -= np.log(np.exp(inner - top[:, None]).sum(axis=1))
+            inner -= top[:, None]
+            value[rows] += inner[np.arange(len(inner)), ys[rows] - low]
+            value[rows] -= np.log(np.exp(inner, out=inner).sum(axis=1))
         out[at] = value
         return out.reshape(targets.shape)
 
@@ -151,9 +156,14 @@ class Gru:
         """Mean loss of a window, its gradients by truncated backpropagation, the state after."""
         lex, w, h = self.lexicon, self.w, self.hidden
         states, after, saved = self.run(inputs, starts, state, keep=True)
-        grads = {k: np.zeros_like(v) for k, v in w.items()}
+        grads = {k: np.zeros_like(v) for k, v in w.items() if k != "table"}
+        if self.d_table is None:
+            self.d_table = np.zeros_like(w["table"])
+        self.d_table[self.inputs_met] = 0
+        grads["table"] = self.d_table
         ys = targets.ravel()
         at = np.flatnonzero(ys >= 0)
+        at = at[np.argsort(lex.class_of[ys[at]], kind="stable")]
         scale = np.float32(1 / max(1, len(at)))
         hs, ys = states.reshape(-1, h)[at], ys[at]
         cls = lex.class_of[ys]
@@ -162,23 +172,22 @@ class Gru:
         def softmax(logits, picked):
             nonlocal loss
             logits -= logits.max(axis=1, keepdims=True)
-            p = np.exp(logits)
-            p /= p.sum(axis=1, keepdims=True)
+            p = np.exp(logits, out=logits)
+            sums = p.sum(axis=1)
             rows = np.arange(len(picked))
-            loss -= np.log(np.maximum(p[rows, picked], 1e-30)).sum()
-            p[rows, picked] -= 1
-            p *= scale
+            loss -= np.log(np.maximum(p[rows, picked] / sums, 1e-30)).sum()
+            p *= (scale / sums)[:, None]
+            p[rows, picked] -= scale
             return p
 
         d = softmax(hs @ w["wc"] + w["bc"], cls)
         grads["wc"], grads["bc"] = hs.T @ d, d.sum(axis=0)
         back = d @ w["wc"].T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(len(lex.edges)))
+        ends = np.searchsorted(cls, np.arange(len(lex.edges)))
         for c in range(len(lex.edges) - 1):
-            rows = order[ends[c] : ends[c + 1]]
+            rows = slice(ends[c], ends[c + 1])
             low, high = lex.edges[c], lex.edges[c + 1]
-            if not len(rows) or high - low == 1:
+            if ends[c] == ends[c + 1] or high - low == 1:
                 continue
             inner = hs[rows]
             d = softmax(inner @ w["wo"][low:high].T + w["bo"][low:high], ys[rows] - low)
@@ -203,14 +212,16 @@ class Gru:
         ids = inputs.ravel()
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        grads["table"][ids[order][first]] = np.add.reduceat(
+        self.inputs_met = ids[order][first]
+        grads["table"][self.inputs_met] = np.add.reduceat(
             d_inputs.reshape(-1, 3 * h)[order], first, axis=0
         )
         return loss * scale, grads, after
 
 
 class Trainer:
-    """Adam steps over windows of lanes; the state goes on from window to window."""
+    """Adam steps over windows of lanes; the state goes on from window to window. Of the input
+    table, a step changes the rows of tokens that it read."""
 
     def __init__(self, model: Gru, rate: float = 0.01, window: int = 20, lanes: int = 128):
         self.model, self.rate, self.window, self.lanes = model, rate, window, lanes
@@ -219,16 +230,21 @@ class Trainer:
 
     def _update(self, grads):
         self.updates += 1
+        met = self.model.inputs_met
+        grads = {**grads, "table": grads["table"][met]}
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         shrink = np.float32(min(1.0, 1.0 / max(norm, 1e-12)))
         fix = np.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
         rate = np.float32(self.rate * fix / (1 + self.updates / 400))
         for k, g in grads.items():
-            m, v = self.moments[k]
+            rows = met if k == "table" else slice(None)
+            m, v = (x[rows] for x in self.moments[k])
             g = g * shrink
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            self.model.w[k] -= rate * m / (np.sqrt(v) + 1e-6)
+            self.model.w[k][rows] -= rate * m / (np.sqrt(v) + 1e-6)
+            if k == "table":
+                self.moments[k][0][rows], self.moments[k][1][rows] = m, v
 
     def learn(self, docs: list[np.ndarray]) -> int:
         """One pass over documents (token numbers); returns the tokens read. A long document

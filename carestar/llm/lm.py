@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from itertools import repeat
 
@@ -14,11 +15,15 @@ from pyspark.sql import functions as F
 from carestar.llm.common import column_lists, per_batch, stored
 from carestar.llm.gru import NAMES, Gru, Trainer, first_weights, make_lexicon, score_documents
 
-CORE = 1023
+CORE = 16_383
+# All other words share so many tokens, by a hash; the last is the model's ``rest``.
+BUCKETS = 1024
 KNOWN = 1 << 18
-CLASSES = 32
+CLASSES = 64
 HIDDEN = 16
 GROUP_TOKENS = 2_000_000
+# Weights that move through the averaging as one row.
+SLICE = 1024
 # Words have no white space, so the empty word is free to stand for the end of a document.
 END = b""
 
@@ -59,25 +64,62 @@ def most_frequent(counts: DataFrame, most: int) -> list:
     return sorted(counts.where(wanted).collect(), key=lambda r: (-r["c"], bytes(r["word"])))[:most]
 
 
+def bucket_masses(counts: DataFrame) -> list[float]:
+    """The add-half counts of all words of a bucket; at most BUCKETS rows come to the driver."""
+    bucket = F.pmod(F.crc32("word"), F.lit(BUCKETS)).alias("b")
+    masses = [0.0] * BUCKETS
+    for r in counts.groupBy(bucket).agg((F.sum("c") + 0.5 * F.count(F.lit(1))).alias("m")).collect():
+        masses[r["b"]] = float(r["m"])
+    return masses
+
+
 class Vocabulary:
     """The most frequent words with their counts: those the model names, and more whose counts
-    every task holds. No larger than KNOWN; rarer words are looked up by a join."""
+    every task holds. No larger than KNOWN; rarer words are looked up by a join.
 
-    def __init__(self, words: list[bytes], counts: list[int], tokens: int, distinct: int):
+    The model's tokens are the core words and the buckets, by falling mass; a bucket's words are
+    drawn by their add-half counts, of which half a count is left for words never met."""
+
+    def __init__(self, words: list[bytes], counts: list[int], tokens: int, distinct: int, masses: list[float]):
         self.code = {w: i for i, w in enumerate(words)}
         self.core = min(CORE, len(words))
         self.log_count = np.log10(np.array(counts, float) + 0.5)
         self.total = tokens + 0.5 * (distinct + 1)
-        mass = np.array(counts[: self.core], float) + 0.5
-        self.rest_mass = max(self.total - mass.sum(), 0.5)
-        self.lexicon = make_lexicon(mass, self.rest_mass, CLASSES)
+        core = np.array(counts[: self.core], float) + 0.5
+        bucket = self.buckets(words)
+        left = np.array(masses) - np.bincount(bucket[: self.core], core, BUCKETS)
+        left = np.maximum(left, 0) + 0.5
+        mass = np.concatenate([core, left[:-1]])
+        order = np.argsort(-mass, kind="stable")
+        number = np.empty(len(mass) + 1, np.int32)
+        number[order], number[-1] = np.arange(len(mass)), len(mass)
+        self.bucket_token = number[self.core :]
+        self.log_left = np.log10(left)
+        self.token = np.concatenate([number[: self.core], self.bucket_token[bucket[self.core :]]])
+        # What a word adds to the model's score of its token.
+        self.within = self.log_count - self.log_left[bucket]
+        self.within[: self.core] = 0
+        self.lexicon = make_lexicon(mass[order], left[-1], CLASSES)
+
+    @staticmethod
+    def buckets(words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
 
     def codes(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.code.get, words, repeat(-1)), np.int32, len(words))
 
-    def tokens(self, codes: np.ndarray) -> np.ndarray:
-        """Numbers that the model knows; all words outside the core are its ``rest``."""
-        return np.where((codes < 0) | (codes >= self.core), self.lexicon.rest, codes)
+    def tokens(self, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, float]:
+        """Numbers that the model knows, and what the words add to its score; of words rarer
+        than those in the table, without their counts."""
+        unknown = np.flatnonzero(codes < 0)
+        numbers, within = np.empty(len(codes), np.int32), 0.0
+        numbers[codes >= 0] = self.token[codes[codes >= 0]]
+        within = self.within[codes[codes >= 0]].sum()
+        if len(unknown):
+            bucket = self.buckets([words[i] for i in unknown])
+            numbers[unknown] = self.bucket_token[bucket]
+            within -= self.log_left[bucket].sum()
+        return numbers, within
 
 
 def in_groups(documents, size: int = GROUP_TOKENS):
@@ -97,8 +139,8 @@ def train(texts: DataFrame, words, lexicon, least_updates: int, seed: int = 7) -
     """Weights averaged over tasks that each learn from all their rows, from the same start.
 
     A task with few rows goes over them again until it has made ``least_updates``. Its weights
-    count by the tokens it read. The sums are made by Spark; the driver gets one number for each
-    weight, whatever the input."""
+    count by the tokens it read. The sums are made by Spark, a slice of the weights at a time;
+    the driver gets one number for each weight, whatever the input."""
     size = sum(v.size for v in first_weights(lexicon, HIDDEN, seed).values())
 
     def run(batches):
@@ -106,9 +148,8 @@ def train(texts: DataFrame, words, lexicon, least_updates: int, seed: int = 7) -
         model = Gru(vocabulary.lexicon, first_weights(vocabulary.lexicon, HIDDEN, seed))
         trainer, read = Trainer(model), 0
         for batch in batches:
-            documents = [
-                vocabulary.tokens(vocabulary.codes(words_of(t))) for t in column_lists(batch, "text")[0]
-            ]
+            listed = map(words_of, column_lists(batch, "text")[0])
+            documents = [vocabulary.tokens(w, vocabulary.codes(w))[0] for w in listed]
             mixed = np.random.default_rng(seed).permutation(len(documents))
             part, tokens = [], 0
             for i in mixed:
@@ -122,22 +163,40 @@ def train(texts: DataFrame, words, lexicon, least_updates: int, seed: int = 7) -
                 while trainer.updates < least_updates:
                     trainer.learn(part)
         if read:
-            flat = np.concatenate([model.w[k].ravel() for k in NAMES]).astype(np.float64)
+            flat = np.concatenate([model.w[k].ravel() for k in NAMES]).astype(np.float32)
+            slices = [flat[at : at + SLICE].tobytes() for at in range(0, size, SLICE)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(len(slices)), pa.int64()),
+                    pa.array([float(read)] * len(slices), pa.float64()),
+                    pa.array(slices, pa.binary()),
+                ],
+                names=["i", "weight", "w"],
+            )
+
+    def average(batches):
+        totals, weights = {}, Counter()
+        for batch in batches:
+            for i, weight, w in zip(*column_lists(batch, "i", "weight", "w"), strict=True):
+                totals[i] = totals.get(i, 0) + weight * np.frombuffer(w, np.float32).astype(np.float64)
+                weights[i] += weight
+        if totals:
+            means = [(totals[i] / weights[i]).astype(np.float32).tobytes() for i in totals]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(size)), pa.array(flat * read), pa.array(np.full(size, float(read)))],
-                names=["i", "total", "weight"],
+                [pa.array(list(totals), pa.int64()), pa.array(means, pa.binary())], names=["i", "w"]
             )
 
     sums = (
-        texts.mapInArrow(run, "i long, total double, weight double")
-        .groupBy("i")
-        .agg((F.sum("total") / F.sum("weight")).alias("w"))
+        texts.mapInArrow(run, "i long, weight double, w binary")
+        .repartition("i")
+        .mapInArrow(average, "i long, w binary")
         .collect()
     )
     weights = first_weights(lexicon, HIDDEN, seed)
     if sums:
         flat = np.zeros(size, np.float32)
-        flat[[r["i"] for r in sums]] = [r["w"] for r in sums]
+        for r in sums:
+            flat[r["i"] * SLICE : (r["i"] + 1) * SLICE] = np.frombuffer(r["w"], np.float32)
         at = 0
         for k in NAMES:
             n = weights[k].size
@@ -158,8 +217,8 @@ def score_texts(
 
     Counts of tokens cover all rows for which ``learn_from`` is true. base_score is the add-half
     unigram log10 probability of the text under them. score is the model's: a gated recurrent
-    network over the most frequent tokens and one token for all others, which are then drawn by
-    their add-half counts; so score, too, is a probability of the whole text with its rarest
+    network over the 16,383 most frequent words and 1,024 buckets of all others by a hash, whose
+    words are then drawn by their add-half counts; so score, too, is a probability of the whole text with its rarest
     words. The network, too, learns from all of those rows; a ``train_share`` under 1 leaves it
     that share of them, chosen by a hash of the text.
 
@@ -177,7 +236,7 @@ def score_texts(
     tokens, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     tokens = tokens or 0
     top = most_frequent(counts, KNOWN)
-    parts = [bytes(r["word"]) for r in top], [r["c"] for r in top], tokens, distinct
+    parts = [bytes(r["word"]) for r in top], [r["c"] for r in top], tokens, distinct, bucket_masses(counts)
     words = spark.sparkContext.broadcast(parts)  # plain values: workers need no module for them
     if train_share < 1:
         seen = seen.where(F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1000)) < int(1000 * train_share))
@@ -188,7 +247,7 @@ def score_texts(
         vocabulary = Vocabulary(*words.value)
         model = Gru(vocabulary.lexicon, weights.value)
         natural = math.log(10)
-        log_total, log_rest = math.log10(vocabulary.total), math.log10(vocabulary.rest_mass)
+        log_total = math.log10(vocabulary.total)
 
         def work(batch):
             ids, texts = column_lists(batch, "id", "text")
@@ -198,15 +257,14 @@ def score_texts(
                 codes = vocabulary.codes(listed)
                 unknown = np.flatnonzero(codes < 0)
                 in_table = codes[codes >= 0]
-                numbers = vocabulary.tokens(codes)
+                numbers, within = vocabulary.tokens(listed, codes)
                 sums = vocabulary.log_count[in_table].sum()
-                outer = vocabulary.log_count[in_table[in_table >= vocabulary.core]].sum()
                 documents.append(numbers)
                 rare.append([listed[i] for i in unknown])
                 known.append(len(in_table))
                 sizes.append(len(listed))
                 base.append(sums - len(listed) * log_total)
-                score.append(outer - (numbers == vocabulary.lexicon.rest).sum() * log_rest)
+                score.append(within)
             model_part = np.zeros(len(documents))
             for group in in_groups(documents):
                 model_part[group] = score_documents(model, [documents[i] for i in group])

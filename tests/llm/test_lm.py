@@ -132,3 +132,55 @@ def test_the_network_learns_from_every_row_that_is_not_held_out(spark, monkeypat
     monkeypatch.setattr(lm, "train", watched)
     lm.score_texts(frame(spark, rows), F.pmod("doc_id", F.lit(5)) != 1, least_updates=1).collect()
     assert sorted(map(str, given)) == sorted(str(t) for i, t in rows if i % 5 != 1)
+
+
+def rare_words(n, at=0):
+    return [f"w{at + i}" for i in range(n)]
+
+
+def vocabulary(listed):
+    counts = collections.Counter(listed)
+    masses = np.zeros(lm.BUCKETS)
+    for w, c in counts.items():
+        masses[lm.Vocabulary.buckets([w])] += c + 0.5
+    top = counts.most_common(lm.KNOWN)
+    return lm.Vocabulary([w for w, _ in top], [c for _, c in top], len(listed), len(counts), list(masses))
+
+
+def test_words_beyond_the_first_thousand_are_tokens_of_their_own():
+    listed = [w.encode() for w in rare_words(20_000) + rare_words(9_000) + rare_words(3_000)]
+    known = vocabulary(listed)
+    met = [f"w{i}".encode() for i in range(9_000)]
+    assert len(set(known.tokens(met, known.codes(met))[0].tolist())) == 9_000
+    others = [f"w{i}".encode() for i in range(19_000, 24_000)]
+    others = [w for w in others if not 0 <= known.code.get(w, -1) < known.core]
+    assert len(set(known.tokens(others, known.codes(others))[0].tolist())) > 900
+
+
+def test_probabilities_of_all_words_and_one_unknown_a_bucket_sum_to_one(monkeypatch):
+    monkeypatch.setattr(lm, "CORE", 50)
+    monkeypatch.setattr(lm, "BUCKETS", 8)
+    monkeypatch.setattr(lm, "KNOWN", 90)
+    listed = [w.encode() for w in rare_words(100) + rare_words(60) + rare_words(20)]
+    counts, known = collections.Counter(listed), vocabulary(listed)
+    model = Gru(known.lexicon, first_weights(known.lexicon, 4))
+    total = 0.0
+    for w in counts:
+        codes = known.codes([w])
+        numbers, within = known.tokens([w], codes)
+        rare = math.log10(counts[w] + 0.5) if codes[0] < 0 else 0
+        total += 10 ** (within + rare) * math.exp(score_documents(model, [numbers])[0])
+    unmet = {int(b): w for w in (f"x{i}".encode() for i in range(200)) for b in lm.Vocabulary.buckets([w])}
+    for w in unmet.values():
+        numbers, within = known.tokens([w], known.codes([w]))
+        total += 0.5 * 10**within * math.exp(score_documents(model, [numbers])[0])
+    assert len(unmet) == 8 and total == pytest.approx(1, abs=1e-5)
+
+
+def test_words_outside_the_core_are_seen_and_predicted(spark, monkeypatch):
+    """Each word tells the next, and all are rarer than the words that the model names."""
+    monkeypatch.setattr(lm, "CORE", 1)
+    rng = np.random.default_rng(3)
+    ordered = [" ".join(f"v{(a + k) % 40}" for k in range(30)) for a in rng.integers(0, 40, 200)]
+    got = lm.score_texts(frame(spark, list(enumerate(ordered))), F.lit(True)).collect()
+    assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
