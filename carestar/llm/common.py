@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +29,30 @@ def column_lists(batch: pa.RecordBatch, *names: str) -> tuple[list, ...]:
     return tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
 
 
+def slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and ``size`` bytes of text, or of one row."""
+    held = np.zeros(batch.num_rows + 1, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            held[1:] += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    held = np.cumsum(held)
+    low = 0
+    while low < batch.num_rows:
+        high = int(np.searchsorted(held, held[low] + size, "right")) - 1
+        high = min(max(high, low + 1), low + rows, batch.num_rows)
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def per_batch(
     df: DataFrame,
     start: Callable[[], Callable[[pa.RecordBatch], dict]],
     schema: str,
     rows: int = 2_000,
+    size: int = 4 << 20,
 ) -> DataFrame:
-    """Maps record batches of at most ``rows`` rows; ``start`` makes the function once a task.
+    """Maps record batches of at most ``rows`` rows and ``size`` bytes of text, or of one longer
+    row; ``start`` makes the function once a task.
 
     The function returns a column of values (list or array) for each field of ``schema``.
     """
@@ -45,8 +64,8 @@ def per_batch(
         work = None
         for whole in batches:
             work = work or start()
-            for low in range(0, whole.num_rows, rows):
-                made = work(whole.slice(low, rows))
+            for part in slices(whole, rows, size):
+                made = work(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[n], k) for n, k in zip(names, kinds, strict=True)], schema=out
                 )

@@ -13,6 +13,7 @@ from carestar.llm.decontam import find_leaks
 from carestar.llm.lm import score_texts
 from carestar.llm.neardup import near_duplicates
 from carestar.llm.packing import pack
+from carestar.llm.periodic import digests, find_runs, with_planted_runs
 from carestar.llm.quality import fit_quality, judge_quality
 from carestar.llm.quotes import LINK_SQL, link_quotes
 from carestar.llm.secrets import scan_secrets
@@ -100,6 +101,13 @@ def op9_lm_scores(spark, sf_dir):
     )
 
 
+@query
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    planted = with_planted_runs(F.col("text"), F.col("doc_id"))
+    return digests(find_runs(docs.select("doc_id", planted.alias("text"))))
+
+
 @query
 def op1_quotation_linking(spark, sf_dir):
     return link_quotes(table(spark, sf_dir, "conversations"))
