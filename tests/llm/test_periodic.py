@@ -84,7 +84,8 @@ def test_long_periodic_text():
 
 def test_query_rows_and_edge_rows(spark):
     rng = random.Random(8)
-    rows = [(i, " ".join(rng.choice("ab  c\x1cd \n") for _ in range(rng.randrange(120)))) for i in range(300)]
+    letters = ["ab  \n", "a b", "ab  c\x1cd \n"]
+    rows = [(i, " ".join(rng.choice(letters[i % 3]) for _ in range(rng.randrange(120)))) for i in range(300)]
     rows += [(i, " ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(90)))) for i in range(300, 500)]
     rows += [(i, t) for i, t in edge_rows() if i != 6] + [(600, "x " * 500), (601, "A a " * 9)]
     want = sorted((wanted(i, t) for i, t in rows), key=str)
