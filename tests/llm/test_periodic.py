@@ -94,8 +94,13 @@ def test_query_rows_and_edge_rows(spark):
 
 
 def test_very_long_text_and_empty_table(spark):
-    rows = [r for r in edge_rows() if r[0] == 6]
-    assert [r[:2] for r in answered(frame(spark, rows))] == [(6, 0)]
+    (long,) = (t for i, t in edge_rows() if i == 6)
+    (plain,) = find_runs(frame(spark, [(6, long)])).collect()
+    assert (plain.n_words, plain.starts, plain.collapsed) == (30_000, [], long)
+    words = planted(6, words_of(long))
+    period = 1 + (30_000 - zlib.crc32(b"6") // 10 % 30_000) // (3 + zlib.crc32(b"6") // 10 % 8)
+    (row,) = answered(frame(spark, [(6, long)]))
+    assert words != words_of(long) and row[4] == period and sum(words[-1 - k] == words[-1 - k - period] for k in range(period)) == period
     assert answered(empty(spark)) == []
 
 
