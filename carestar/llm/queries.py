@@ -20,6 +20,7 @@ from carestar.llm.secrets import scan_secrets
 from carestar.llm.sharding import shard_by_bytes
 from carestar.llm.token_counts import count_tokens, with_limit
 from carestar.llm.toxicity import fit_toxicity, score_toxicity
+from carestar.llm.whitening import whiten
 
 VOCABULARY = tokenizer_path("word_bpe_49k.json")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +102,11 @@ def op9_lm_scores(spark, sf_dir):
     )
 
 
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
