@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm.common import table
+from carestar.llm.countjoin import count_join
 from carestar.llm.decontam import find_leaks
 from carestar.llm.lm import score_texts
 from carestar.llm.neardup import near_duplicates
@@ -107,6 +108,11 @@ def op11_embedding_whitening(spark, sf_dir):
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_count_vector_join(spark, sf_dir):
+    return count_join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
