@@ -27,6 +27,7 @@ from carestar.llm.dartminhash import mixed
 
 GROUPS_PER_BAND = 4
 LEAF = 16
+FEW = 64
 CHUNK = 2048
 QUERIES = 1024
 POINTS = 8192
@@ -149,10 +150,11 @@ class CountTree:
 
 
 def signed(docs: DataFrame, length: int, percent: int) -> DataFrame:
-    """(id, node, n, keys, classes, counts) of (id, text): n distinct shingles, node a digest of
-    them; for each class of the set one list entry: its keys come in a row, its counts as bytes."""
+    """(id, node, n, keys, first_keys, classes, counts) of (id, text): n distinct shingles, node a
+    digest of them; for each of its classes the counts as bytes, and all keys in a row, of which
+    ``first_keys`` are of the first class."""
     schema = (
-        "id long, node binary, n long, keys array<long>, key_classes array<long>, classes array<long>, "
+        "id long, node binary, n long, keys array<long>, first_keys long, classes array<long>, "
         "counts array<binary>"
     )
 
@@ -160,7 +162,7 @@ def signed(docs: DataFrame, length: int, percent: int) -> DataFrame:
         hashes, classes = Hashes(), Classes(percent)
 
         def work(batch):
-            out = {k: [] for k in ("id", "node", "n", "keys", "key_classes", "classes", "counts")}
+            out = {k: [] for k in ("id", "node", "n", "keys", "first_keys", "classes", "counts")}
             for doc, text in zip(*column_lists(batch, "id", "text"), strict=True):
                 values = shingle_set(words_of(text), hashes, length)
                 own = classes.of(len(values))
@@ -169,7 +171,7 @@ def signed(docs: DataFrame, length: int, percent: int) -> DataFrame:
                 out["node"].append(xxhash.xxh3_128_digest(values.tobytes()))
                 out["n"].append(len(values))
                 out["keys"].append(np.concatenate([keys for _, keys in points]) if points else [])
-                out["key_classes"].append(np.repeat(own, [len(keys) for _, keys in points]) if points else [])
+                out["first_keys"].append(len(points[0][1]) if points else 0)
                 out["classes"].append(own)
                 out["counts"].append([counts.tobytes() for counts, _ in points])
             return out
@@ -236,12 +238,12 @@ def _pair_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 def verified(pairs: DataFrame, texts: DataFrame, length: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough.
 
-    The pairs of one a are a block; those of an a with very many are 64 blocks. A task holds the
-    set of a and one b after the other, so a block may be of any size.
+    The pairs of one a are a block; those of an a with many are 32 blocks. A task holds the set
+    of a and one b after the other, so a block may be of any size.
     """
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("rows"))
-    often = stored(sizes.where(F.col("rows") > CHUNK).select("a"), "often")
-    part = F.lit(0) if often.isEmpty() else F.when(F.col("o").isNotNull(), F.pmod(F.xxhash64("b"), F.lit(64))).otherwise(0)
+    often = stored(sizes.where(F.col("rows") > FEW).select("a"), "often")
+    part = F.lit(0) if often.isEmpty() else F.when(F.col("o").isNotNull(), F.pmod(F.xxhash64("b"), F.lit(32))).otherwise(0)
     dealt = pairs.join(often.select("a", F.lit(True).alias("o")), "a", "left").withColumn("part", part.cast("int"))
     dealt = stored(dealt.select("a", "part", "b"), "dealt")
     heads = dealt.select("a", "part").distinct().select("a", "part", F.lit(True).alias("head"), F.col("a").alias("node"))
@@ -316,9 +318,11 @@ def _facing_leaders(seats: DataFrame) -> DataFrame:
     return points.unionByName(queries)
 
 
-def _across(seats: DataFrame, labels: DataFrame | None) -> DataFrame | None:
-    """Blocks for the bands whose nodes are not yet of one component: nodes outside the band's
-    largest component are queries, against all nodes of the band. None if there is no such band."""
+def _across(seats: DataFrame, labels: DataFrame | None, more_than: int = 0) -> DataFrame | None:
+    """Blocks for the bands of over ``more_than`` nodes that are not yet of one component: nodes
+    outside the band's largest component are queries, against all nodes of the band. None if
+    there is no such band."""
+    seats = seats.where(F.col("n_seats") > more_than)
     placed = seats if labels is None else seats.join(labels, "node", "left")
     component = F.col("node") if labels is None else F.coalesce("component", "node")
     placed = stored(placed.select("key", "class", "node", component.alias("component")), "placed")
@@ -363,10 +367,10 @@ def count_join(
     Equal sets collapse to a node first. The bands of a node deal its point to trees (see the
     module). Each tree first answers the band's leader; what the count bound lets through is
     compared exactly, which joins groups of copies without listing their pairs. Bands with nodes
-    of several components are searched again: each node outside the largest component names the
-    nearest point of another one, links are compared, and in the last pass all points of other
-    components that the bound lets through. So every link that would join two components is
-    compared, and no pair within one needs to be.
+    of several components are searched again. In those of over 64 nodes, each node outside the
+    largest component first names the nearest point of another one. The last pass takes, in all
+    such bands, all points of other components that the bound lets through. So every link that
+    would join two components is compared, and no pair within one needs to be.
 
     A null text counts as empty. A null id is kept; alone it has no component_id. Repeated rows
     are answered each. An empty table gives no rows. Other columns are not read.
@@ -377,12 +381,13 @@ def count_join(
     full = signs.where("n > 0")
     narrow = full.groupBy("node", "id").agg(F.count(F.lit(1)).alias("rows")).groupBy("node")
     narrow = narrow.agg(F.min("id").alias("rep"), F.min_by("rows", "id").alias("rep_rows"))
-    content = F.struct("n", "keys", "key_classes", "classes", "counts")
+    content = F.struct("n", "keys", "first_keys", "classes", "counts")
     wide = full.groupBy("node").agg(F.any_value(content).alias("content"))
     nodes = narrow.join(wide, "node").select("node", "rep", "rep_rows", "content.*")
     nodes = stored(nodes, "nodes")
-    each = F.explode(F.arrays_zip("keys", "key_classes")).alias("at")
-    members = nodes.select("node", each).select("node", F.col("at.keys").alias("key"), F.col("at.key_classes").alias("class"))
+    number = F.when(F.col("pos") < F.col("first_keys"), 0).otherwise(1)
+    members = nodes.select("node", "first_keys", "classes", F.posexplode("keys").alias("pos", "key"))
+    members = members.select("node", "key", F.get("classes", number).alias("class"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n_seats")).where("n_seats > 1")
     shared = stored(shared, "shared")
     likely = likely_in(members, F.col("key"), shared, F.col("key"))
@@ -411,12 +416,16 @@ def _labels(taken, nodes, seats, length, percent) -> DataFrame | None:
     points = points.select("node", F.col("at.classes").alias("class"), "n", F.col("at.counts").alias("counts"))
     texts = links = labels = None
     for step in ("leaders", "nearest", "all"):
-        blocks = _facing_leaders(seats) if step == "leaders" else _across(seats, labels)
+        if step == "leaders":
+            blocks = _facing_leaders(seats)
+        else:
+            # Few nodes have few pairs, so small bands go straight to the last pass.
+            blocks = _across(seats, labels, FEW if step == "nearest" else 0)
         if blocks is None:
-            break
+            continue
         pairs = searched(blocks, points, percent, step == "nearest").distinct()
         pairs = stored(pairs, "pairs")
-        if step == "leaders" or texts is None:
+        if texts is None:
             texts = texts_of(taken, wanted.select("node", "rep", "rep_rows"), length)
         found = stored(verified(pairs, texts, length, percent), "links")
         links = found if links is None else links.unionAll(found)
