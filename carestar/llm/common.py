@@ -29,6 +29,26 @@ def column_lists(batch: pa.RecordBatch, *names: str) -> tuple[list, ...]:
     return tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
 
 
+class Remembered(dict):
+    """Key -> value, made when first asked for. Holds at most 2 ``most`` values: when it is full,
+    those of the last ``most`` stay within reach, and those older that were not asked for go."""
+
+    def __init__(self, make: Callable, most: int = 1 << 16):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        try:
+            value = self.older[key]
+        except KeyError:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def slices(batch: pa.RecordBatch, rows: int, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in parts of at most ``rows`` rows and ``size`` bytes of text, or of one row."""
     held = np.zeros(batch.num_rows + 1, np.int64)
@@ -69,6 +89,9 @@ def per_batch(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[n], k) for n, k in zip(names, kinds, strict=True)], schema=out
                 )
+        # Workers are used again, by other stages too: what this task held goes back first.
+        work = made = whole = part = None
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, per_batch
+from carestar.llm.common import Remembered, column_lists, per_batch
 
 LEAST_ITEM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -23,20 +23,17 @@ BLOCK_BYTES = 4 << 20
 _NOT_WORD = re.compile(r"[\W_]+")
 
 
-class _Ids(dict):
+class _Ids(Remembered):
     """White-space token -> number of its word; 0 for a word no item has, -1 for no word.
     A word is the token's letters and digits in lower case."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
+        super().__init__(self._number)
         self.vocabulary = vocabulary
 
-    def __missing__(self, token):
-        if len(self) >= 1 << 20:
-            self.clear()
+    def _number(self, token: str) -> int:
         word = _NOT_WORD.sub("", token)
-        value = self[token] = self.vocabulary.get(word, 0) if word else -1
-        return value
+        return self.vocabulary.get(word, 0) if word else -1
 
 
 def _words(text: str | None) -> list[str]:

@@ -167,7 +167,7 @@ class Scorer:
     def features(self, text: str | None) -> list[float]:
         """Best clause, sum over clauses, matched clauses (as logarithms) and hits per 100 words."""
         known, scores, clause, pending, words = self.known, [], [], False, 0
-        if len(known) > 1 << 20:
+        if len(known) > 1 << 16:
             known.clear()
         for token in _TOKEN.findall((text or "").lower()):
             if token in _BREAKS:

@@ -9,13 +9,14 @@ from __future__ import annotations
 import re
 import struct
 
+from carestar.llm.common import Remembered
+
 # Words of these characters alone are lower-cased and split here; all others go through the
 # library. Latin letters with accents in one code point are in normal form already.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 # Python's split() takes these for white space; the vocabulary's pattern does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_CACHE_WORDS = 1 << 20
 
 
 def byte_letters() -> list[str]:
@@ -55,29 +56,15 @@ def whole_tokens(path: str) -> dict[str, int]:
     return {text: n for (text, n), e in zip(listed, encoded, strict=True) if e.ids == [n]}
 
 
-class _Words(dict):
-    """Word -> value, made when first asked for and forgotten when there are too many."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, word):
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        value = self[word] = self.make(word)
-        return value
-
-
 class Encoder:
     def __init__(self, path: str, whole: dict[str, int]):
         self.tokenizer = open_tokenizer(path)
         self.model = self.tokenizer.model
         self.whole = whole
         self.letters = byte_letters()
-        self.counts = _Words(self._count)
-        self.packed = _Words(self._pack)
-        self.merged = _Words(self._merge)
+        self.counts = Remembered(self._count)
+        self.packed = Remembered(self._pack)
+        self.merged = Remembered(self._merge)
 
     def _merge(self, piece: str) -> tuple[int, ...]:
         spelled = "".join([self.letters[b] for b in piece.encode()])

@@ -1,0 +1,30 @@
+import pyarrow as pa
+
+from carestar.llm.common import Remembered, slices
+
+
+def test_slices_hold_few_rows_and_bytes_and_every_row():
+    texts = ["a" * 10, None, "b" * 500, "", "c" * 90, "d" * 90, "e" * 90] + ["f"] * 40
+    batch = pa.RecordBatch.from_pydict({"id": list(range(47)), "text": texts})
+    parts = list(slices(batch, rows=16, size=200))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict()
+    for part in parts:
+        held = sum(len(t or "") for t in part.column(1).to_pylist())
+        assert part.num_rows <= 16 and (held <= 200 or part.num_rows == 1)
+    assert list(slices(batch.slice(0, 0), 16, 200)) == []
+
+
+def test_slices_of_a_batch_that_is_itself_a_slice():
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 300] * 5 + ["y" * 10] * 5}).slice(4, 6)
+    assert [p.num_rows for p in slices(batch, 100, 50)] == [1, 5]
+
+
+def test_remembered_values_are_bounded_and_right():
+    made = []
+    squares = Remembered(lambda k: made.append(k) or k * k, most=8)
+    for k in [*range(30), *range(22, 30), *range(30)]:
+        assert squares[k] == k * k
+        assert len(squares) + len(squares.older) <= 16
+    # Those asked for again lately were not made again.
+    assert made.count(29) == 1 or made.index(29) > 0
+    assert made[:30] == list(range(30)) and made[30:38] != list(range(22, 30))
