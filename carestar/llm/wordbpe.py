@@ -57,18 +57,20 @@ def whole_tokens(path: str) -> dict[str, int]:
 
 
 class Encoder:
-    def __init__(self, path: str, whole: dict[str, int]):
+    """Ids and their number, word by word. A word of several pieces, or with capitals, is put
+    together from its pieces, which are words themselves and remembered as such."""
+
+    def __init__(self, path: str, whole: dict[str, int], most: int = 1 << 18):
         self.tokenizer = open_tokenizer(path)
         self.model = self.tokenizer.model
         self.whole = whole
         self.letters = byte_letters()
-        self.counts = Remembered(self._count)
-        self.packed = Remembered(self._pack)
-        self.merged = Remembered(self._merge)
+        self.counts = Remembered(self._count, most)
+        self.packed = Remembered(self._pack, most)
 
-    def _merge(self, piece: str) -> tuple[int, ...]:
+    def _merge(self, piece: str) -> list[int]:
         spelled = "".join([self.letters[b] for b in piece.encode()])
-        return tuple([t.id for t in self.model.tokenize(spelled)])
+        return [t.id for t in self.model.tokenize(spelled)]
 
     def _slow(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -82,20 +84,19 @@ class Encoder:
         pieces = self._pieces(word)
         if pieces is None:
             return len(self._slow(word))
-        whole, merged = self.whole, self.merged
-        return sum([1 if p in whole else len(merged[p]) for p in pieces])
+        if pieces != [word]:
+            return sum([self.counts[p] for p in pieces])
+        return 1 if word in self.whole else len(self._merge(word))
 
     def _pack(self, word: str) -> bytes:
         pieces = self._pieces(word)
         if pieces is None:
             ids = self._slow(word)
+        elif pieces != [word]:
+            return b"".join([self.packed[p] for p in pieces])
         else:
-            ids = []
-            for p in pieces:
-                if (n := self.whole.get(p)) is not None:
-                    ids.append(n)
-                else:
-                    ids.extend(self.merged[p])
+            n = self.whole.get(word)
+            ids = self._merge(word) if n is None else [n]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def count(self, text: str) -> int:
