@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
@@ -15,7 +16,7 @@ from pyspark.errors import AnalysisException
 from carestar.functions.dates import moment
 from carestar.functions.hashing import content_fingerprint
 from carestar.schemas import ENTITIES, Entity
-from carestar.sources.csv import read_entity_csv
+from carestar.sources.csv import open_extract
 from carestar.sources.literal import few_rows, no_rows
 
 RESULT_SCHEMA = T.StructType(
@@ -90,15 +91,20 @@ class LandingZone:
 
 
 def same_content(
-    source: DataFrame, landed: DataFrame, entity: Entity, policy: str = "rowcount"
+    source: DataFrame,
+    landed: DataFrame,
+    entity: Entity,
+    policy: str = "rowcount",
+    count: Callable[[], int] | None = None,
 ) -> tuple[bool, int]:
     """Whether landing already holds the file, and the file's row count.
 
     ``rowcount`` compares counts only; ``fingerprint`` also compares content and
-    so notices a changed file of the same length.
+    so notices a changed file of the same length. ``count`` gives the file's row
+    count where it is known without reading ``source``.
     """
     if policy == "rowcount":
-        rows = source.count()
+        rows = (count or source.count)()
         return rows == landed.count(), rows
     if policy == "fingerprint":
         names = entity.column_names
@@ -115,13 +121,15 @@ def load_entity(
     *,
     now: dt.datetime | None = None,
     policy: str = "rowcount",
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> LoadResult:
-    """Land one file unless its content is there; an error is a result, not raised."""
+    """Land one file, or folder of part files, unless its content is there; an error is a
+    result, not raised."""
     result = LoadResult(entity.landing_table, start_time=utc_now())
     try:
-        source = read_entity_csv(zone.spark, entity, csv_path, multiline)
-        same, rows = same_content(source, zone.read(entity), entity, policy)
+        extract = open_extract(zone.spark, entity, csv_path, multiline)
+        source = extract.rows
+        same, rows = same_content(source, zone.read(entity), entity, policy, extract.count)
         if same:
             result.status = "SKIP"
         else:
@@ -141,7 +149,7 @@ def run_extract(
     now: dt.datetime | None = None,
     policy: str = "rowcount",
     parallel: int = 4,
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> list[LoadResult]:
     """Land all entities as independent Spark jobs, under one batch id."""
     batch_id = batch_id or str(uuid.uuid4())

@@ -10,34 +10,42 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carestar.plans.staging import stage
 from carestar.schemas import Entity
+from carestar.sources.csv import read_entity_csv
 from carestar.sources.landing import stamped, utc_now
 from carestar.sources.store import TableStore
 
 
-def csv_stream(
-    spark: SparkSession, entity: Entity, folder: str, multiline: bool = True
-) -> DataFrame:
-    """New files of a folder as text rows.
+def file_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """The paths of a folder's new files; their content stays closed."""
+    fields = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(fields)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(folder).select("path")
 
-    Each file's header must name the entity's columns in their order; a file with
-    another header fails the run and lands nothing. Line breaks inside quotes are
-    part of their cell; with ``multiline=False`` a row without all cells fails.
+
+class OtherHeader(ValueError):
+    """A new file does not name the entity's columns in their order."""
+
+
+def new_rows(spark: SparkSession, entity: Entity, paths: list[str], multiline: bool | None) -> DataFrame:
+    """The rows of new files, each of which must have the entity's header.
+
+    A file is split over tasks unless a cell of it holds a line break; see ``read_entity_csv``.
     """
-    return (
-        spark.readStream.schema(entity.source_schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "FAILFAST")
-        .option("columnPruning", False)
-        .csv(folder)
-        .fillna("")
-    )
+    header = ",".join(entity.column_names)
+    first = spark.read.text(paths).where(F.col("_metadata.file_block_start") == 0)
+    first = first.select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"))
+    headers = first.groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    other = headers.where(F.lower(F.replace("header", F.lit('"'), F.lit(""))) != header.lower()).first()
+    if other is not None:
+        raise OtherHeader(f"{other['path']}: {other['header']}")
+    return read_entity_csv(spark, entity, paths, multiline)
 
 
 def stream_to_staging(
@@ -47,18 +55,26 @@ def stream_to_staging(
     checkpoint: str,
     *,
     now: dt.datetime | None = None,
-    multiline: bool = True,
+    multiline: bool | None = None,
+    files_per_batch: int | None = None,
     **rules,
 ) -> StreamingQuery:
-    """Start a run over all files not read yet; it ends when they are staged."""
+    """Start a run over all files not read yet; it ends when they are staged.
+
+    The stream itself carries file names. Each micro-batch reads its files as a batch does, so
+    a large file is many tasks. A file with another header fails the run and lands nothing.
+    """
 
     def apply(batch: DataFrame, number: int) -> None:
         moment = now or utc_now()
-        landed = stamped(batch, f"stream-{number}", moment)
-        stage(store, entity, landed, moment, **rules)
+        # One row a file; as many as a micro-batch takes in.
+        paths = [r["path"] for r in batch.collect()]
+        if paths:
+            rows = new_rows(store.spark, entity, paths, multiline)
+            stage(store, entity, stamped(rows, f"stream-{number}", moment), moment, **rules)
 
     return (
-        csv_stream(store.spark, entity, folder, multiline)
+        file_stream(store.spark, folder, files_per_batch)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(apply)

@@ -5,7 +5,7 @@ import pytest
 
 from carestar.plans import control, load
 from carestar.schemas import ENTITIES
-from carestar.sources.csv import UnexpectedColumns, read_entity_csv
+from carestar.sources.csv import UnexpectedColumns, look_through, open_extract, read_entity_csv
 from carestar.sources.landing import LandingZone, load_entity, results_frame, run_extract, summary
 
 ENTITY = ENTITIES["payer_transitions"]
@@ -120,3 +120,63 @@ def test_single_lines_fail_on_a_cut_row(spark, files, tmp_path):
     assert zone.read(ENTITY).count() == 0
     whole = files("b.csv", HEADER, "p1,1999,,y,o", "p2,1999,,y,o")
     assert load_entity(zone, ENTITY, whole, multiline=False).rows_loaded == 2
+
+
+def test_a_clean_extract_of_parts_is_split(spark, files, tmp_path):
+    parts = tmp_path / "extract.csv"
+    parts.mkdir()
+    for k in range(3):
+        lines = [f'p{k}-{n},1999,,"y ""{n}""",o' for n in range(50)]
+        (parts / f"part {k}%.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    rows = read_entity_csv(spark, ENTITY, str(parts))
+    assert rows.rdd.getNumPartitions() >= 3
+    assert rows.count() == 150 and rows.select("PATIENT").distinct().count() == 150
+    assert open_extract(spark, ENTITY, str(parts)).uncounted is None
+    zone = LandingZone(spark, str(tmp_path / "zone"))
+    assert load_entity(zone, ENTITY, str(parts)).rows_loaded == 150
+    assert load_entity(zone, ENTITY, str(parts)).status == "SKIP"
+
+
+def test_one_large_file_is_split(spark, files):
+    path = files("a.csv", HEADER, *[f"p{n},1999,,y,o" for n in range(4000)])
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in held:
+            spark.conf.set(k, "8k")
+        extract = open_extract(spark, ENTITY, path)
+        assert extract.rows.rdd.getNumPartitions() >= 3
+        assert extract.count() == extract.rows.count() == 4000
+    finally:
+        for k, value in held.items():
+            spark.conf.set(k, value)
+
+
+def test_only_files_with_breaks_in_cells_are_read_whole(spark, tmp_path):
+    parts = tmp_path / "extract"
+    parts.mkdir()
+    # A cut row can have all cells on each of its lines; quotes tell.
+    broken = 'p0,1999,,y,"first\na,b,c,d,last"\n\np1,1999,,y,"a ""b"" c"\n'
+    (parts / "a.csv").write_text(HEADER + "\n" + broken)
+    (parts / "b.csv").write_text(HEADER + '\n"p2",1999,,y,"x, ""y"""\n')
+    assert [f.rows for f in look_through(spark, str(parts))] == [None, 1]
+    extract = open_extract(spark, ENTITY, str(parts))
+    got = sorted((r.PATIENT, r.OWNERSHIP) for r in extract.rows.collect())
+    assert got == [("p0", "first\na,b,c,d,last"), ("p1", 'a "b" c'), ("p2", 'x, "y"')]
+    assert extract.count() == 3
+
+
+def test_parts_with_other_headers_fail(spark, tmp_path):
+    parts = tmp_path / "extract"
+    parts.mkdir()
+    (parts / "a.csv").write_text(HEADER + "\np0,1999,,y,o\n")
+    (parts / "b.csv").write_text("OWNERSHIP,PAYER,END_YEAR,START_YEAR,PATIENT\no,y,,1999,p1\n")
+    zone = LandingZone(spark, str(tmp_path / "zone"))
+    assert load_entity(zone, ENTITY, str(parts)).status == "FAILED"
+    assert zone.read(ENTITY).count() == 0
+
+
+def test_empty_files_and_headers_alone(spark, files):
+    assert read_entity_csv(spark, ENTITY, files("a.csv")).collect() == []
+    extract = open_extract(spark, ENTITY, files("b.csv", HEADER))
+    assert extract.count() == 0 and extract.rows.collect() == []
+    assert extract.rows.columns == ENTITY.column_names

@@ -40,3 +40,24 @@ def test_a_file_with_another_header_fails_the_run(store, folder, tmp_path):
     with pytest.raises(StreamingQueryException):
         run()
     assert [(r.PATIENT, r.OWNERSHIP) for r in store.read(ENTITY.staging_table).collect()] == [("p1", "A\nB")]
+
+
+def test_a_large_new_file_is_split_and_breaks_are_kept(spark, store, folder, tmp_path):
+    from carestar.streaming.files import new_rows
+
+    big = "".join(f"p{n},1999,,y,A\n" for n in range(3000))
+    (tmp_path / "a b.csv").write_text(HEADER + big)
+    (tmp_path / "c.csv").write_text(HEADER + 'q,1999,,y,"A\nB"\n')
+    held = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in held:
+            spark.conf.set(k, "8k")
+        rows = new_rows(spark, ENTITY, [str(tmp_path / "a b.csv"), str(tmp_path / "c.csv")], None)
+        assert rows.rdd.getNumPartitions() >= 4 and rows.count() == 3001
+    finally:
+        for k, value in held.items():
+            spark.conf.set(k, value)
+    stream_to_staging(store, ENTITY, str(tmp_path), f"{folder}/checkpoint", files_per_batch=1).awaitTermination()
+    staged = store.read(ENTITY.staging_table)
+    assert staged.count() == 3001
+    assert [r.OWNERSHIP for r in staged.where("PATIENT = 'q'").collect()] == ["A\nB"]
