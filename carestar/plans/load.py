@@ -15,6 +15,7 @@ from carestar.functions.dates import FIRST_DAY, LAST_DAY, key_of, moment
 from carestar.operators.calendar import calendar, check_range, missing_days
 from carestar.operators.lookup import timeline
 from carestar.plans import control, daily, dims, facts
+from carestar.plans.staging import months_left
 from carestar.schemas import ENTITIES, WAREHOUSE
 from carestar.sources.landing import LandingZone, run_extract, utc_now
 from carestar.sources.literal import no_rows
@@ -187,15 +188,21 @@ def load_facts(store: TableStore, first, last, now, options: Options) -> dict[st
 def drop_moved_encounters(store: TableStore, first: dt.date, last: dt.date) -> list[int]:
     """Remove the held facts, outside a range just loaded, of encounters that are in it now.
 
-    An encounter whose start moved into the range has a new fact there; its old one is in
-    another month. Only the months that hold such facts are rewritten. Returns the days that
-    lost facts, for their daily facts to be made again.
+    An encounter whose start moved into the range has a new fact there; its old one is in a
+    month that staging noted when the encounter left it, so no other month is opened. (Where
+    staging tables were written past their key index, all months are.) Only the months that
+    hold such facts are rewritten. Returns the days that lost facts, for their daily facts to
+    be made again.
     """
     low, high = key_of(first), key_of(last)
     inside = F.col("encounter_date_key").between(low, high)
     loaded = store.read_months("fact_encounter", low, high).where(inside)
     ids = loaded.select(F.col("encounter_id").alias("_id"))
-    held = store.read("fact_encounter").where(~inside)
+    left = months_left(store, ENTITIES["encounters"], ids, "_id")
+    if left is not None and not left:
+        return []
+    held = store.read("fact_encounter") if left is None else store.read_month_set("fact_encounter", left)
+    held = held.where(~inside)
     moved = held.join(ids, held["encounter_id"] == ids["_id"], "left_semi")
     days = sorted(r[0] for r in moved.select("encounter_date_key").distinct().collect())
     if days:

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library is tuned for. Joins pick broadcast or shuffle from the
 # measured size of each side, so nothing is broadcast that the threshold has
@@ -47,3 +47,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="carestar-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/carestar/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the scratch folder and read again: several later steps use them
+    without computing them each."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

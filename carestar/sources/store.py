@@ -26,6 +26,7 @@ from carestar.sources.literal import no_rows
 
 _LOAD = "load"
 _MONTH = "month_key"
+_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
 class TableMissing(LookupError):
@@ -52,9 +53,9 @@ def _value(part: str, name: str) -> str | None:
     return None
 
 
-def _month_name(part: str) -> str | None:
-    month = _value(part, _MONTH)
-    return month if month and month.isdigit() else None
+def _split_value(part: str, split: str) -> str | None:
+    value = _value(part, split)
+    return None if value == _NULL else value
 
 
 def _month(key: Column) -> Column:
@@ -104,12 +105,22 @@ class TableStore:
             parts.append(part)
         return self._read_parts(table, snapshot, parts)
 
-    def read_month_set(self, table: str, months: set[str | None]) -> DataFrame:
-        """Some months, given as text; None is the month of rows without a day."""
+    def read_split(self, table: str, split: str, values: set[str | None]) -> DataFrame:
+        """The rows of some values of the split a table is kept by; None stands for NULL."""
         snapshot = self._required(table)
-        parts = [p for p in snapshot.parts if _month_name(p) in months]
+        parts = [p for p in snapshot.parts if _split_value(p, split) in values]
         return self._read_parts(table, snapshot, parts)
 
+    def is_split(self, table: str, split: str) -> bool:
+        return all(_value(part, split) is not None for part in self._required(table).parts)
+
+    def split_values(self, table: str, split: str) -> set[str | None]:
+        return {_split_value(part, split) for part in self._required(table).parts}
+
+    def read_month_set(self, table: str, months: set[str | None]) -> DataFrame:
+        """Some months, given as text; None is the month of rows without a day."""
+        return self.read_split(table, _MONTH, months)
+
     # -- writing ----------------------------------------------------------
 
     def replace(
@@ -118,14 +129,18 @@ class TableStore:
         df: DataFrame,
         partition: str | None = None,
         month_of: Column | None = None,
+        split: tuple[str, Column] | None = None,
+        serial: int = 0,
     ) -> int:
         """The whole table becomes ``df``; returns the number of rows written.
 
-        ``month_of``, a date key, keeps the table by month instead.
+        ``month_of``, a date key, keeps the table by month instead; ``split`` by a value that
+        is not one of its columns. ``serial`` is a number kept with the version.
         """
-        rows = df if month_of is None else df.withColumn(_MONTH, _month(month_of))
-        parts, rows = self._write(table, rows, partition if month_of is None else _MONTH)
-        self._publish(table, self.snapshot(table), parts, df.schema)
+        split = split if month_of is None else (_MONTH, _month(month_of))
+        rows = df if split is None else df.withColumn(*split)
+        parts, rows = self._write(table, rows, partition if split is None else split[0])
+        self._publish(table, self.snapshot(table), parts, df.schema, serial)
         return rows
 
     def append(self, table: str, df: DataFrame, partition: str | None = None) -> int:
@@ -145,14 +160,22 @@ class TableStore:
         self._publish(table, before, [*held, *parts], before.schema)
         return rows
 
-    def swap_months(self, table: str, df: DataFrame, month_of: Column, months: set) -> int:
-        """Some months become ``df``, which has rows of those months only."""
+    def swap_split(
+        self, table: str, df: DataFrame, split: tuple[str, Column], values: set, serial: int = 0
+    ) -> int:
+        """Some values of the split become ``df``, which has rows of those values only."""
         before = self._required(table)
-        parts, rows = self._write(table, df.withColumn(_MONTH, _month(month_of)), _MONTH)
-        held = [p for p in before.parts if _month_name(p) not in months]
-        self._publish(table, before, [*held, *parts], before.schema)
+        parts, rows = self._write(table, df.withColumn(*split), split[0])
+        held = [p for p in before.parts if _split_value(p, split[0]) not in values]
+        self._publish(table, before, [*held, *parts], before.schema, serial)
         return rows
 
+    def swap_months(
+        self, table: str, df: DataFrame, month_of: Column, months: set, serial: int = 0
+    ) -> int:
+        """Some months become ``df``, which has rows of those months only."""
+        return self.swap_split(table, df, (_MONTH, _month(month_of)), months, serial)
+
     def replace_keys(
         self,
         table: str,
@@ -232,14 +255,15 @@ class TableStore:
     ) -> tuple[list[str], int, int]:
         """Write one part folder per partition value; parts, row count, last serial.
 
-        Rows are brought together by month first, in shuffle partitions that AQE
-        sizes and splits, so that not every task writes into every month. Rows
-        are counted as they are written.
+        Rows are brought together by a hidden split (month, bucket) first, in shuffle
+        partitions that AQE sizes and splits, so that not every task writes into every
+        value. Rows are counted as they are written.
         """
         seen = Observation()
         load = f"{_LOAD}={uuid.uuid4().hex}"
         path = f"{self._folder(table)}/{load}"
-        sized = df.hint("rebalance", _MONTH) if partition == _MONTH else df
+        hidden = partition is not None and partition.endswith("_key")
+        sized = df.hint("rebalance", partition) if hidden else df
         if serial is not None:
             sized = unique_ids(sized, serial, last)
         top = F.max(F.lit(last) if serial is None else F.col(serial))

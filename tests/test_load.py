@@ -234,6 +234,97 @@ def test_a_small_batch_rewrites_only_its_months(spark, zone, staged):
     assert parts(staged, "encounters") == after
 
 
+def opened(monkeypatch):
+    """The parts of staging tables and facts that are opened from here on."""
+    seen, plain = [], load.TableStore._read_parts
+
+    def read(self, table, snapshot, parts):
+        seen.extend((table, part) for part in parts)
+        return plain(self, table, snapshot, parts)
+
+    monkeypatch.setattr(load.TableStore, "_read_parts", read)
+    return seen
+
+
+def test_a_small_batch_opens_only_its_months_and_buckets(spark, zone, staged, monkeypatch):
+    seen = opened(monkeypatch)
+    again = {"Id": "e3", "START": "2020-03-16T08:00:00Z", "PATIENT": "p1"}
+    land(zone, "b2", LATER, {"encounters": rows(spark, "encounters", again)})
+    staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=["b2"])
+    months = {p.split("month_key=")[1] for t, p in seen if t == "Staging_Encounters"}
+    assert months == {"202003"}
+    assert len({p for t, p in seen if t == "Staging_Encounters_keys"}) == 1
+    before, total = parts(staged, "patients"), staged.read("Staging_Patients").count()
+    news = rows(spark, "patients", {"Id": "p2", "CITY": "Z"})
+    land(zone, "b3", LATER, {"patients": news})
+    seen.clear()
+    assert staging.transform(zone, staged, ENTITIES["patients"], now=LATER, batch_ids=["b3"]) == 1
+    assert {t for t, _ in seen} == {"Staging_Patients"} and len({p for _, p in seen}) == 1
+    assert len(before & parts(staged, "patients")) == len(before) - 1
+    assert staged.read("Staging_Patients").count() == total == 2
+
+
+def test_batches_in_any_order_equal_one_batch(spark, zone, store, folder):
+    """Random upserts and moves, staged a batch at a time and all at once."""
+    import random
+
+    from carestar.sources.store import TableStore
+
+    rng, whole = random.Random(4), TableStore(spark, f"{folder}/whole")
+    for name in ("encounters", "conditions", "payers"):
+        key = {"encounters": "Id", "conditions": "PATIENT", "payers": "Id"}[name]
+        for batch in range(4):
+            given = [
+                {key: f"k{rng.randrange(12)}", **({} if name == "payers" else {
+                    "START": f"2020-0{rng.randrange(1, 6)}-0{rng.randrange(1, 5)}" if rng.random() < 0.9 else ""}),
+                 **({"CODE": f"c{rng.randrange(2)}"} if name == "conditions" else {})}
+                for _ in range(6)
+            ]
+            unique = list({(r[key], r.get("START") if name == "conditions" else 0, r.get("CODE")): r for r in given}.values())
+            moment = NOW + dt.timedelta(days=batch)
+            land(zone, f"{name}{batch}", moment, {name: rows(spark, name, *unique)})
+            staging.transform(zone, store, ENTITIES[name], now=NOW, batch_ids=[f"{name}{batch}"])
+        staging.transform(zone, whole, ENTITIES[name], now=NOW)
+        table = ENTITIES[name].staging_table
+        drop = ("create_at",)
+        got = [sorted(map(str, s.read(table).drop(*drop).collect())) for s in (store, whole)]
+        assert got[0] == got[1]
+
+
+def test_moves_are_known_unless_a_table_was_written_otherwise(spark, zone, staged):
+    entity, none = ENTITIES["encounters"], {"PATIENT": "p1"}
+    ids = spark.createDataFrame([("e2",), ("e3",)], "_id string")
+    assert staging.months_left(staged, entity, ids, "_id") == set()
+    for batch, day in enumerate(["2020-03-02", "2020-01-07"]):
+        moved = rows(spark, "encounters", {"Id": "e2", "START": day, **none})
+        land(zone, f"m{batch}", LATER + dt.timedelta(days=batch), {"encounters": moved})
+        staging.transform(zone, staged, entity, now=LATER, batch_ids=[f"m{batch}"])
+    assert staging.months_left(staged, entity, ids, "_id") == {"202002", "202003"}
+    staged.replace(entity.staging_table, staged.read(entity.staging_table).where("Id <> 'e2'"))
+    assert not staging.index_holds(staged, entity)
+    assert staging.months_left(staged, entity, ids, "_id") is None
+    land(zone, "m9", LATER + dt.timedelta(days=9), {"encounters": rows(spark, "encounters", {"Id": "e2", "START": "2020-02-02", **none})})
+    staging.transform(zone, staged, entity, now=LATER, batch_ids=["m9"])
+    assert staging.index_holds(staged, entity) and staging.months_left(staged, entity, ids, "_id") is None
+    assert staged.read(entity.staging_table).where("Id = 'e2'").count() == 1
+
+
+def test_a_failed_table_write_leaves_an_index_that_is_not_trusted(spark, zone, staged, monkeypatch):
+    entity = ENTITIES["encounters"]
+    land(zone, "b2", LATER, {"encounters": rows(spark, "encounters", {"Id": "new", "START": "2020-05-02", "PATIENT": "p1"})})
+    def broken(*args, **named):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(load.TableStore, "swap_months", broken)
+        with pytest.raises(RuntimeError):
+            staging.transform(zone, staged, entity, now=LATER, batch_ids=["b2"])
+    assert not staging.index_holds(staged, entity)
+    staging.transform(zone, staged, entity, now=LATER, batch_ids=["b2"])
+    assert staging.index_holds(staged, entity)
+    assert staged.read(entity.staging_table).where("Id = 'new'").count() == 1
+
+
 def test_an_unchanged_dimension_is_not_written(spark, staged):
     run(staged, "one")
     before = {d.table: staged.snapshot(d.table).version for d in load.dims.HISTORY_DIMS}
@@ -242,15 +333,21 @@ def test_an_unchanged_dimension_is_not_written(spark, staged):
     assert before == {table: staged.snapshot(table).version for table in before}
 
 
-def test_a_moved_encounter_is_one_fact(spark, zone, staged):
+def test_a_moved_encounter_is_one_fact(spark, zone, staged, monkeypatch):
     run(staged, "one")
+    seen = opened(monkeypatch)
     moved = {
         "Id": "e2", "START": "2020-03-02T08:00:00Z", "PATIENT": "p1", "ORGANIZATION": "o1",
         "PROVIDER": "v1", "PAYER": "y1", "TOTAL_CLAIM_COST": "10", "ENCOUNTERCLASS": "wellness",
     }
     land(zone, "b2", LATER, {"encounters": rows(spark, "encounters", moved)})
     staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=["b2"])
-    run(staged, "march", dt.date(2020, 3, 1), dt.date(2020, 3, 31), now=LATER)
+    load.load_facts(staged, dt.date(2020, 3, 1), dt.date(2020, 3, 31), LATER, load.Options())
+    seen.clear()
+    assert load.drop_moved_encounters(staged, dt.date(2020, 3, 1), dt.date(2020, 3, 31)) == [20200210]
+    assert not [p for t, p in seen if t == "fact_encounter" and "202001" in p]
+    staged.replace_keys("fact_encounter", staged.read("fact_encounter").where("false"), "encounter_date_key", 20200301, 20200331)
+    run(staged, "march", dt.date(2020, 2, 1), dt.date(2020, 3, 31), now=LATER)
     facts = staged.read("fact_encounter").select("encounter_id", "encounter_date_key")
     assert sorted(map(tuple, facts.collect())) == [
         ("e0", 20200105), ("e1", 20200120), ("e2", 20200302), ("e3", 20200315),
