@@ -509,6 +509,21 @@ def _open_days(first: str, last: str) -> str:
     FROM f_medications WHERE start_date_key <= {last.replace('-', '')}"""
 
 
+def _medication_years(*ranges: tuple[str, str]) -> str:
+    rows = " UNION ALL ".join(f"SELECT * FROM ({_medication_rows(*days)})" for days in ranges)
+    return (
+        _with_facts("f_medications")
+        + f"""
+    SELECT CAST(year(day) AS INTEGER) AS year, medication_code, count(*) AS n_rows,
+           sum(active_patient_count) AS active_patient_count, sum(new_prescriptions) AS new_prescriptions,
+           sum(stopped_prescriptions) AS stopped_prescriptions,
+           sum(total_dispense_count) AS total_dispense_count, sum(total_base_cost) AS total_base_cost,
+           sum(total_payer_coverage) AS total_payer_coverage,
+           sum(total_base_cost - total_payer_coverage) AS total_out_of_pocket
+    FROM ({rows}) GROUP BY 1, 2"""
+    )
+
+
 def _medication_rows(first: str, last: str) -> str:
     """Daily rows by unfolding each prescription, for ranges too long to pair up."""
     low, high = first.replace("-", ""), last.replace("-", "")
@@ -714,6 +729,21 @@ def _upsert_by_id() -> str:
     )
 
 
+def _staging_incremental() -> str:
+    number = _number("Id")
+    second = (
+        f"SELECT * REPLACE ('2001-02-03T04:05:06Z' AS START) FROM ({extract('encounters')}) WHERE {number} % 7 = 0 "
+        f"UNION ALL SELECT * REPLACE ('N' || Id AS Id) FROM ({extract('encounters')}) WHERE {number} % 97 = 0"
+    )
+    return (
+        f"WITH a AS ({clean('encounters')}), b AS ({clean('encounters', second)}) "
+        f"SELECT b.*, CASE WHEN a.Id IS NULL THEN TIMESTAMP '{LATER}' ELSE TIMESTAMP '{NOW}' END AS create_at, "
+        f"TIMESTAMP '{BATCH_2}' AS update_at, 'batch-2' AS batch_id FROM b LEFT JOIN a ON a.Id = b.Id "
+        f"UNION ALL SELECT a.*, TIMESTAMP '{NOW}', TIMESTAMP '{BATCH_1}', 'batch-1' FROM a "
+        "WHERE a.Id NOT IN (SELECT Id FROM b)"
+    )
+
+
 def _upsert_composite() -> str:
     return (
         f"WITH a AS ({clean('medications')}), "
@@ -861,6 +891,7 @@ ORACLE = {
     "clean_collated": f"SELECT count(*) AS n_rows FROM ({clean('encounters')})",
     "upsert_by_id": _upsert_by_id(),
     "upsert_composite": _upsert_composite(),
+    "staging_incremental": _staging_incremental(),
     "control_upsert": _control(),
     "dim_date": _CALENDAR,
     "dim_condition_code": f"SELECT CODE AS code, max(DESCRIPTION) AS description FROM ({clean('conditions')}) "
@@ -894,15 +925,7 @@ ORACLE = {
     + _condition_daily("2024-01-16", "2024-03-31", _EARLIER),
     "fact_medication_daily": _with_facts("f_medications")
     + _medication_daily("2001-05-01", "2001-11-30"),
-    "fact_medication_daily_years": _with_facts("f_medications")
-    + f"""
-    SELECT CAST(year(day) AS INTEGER) AS year, medication_code, count(*) AS n_rows,
-           sum(active_patient_count) AS active_patient_count, sum(new_prescriptions) AS new_prescriptions,
-           sum(stopped_prescriptions) AS stopped_prescriptions,
-           sum(total_dispense_count) AS total_dispense_count, sum(total_base_cost) AS total_base_cost,
-           sum(total_payer_coverage) AS total_payer_coverage,
-           sum(total_base_cost - total_payer_coverage) AS total_out_of_pocket
-    FROM ({_medication_rows('1995-01-01', '2001-12-31')}) GROUP BY 1, 2""",
+    "fact_medication_daily_years": _medication_years(("1995-01-01", "2001-12-31")),
     "cumulative_cases": "SELECT event_type, day, new_cases, sum(new_cases) OVER (PARTITION BY event_type "
     "ORDER BY day ROWS UNBOUNDED PRECEDING) AS cumulative_cases FROM (SELECT event_type, "
     "CAST(ts AS DATE) AS day, count(*) AS new_cases FROM events GROUP BY 1, 2)",
@@ -924,6 +947,10 @@ ORACLE = {
     "load_partial": _load_partial(),
     "loaded_fact_encounter": _with_facts("f_encounter") + " SELECT * FROM f_encounter",
     "loaded_fact_condition": _with_facts("f_condition") + " SELECT * FROM f_condition",
+    "loaded_fact_medications": _with_facts("f_medications") + " SELECT * FROM f_medications",
+    "loaded_fact_condition_daily": _with_facts("f_encounter", "f_condition")
+    + _condition_daily("2024-01-01", "2024-12-31"),
+    "loaded_fact_medication_daily": _medication_years(("1995-01-01", "2001-12-31"), ("2024-01-01", "2024-12-31")),
     "loaded_fact_encounter_daily": _with_facts("f_encounter") + _encounter_daily("f_encounter"),
     "load_log": " UNION ALL ".join(
         f"SELECT 'warehouse_load' AS proc_name, '{batch}' AS batch_id, 'SUCCESS' AS status, "

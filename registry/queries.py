@@ -276,6 +276,23 @@ def upsert_composite(spark, folder):
     return staging.staged(news, entity, target, LATER)
 
 
+def staging_incremental(spark, folder):
+    """A stored staging table by month after a second batch that moves every seventh encounter
+    to one day and brings some new ones; only the batch's months and keys are opened."""
+    root = scratch_dir(spark, "incremental")
+    zone, store = LandingZone(spark, f"{root}/landing"), TableStore(spark, f"{root}/tables")
+    entity = ENTITIES["encounters"]
+    first = entities.encounters(spark, folder)
+    number = F.regexp_extract("Id", "[0-9]+", 0).cast("bigint")
+    moved = first.where(number % 7 == 0).withColumn("START", F.lit("2001-02-03T04:05:06Z"))
+    fresh = first.where(number % 97 == 0).withColumn("Id", F.concat(F.lit("N"), "Id"))
+    zone.append(entity, landing(spark, folder, "encounters"))
+    staging.transform(zone, store, entity, now=NOW)
+    zone.append(entity, stamped(moved.unionByName(fresh), *entities.SECOND_BATCH))
+    staging.transform(zone, store, entity, now=LATER, batch_ids=[entities.SECOND_BATCH[0]])
+    return store.read(entity.staging_table)
+
+
 def control_upsert(spark, folder):
     counts = reduce(
         DataFrame.unionByName,
@@ -522,7 +539,11 @@ def fact_medication_daily_years(spark, folder):
     """All years of daily rows, rolled up per year and medication."""
     warehouse, rows = _medication_fact(spark, folder)
     result = daily.fact_medication_daily(rows, *DATA_YEARS, NOW)
-    per_year = result.groupBy(
+    return natural(_per_year(result), warehouse, dims.MEDICATION)
+
+
+def _per_year(daily_rows: DataFrame) -> DataFrame:
+    return daily_rows.groupBy(
         F.floor(F.col("date_key") / 10000).cast("int").alias("year"), "medication_key"
     ).agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -539,7 +560,6 @@ def fact_medication_daily_years(spark, folder):
             )
         ],
     )
-    return natural(per_year, warehouse, dims.MEDICATION)
 
 
 def cumulative_cases(spark, folder):
@@ -674,6 +694,13 @@ def _loaded(fact, key, *wanted):
     return query
 
 
+def loaded_fact_medication_daily(spark, folder):
+    """The daily rows that the three loads stored, rolled up per year and medication."""
+    store = loaded_store(spark, folder)
+    warehouse = {dims.MEDICATION.table: store.read(dims.MEDICATION.table)}
+    return natural(_per_year(store.read("fact_medication_daily")), warehouse, dims.MEDICATION)
+
+
 def load_log(spark, folder):
     """The run log of the three loads: what ran, for which batch and range, and how it ended."""
     log = loaded_store(spark, folder).read("etl_run_log").where(F.col("proc_name") == load.LOAD)
@@ -823,6 +850,7 @@ QUERIES = {
     "clean_collated": clean_collated,
     "upsert_by_id": upsert_by_id,
     "upsert_composite": upsert_composite,
+    "staging_incremental": staging_incremental,
     "control_upsert": control_upsert,
     "dim_date": dim_date,
     "dim_condition_code": dim_condition_code,
@@ -855,9 +883,16 @@ QUERIES = {
         "fact_condition", "fact_condition_key", dims.PATIENT, dims.PROVIDER, dims.ORGANIZATION,
         dims.CONDITION_CODE,
     ),
+    "loaded_fact_medications": _loaded(
+        "fact_medications", "fact_medication_key", *_ALL_DIMS, dims.MEDICATION
+    ),
+    "loaded_fact_condition_daily": _loaded(
+        "fact_condition_daily", "daily_condition_key", dims.CONDITION_CODE, dims.ORGANIZATION
+    ),
     "loaded_fact_encounter_daily": _loaded(
         "fact_encounter_daily", "daily_key", dims.ORGANIZATION, dims.PAYER
     ),
+    "loaded_fact_medication_daily": loaded_fact_medication_daily,
     "load_log": load_log,
     "audit_references": audit_references,
     "audit_keys": audit_keys,
