@@ -76,13 +76,8 @@ def next_versions(
     )
     compared = current.join(source_hash, current[natural_key] == F.col("_nk"), "left")
     changed = F.col("_source_hash").isNotNull() & (F.col("_source_hash") != F.col("row_hash"))
-    closed = {
-        "valid_to": F.date_sub(F.lit(as_of), 1),
-        "is_current": F.lit(False),
-        "update_at": now,
-    }
     carried = compared.withColumns(
-        {name: F.when(changed, new).otherwise(F.col(name)) for name, new in closed.items()}
+        {name: F.when(changed, new).otherwise(F.col(name)) for name, new in _closed(as_of, now).items()}
     ).select(*current.columns)
 
     current_hash = current.select(
@@ -106,6 +101,26 @@ def next_versions(
     return Versions(carried, fresh.select(*current.columns))
 
 
+def closed_by(
+    current: DataFrame, fresh: DataFrame, *, natural_key: str, as_of: dt.date, now: Column
+) -> DataFrame:
+    """``current`` with the versions closed that versions of ``fresh`` follow."""
+    followed = fresh.select(F.col(natural_key).alias("_nk")).distinct()
+    joined = current.join(followed, current[natural_key] == F.col("_nk"), "left")
+    closed = _closed(as_of, now)
+    return joined.withColumns(
+        {name: F.when(F.col("_nk").isNotNull(), new).otherwise(F.col(name)) for name, new in closed.items()}
+    ).select(*current.columns)
+
+
+def _closed(as_of: dt.date, now: Column) -> dict[str, Column]:
+    return {
+        "valid_to": F.date_sub(F.lit(as_of), 1),
+        "is_current": F.lit(False),
+        "update_at": now,
+    }
+
+
 def apply_versions(dim: DataFrame, source: DataFrame, **options) -> DataFrame:
     """The whole dimension after one type-2 load; options as ``next_versions``."""
     key = options["surrogate_key"]

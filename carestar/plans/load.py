@@ -8,15 +8,17 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carestar.functions.dates import FIRST_DAY, LAST_DAY, key_of, moment
 from carestar.operators.calendar import calendar, check_range, missing_days
+from carestar.operators.dimensions import closed_by
 from carestar.operators.lookup import timeline
 from carestar.plans import control, daily, dims, facts
 from carestar.plans.staging import months_left
 from carestar.schemas import ENTITIES, WAREHOUSE
+from carestar.session import written
 from carestar.sources.landing import LandingZone, run_extract, utc_now
 from carestar.sources.literal import no_rows
 from carestar.sources.store import TableStore
@@ -73,7 +75,7 @@ def prepare(store: TableStore, now: dt.datetime | None = None) -> None:
     spark = store.spark
     first: dict[str, tuple] = {"dim_date": (no_rows(spark, WAREHOUSE["dim_date"]),)}
     for dim in dims.HISTORY_DIMS:
-        first[dim.table] = (dims.unknown_row(spark, dim, now), "is_current")
+        first[dim.table] = (dims.unknown_row(spark, dim, now), None, None, (_SLOT, F.lit(_NEW)))
     for dim in dims.CODE_DIMS:
         first[dim.table] = (dims.unknown_code_row(spark, dim, now),)
 
@@ -107,23 +109,50 @@ def load_codes(store: TableStore, dim: dims.CodeDim, now: dt.datetime) -> int:
     return store.append(dim.table, dims.code_additions(dim, store.read(dim.table), staging, now))
 
 
+# A type-2 dimension is kept by slots: closed versions, and buckets of the current ones.
+_SLOT, _NEW, _CLOSED = "slot_key", "new", "closed"
+
+
+def _slot(dim: dims.HistoryDim, rows: DataFrame, buckets: int) -> Column:
+    """Collated members that are equal may differ in bytes, so they have one bucket."""
+    binary = rows.schema[dim.natural_key].dataType.simpleString() == "string"
+    number = F.pmod(F.xxhash64(dim.natural_key), F.lit(buckets)) if binary else F.lit(0)
+    bucket = F.concat_ws("-", F.lit(buckets), number.cast("string"))
+    return F.when(F.col("is_current"), bucket).otherwise(F.lit(_CLOSED))
+
+
 def load_history(
-    store: TableStore, dim: dims.HistoryDim, as_of: dt.date, now: dt.datetime, valid_from: str
+    store: TableStore,
+    dim: dims.HistoryDim,
+    as_of: dt.date,
+    now: dt.datetime,
+    valid_from: str,
+    bucket_rows: int = 1_000_000,
 ) -> int:
-    """One type-2 load. Closed versions are a partition that only ever grows, so
-    a load rewrites the current versions and appends to the history. A version is
-    closed only where a new one opens, so without new versions nothing is written."""
-    held = store.read(dim.table)
+    """One type-2 load. The versions it opens are worked out once and written aside; only the
+    buckets of their members are opened again and rewritten, and only if there are any. Closed
+    versions are a slot that only ever grows. The number of buckets is set by the first load,
+    for ``bucket_rows`` members each."""
+    slots = store.split_values(dim.table, _SLOT) - {_CLOSED}
+    current = store.read_split(dim.table, _SLOT, slots)
+    # A version is closed by a later one of a greater key, so current ones have the greatest.
     parts = dims.next_versions(
-        held.where("is_current"),
+        current,
         dim.source(Staging(store)),
-        last_key=held.agg(F.max(dim.surrogate_key)).scalar(),
+        last_key=current.agg(F.max(dim.surrogate_key)).scalar(),
         **dims.history_options(dim, as_of, now, valid_from),
     )
-    if parts.fresh.isEmpty():
+    fresh = written(parts.fresh, "versions")
+    if fresh.isEmpty():
         return 0
-    rows = parts.carried.unionByName(parts.fresh)
-    return store.swap(dim.table, rows, "is_current", drop=lambda value: value == "true")
+    named = [int(slot.split("-")[0]) for slot in slots - {_NEW}]
+    buckets = named[0] if named else -(-fresh.count() // bucket_rows)
+    slot = _slot(dim, fresh, buckets)
+    # No more names than the dimension has buckets.
+    touched = {r[0] for r in fresh.select(slot).distinct().collect()} | (slots & {_NEW})
+    held = store.read_split(dim.table, _SLOT, touched)
+    carried = closed_by(held, fresh, natural_key=dim.natural_key, as_of=as_of, now=moment(now))
+    return store.swap_split(dim.table, carried.unionByName(fresh), (_SLOT, slot), touched)
 
 
 class Staging(Mapping):
@@ -154,13 +183,17 @@ def read_dims(store: TableStore) -> dict[str, DataFrame]:
 
 
 def with_timelines(store: TableStore, warehouse: dict[str, DataFrame], parallel: int) -> dict:
-    """``warehouse`` with the timeline of each history dimension, built once and stored, so
-    that the lookups of a load's facts all read it."""
+    """``warehouse`` with the timeline of each history dimension, stored, so that the lookups of
+    a load's facts all read it. It is built again only after the dimension was written."""
     by_table = {facts.ranges_of(dim.table): dim for dim in dims.HISTORY_DIMS}
 
     def build(name: str) -> int:
         dim = by_table[name]
-        return store.replace(name, timeline(warehouse[dim.table], dim.natural_key, dim.surrogate_key))
+        built, version = store.snapshot(name), store.snapshot(dim.table).version
+        if built is not None and built.last_serial == version:
+            return 0
+        ranges = timeline(warehouse[dim.table], dim.natural_key, dim.surrogate_key)
+        return store.replace(name, ranges, serial=version)
 
     _together(build, by_table, parallel)
     return warehouse | {name: store.read(name) for name in by_table}

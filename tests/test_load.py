@@ -167,7 +167,8 @@ def test_second_batch_changes_history_and_facts(staged, spark, zone):
     current = next(r.patient_key for r in people if r.patient_id == "p1" and r.is_current)
     assert encounters["e0"].patient_key == current
     # History is only added to: its stored part is the same after another load.
-    held = {p for p in staged.snapshot("dim_patient").parts if p.endswith("false")}
+    held = {p for p in staged.snapshot("dim_patient").parts if p.endswith("closed")}
+    assert held
     run(staged, "three", now=LATER)
     assert held <= set(staged.snapshot("dim_patient").parts)
 
@@ -333,6 +334,41 @@ def test_an_unchanged_dimension_is_not_written(spark, staged):
     assert before == {table: staged.snapshot(table).version for table in before}
 
 
+def test_only_buckets_with_changes_are_rewritten(spark, zone, staged):
+    load.prepare(staged, NOW)
+    many = rows(spark, "patients", *[{"Id": f"q{n}", "CITY": "A"} for n in range(40)])
+    land(zone, "b2", NOW, {"patients": many})
+    staging.transform(zone, staged, ENTITIES["patients"], now=NOW, batch_ids=["b2"])
+    patient = load.dims.PATIENT
+    assert load.load_history(staged, patient, AS_OF, NOW, "initial", bucket_rows=6) == 43
+    before = set(staged.snapshot("dim_patient").parts)
+    assert len(before) == 7
+    land(zone, "b3", LATER, {"patients": rows(spark, "patients", {"Id": "q7", "CITY": "B"}, {"Id": "q8", "CITY": "A"})})
+    staging.transform(zone, staged, ENTITIES["patients"], now=LATER, batch_ids=["b3"])
+    load.load_history(staged, patient, AS_OF, LATER, "initial", bucket_rows=6)
+    after = set(staged.snapshot("dim_patient").parts)
+    assert len(before & after) == 6
+    assert sorted(p.split("slot_key=")[1] == "closed" for p in after - before) == [False, True]
+    held = staged.read("dim_patient")
+    assert held.count() == 44 and held.where("is_current").count() == 43
+    assert [r.city for r in held.where("patient_id = 'q7' AND is_current").collect()] == ["B"]
+    assert held.select("patient_key").distinct().count() == 44
+    assert load.load_history(staged, patient, AS_OF, LATER, "initial") == 0
+    assert set(staged.snapshot("dim_patient").parts) == after
+
+
+def test_timelines_are_built_after_a_write_only(spark, zone, staged):
+    run(staged, "one")
+    name = load.facts.ranges_of("dim_patient")
+    version = staged.snapshot(name).version
+    run(staged, "two", now=LATER)
+    assert staged.snapshot(name).version == version
+    land(zone, "b2", LATER, {"patients": rows(spark, "patients", {"Id": "p1", "CITY": "B"})})
+    staging.transform(zone, staged, ENTITIES["patients"], now=LATER, batch_ids=["b2"])
+    run(staged, "three", now=LATER)
+    assert staged.snapshot(name).version == version + 1
+
+
 def test_a_moved_encounter_is_one_fact(spark, zone, staged, monkeypatch):
     run(staged, "one")
     seen = opened(monkeypatch)
