@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from carestar.functions.dates import key_of
 from carestar.operators.lookup import as_of_lookup
-from carestar.plans import daily, dims, facts, load, staging
+from carestar.plans import daily, dims, load, staging
 from carestar.schemas import ENTITIES
 from carestar.session import build_session, scratch_dir
 from carestar.sources.landing import LandingZone
@@ -56,16 +56,9 @@ def load_steps(store):
     timed("code_dims", lambda: [load.load_codes(store, dim, NOW) for dim in dims.CODE_DIMS])
     for dim in dims.HISTORY_DIMS:
         timed(dim.table, lambda: load.load_history(store, dim, AS_OF, NOW, "initial"))
-    inputs, warehouse = load.Staging(store), load.read_dims(store)
-    builders = (
-        ("fact_encounter", facts.fact_encounter, "encounter_date_key"),
-        ("fact_condition", facts.fact_condition, "start_date_key"),
-        ("fact_medications", facts.fact_medications, "start_date_key"),
-    )
-    bounds = key_of(FACT_DAYS[0]), key_of(FACT_DAYS[1])
-    for name, build, key in builders:
-        rows = build(inputs, warehouse, *FACT_DAYS, NOW)
-        timed(name, lambda: store.replace_keys(name, rows, key, *bounds, rows.columns[0]))
+    # The production path; its three facts are concurrent jobs.
+    options = load.Options()
+    timed("facts", lambda: load.load_facts(store, *FACT_DAYS, NOW, options))
 
 
 def daily_steps(store):

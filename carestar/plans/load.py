@@ -213,7 +213,8 @@ def load_facts(store: TableStore, first, last, now, options: Options) -> dict[st
         build, source, key = builders[table]
         staging = Staging(store, (source,), low, high)
         rows = build(staging, warehouse, first, last, now, options.on_missing)
-        return store.replace_keys(table, rows, key, low, high, WAREHOUSE[table].names[0])
+        until = "stop_date_key" if "stop_date_key" in WAREHOUSE[table].names else None
+        return store.replace_keys(table, rows, key, low, high, WAREHOUSE[table].names[0], until)
 
     return _together(load, builders, options.parallel)
 
@@ -263,12 +264,19 @@ def reload_encounter_days(store: TableStore, days: list[int], now: dt.datetime)
 def load_daily_facts(store: TableStore, first, last, now, options: Options) -> dict[str, int]:
     low, high = key_of(first), key_of(last)
     stays = store.read("fact_encounter")
+
+    def cases() -> DataFrame:
+        # Running totals that go on from earlier cases count them all.
+        if options.cumulative == "history":
+            return store.read_months("fact_condition", None, high)
+        return store.read_open("fact_condition", low, high)
+
     builders: dict[str, Callable[[], DataFrame]] = {
         "fact_encounter_daily": lambda: daily.fact_encounter_daily(
             store.read_months("fact_encounter", low, high), first, last, now
         ),
         "fact_condition_daily": lambda: daily.fact_condition_daily(
-            store.read_months("fact_condition", None, high),
+            cases(),
             stays,
             first,
             last,
@@ -276,7 +284,7 @@ def load_daily_facts(store: TableStore, first, last, now, options: Options) -> d
             options.cumulative,
         ),
         "fact_medication_daily": lambda: daily.fact_medication_daily(
-            store.read_months("fact_medications", None, high), first, last, now
+            store.read_open("fact_medications", low, high), first, last, now
         ),
     }
 

@@ -15,6 +15,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,6 +27,7 @@ from carestar.sources.literal import no_rows
 
 _LOAD = "load"
 _MONTH = "month_key"
+_UNTIL = "until_key"
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -105,6 +107,19 @@ class TableStore:
             parts.append(part)
         return self._read_parts(table, snapshot, parts)
 
+    def read_open(self, table: str, low: int, high: int) -> DataFrame:
+        """The months of a range of date keys, and of earlier months the parts with rows that
+        may last into it, by the year in which they end. Other parts are not opened."""
+        snapshot = self._required(table)
+        parts = []
+        for part in snapshot.parts:
+            month, until = _value(part, _MONTH), _value(part, _UNTIL)
+            started = month is not None and month.isdigit() and int(month) >= low // 100
+            lasting = until is None or not until.isdigit() or int(until) >= low // 10000
+            if (started or lasting) and not (month is not None and month.isdigit() and int(month) > high // 100):
+                parts.append(part)
+        return self._read_parts(table, snapshot, parts)
+
     def read_split(self, table: str, split: str, values: set[str | None]) -> DataFrame:
         """The rows of some values of the split a table is kept by; None stands for NULL."""
         snapshot = self._required(table)
@@ -184,6 +199,7 @@ class TableStore:
         low: int,
         high: int,
         serial: str | None = None,
+        until: str | None = None,
     ) -> int:
         """Rows with a date key in the inclusive range become ``df``.
 
@@ -191,6 +207,8 @@ class TableStore:
         name, also when ``df`` brings them no rows; months on its edges are
         rewritten without their old rows of the range; others are not touched.
         NULLs in the ``serial`` column are filled with keys never used before.
+        With ``until``, the date key of each row's end, a month is further kept by
+        the year of the end (NULL: open), for ``read_open``.
         """
         before = self.snapshot(table)
         held, edge, kept = [], [], None
@@ -208,9 +226,14 @@ class TableStore:
             )
         monthly = df if kept is None else df.unionByName(kept)
         monthly = monthly.withColumn(_MONTH, _month(F.col(column)))
+        partitions = (_MONTH,)
+        if until is not None:
+            year = F.floor(F.col(until) / 10000).cast("string")
+            monthly = monthly.withColumn(_UNTIL, F.coalesce(year, F.lit("open")))
+            partitions = (_MONTH, _UNTIL)
         counted = F.count_if(F.col(column).between(low, high))
         last = before.last_serial if before else 0
-        parts, rows, last = self._write_numbered(table, monthly, _MONTH, counted, serial, last)
+        parts, rows, last = self._write_numbered(table, monthly, partitions, counted, serial, last)
         schema = before.schema if before else df.schema
         self._publish(table, before, [*held, *parts], schema, last)
         return rows
@@ -229,6 +252,14 @@ class TableStore:
     def _read_parts(self, table: str, snapshot: Snapshot, parts) -> DataFrame:
         if not parts:
             return no_rows(self.spark, snapshot.schema)
+        # Parts of one kind of split are one read; a table may have been written in several.
+        kinds: dict[tuple, list[str]] = {}
+        for part in parts:
+            labels = tuple(step.partition("=")[0] for step in part.split("/"))
+            kinds.setdefault(labels, []).append(part)
+        return reduce(DataFrame.unionByName, [self._read_alike(table, snapshot, k) for k in kinds.values()])
+
+    def _read_alike(self, table: str, snapshot: Snapshot, parts) -> DataFrame:
         folder = self._folder(table)
         schema = T.StructType(list(snapshot.schema))
         if _MONTH not in schema.names:
@@ -242,13 +273,14 @@ class TableStore:
 
     def _write(self, table: str, df: DataFrame, partition: str | None) -> tuple[list[str], int]:
         count = F.count(F.lit(1))
-        return self._write_numbered(table, df, partition, count, None, 0)[:2]
+        partitions = () if partition is None else (partition,)
+        return self._write_numbered(table, df, partitions, count, None, 0)[:2]
 
     def _write_numbered(
         self,
         table: str,
         df: DataFrame,
-        partition: str | None,
+        partitions: tuple[str, ...],
         count: Column,
         serial: str | None,
         last: int,
@@ -262,18 +294,17 @@ class TableStore:
         seen = Observation()
         load = f"{_LOAD}={uuid.uuid4().hex}"
         path = f"{self._folder(table)}/{load}"
-        hidden = partition is not None and partition.endswith("_key")
-        sized = df.hint("rebalance", partition) if hidden else df
+        hidden = [name for name in partitions if name.endswith("_key")]
+        sized = df.hint("rebalance", *hidden) if hidden else df
         if serial is not None:
             sized = unique_ids(sized, serial, last)
         top = F.max(F.lit(last) if serial is None else F.col(serial))
         writer = sized.observe(seen, count.alias("rows"), top.alias("top")).write
-        if partition is None:
-            writer.parquet(path)
-            parts = [load]
-        else:
-            writer.partitionBy(partition).parquet(path)
-            parts = [f"{load}/{name}" for name in self._list(path) if "=" in name]
+        writer.partitionBy(*partitions).parquet(path) if partitions else writer.parquet(path)
+        parts = [load]
+        for _ in partitions:
+            folders = [(part, self._list(f"{self._folder(table)}/{part}")) for part in parts]
+            parts = [f"{part}/{name}" for part, names in folders for name in names if "=" in name]
         return parts, seen.get["rows"], max(last, seen.get["top"] or 0)
 
     def _publish(

@@ -357,6 +357,40 @@ def test_only_buckets_with_changes_are_rewritten(spark, zone, staged):
     assert set(staged.snapshot("dim_patient").parts) == after
 
 
+def test_a_reload_opens_no_facts_that_ended_before(spark, zone, staged, monkeypatch):
+    """Facts of 2018 to 2020, some of them open or of later ends: the reload of one month
+    equals the full computation and opens only what can show in it."""
+    days = ["2018-02-03", "2018-03-05", "2019-01-10", "2019-12-20", "2020-01-15", "2020-02-02"]
+    stops = ["2018-02-20", "", "2019-03-01", "2020-01-20", "2020-04-01", "2020-02-09"]
+    given = [
+        {"START": day, "STOP": stop, "PATIENT": f"p{1 + n % 2}", "ENCOUNTER": f"e{n % 4}", "CODE": f"x{n}",
+         "PAYER": "y1", "BASE_COST": "2"}
+        for n, (day, stop) in enumerate(zip(days, stops, strict=True))
+    ]
+    cases = [{k: r[k] for k in ("START", "STOP", "PATIENT", "ENCOUNTER", "CODE")} for r in given]
+    land(zone, "b2", NOW, {"medications": rows(spark, "medications", *given), "conditions": rows(spark, "conditions", *cases)})
+    for name in ("medications", "conditions"):
+        staging.transform(zone, staged, ENTITIES[name], now=NOW, batch_ids=["b2"])
+    run(staged, "all", dt.date(2018, 1, 1), dt.date(2020, 3, 31))
+    february = dt.date(2020, 2, 1), dt.date(2020, 2, 29)
+    whole = {t: content(staged, t) for t in ("fact_medication_daily",)}
+    seen = opened(monkeypatch)
+    run(staged, "february", *february, now=LATER)
+    assert content(staged, "fact_medication_daily") == whole["fact_medication_daily"]
+    for fact in ("fact_medications", "fact_condition"):
+        parts = {p.split("month_key=")[1] for t, p in seen if t == fact}
+        assert "201802/until_key=2018" not in parts and "201901/until_key=2019" not in parts
+        assert {"201803/until_key=open", "201912/until_key=2020"} <= parts
+    # The open cases are counted as the full computation counts them.
+    daily = load.daily.fact_condition_daily(
+        staged.read("fact_condition"), staged.read("fact_encounter"), *february, LATER
+    )
+    stored = staged.read_months("fact_condition_daily", 20200201, 20200229)
+    names = [c for c in stored.columns if c not in ("daily_condition_key", "load_dts")]
+    assert sorted(map(str, stored.select(names).collect())) == sorted(map(str, daily.select(names).collect()))
+    assert stored.count() > 29
+
+
 def test_timelines_are_built_after_a_write_only(spark, zone, staged):
     run(staged, "one")
     name = load.facts.ranges_of("dim_patient")
