@@ -18,9 +18,10 @@ from carestar.session import written
 from carestar.sources.landing import LandingZone, utc_now
 from carestar.sources.store import TableMissing, TableStore
 
-# Buckets of a staging table without months, and of the key index of one with months. The
-# number is part of each bucket's name, so a table keeps the one it began with.
-BUCKETS = 32
+# Rows in a bucket of a staging table without months, or of the key index of one with months.
+# The number of buckets is part of each one's name, so a table keeps the number it began with.
+BUCKET_ROWS = 100_000
+MOST_BUCKETS = 4096
 _BUCKET = "bucket_key"
 _MONTH_OF_KEY = "_month"
 
@@ -70,6 +71,10 @@ def _bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[str, Colu
     return _BUCKET, F.concat_ws("-", F.lit(buckets), number.cast("string"))
 
 
+def _buckets_for(df: DataFrame) -> int:
+    return min(max(1, -(-df.count() // BUCKET_ROWS)), MOST_BUCKETS)
+
+
 def _values(df: DataFrame, value: Column) -> set[str | None]:
     """The distinct values of a split: no more than a table has buckets or months."""
     return {r[0] for r in df.select(value.cast("string")).distinct().collect()}
@@ -93,13 +98,19 @@ def index_holds(store: TableStore, entity: Entity) -> bool:
     return index is not None and index.last_serial == _state(store, entity.staging_table)
 
 
+def _as_first_loaded(store: TableStore, entity: Entity) -> bool:
+    """Whether a table is as its first load left it; no key has left a month then."""
+    held = store.snapshot(entity.staging_table)
+    return held is not None and held.version == 1 and held.last_serial > 0
+
+
 def _month_of(entity: Entity) -> Column:
     return F.floor(date_key(F.col(entity.day_column)) / 100).cast("string").alias(_MONTH_OF_KEY)
 
 
 def _write_index(store: TableStore, entity: Entity) -> None:
     entries = store.read(entity.staging_table).select(*entity.keys, _month_of(entity)).distinct()
-    split = _bucket(entries, entity.keys, BUCKETS)
+    split = _bucket(entries, entity.keys, _buckets_for(store.read(entity.staging_table)))
     store.replace(key_index(entity), entries, split=split, serial=_state(store, entity.staging_table))
 
 
@@ -117,23 +128,26 @@ def stage(
 
     A table kept by month opens and gives up only the months that the batch brings rows for
     and those that hold rows of its keys, which the key index tells; of the index, only the
-    buckets of the batch's keys are opened. A table without months is kept by buckets of its
+    buckets of the batch's keys are opened. The index is made by the first batch after the first
+    load. A table without months is kept by buckets of its
     keys, and only those of the batch are opened. The index is published before the table it
     describes and may name months too many, never too few.
     """
     cleaned = clean(landing, entity, **rules)
     if entity.day_column is None:
-        return _stage_by_bucket(store, entity, cleaned, now)
+        return _stage_by_bucket(store, entity, landing, cleaned, now)
     return _stage_by_month(store, entity, cleaned, now)
 
 
-def _stage_by_bucket(store: TableStore, entity: Entity, cleaned: DataFrame, now: dt.datetime) -> int:
+def _stage_by_bucket(
+    store: TableStore, entity: Entity, landing: DataFrame, cleaned: DataFrame, now: dt.datetime
+) -> int:
     table = entity.staging_table
     buckets = _buckets_held(store, table) if store.exists(table) else None
-    split = _bucket(cleaned, entity.keys, buckets or BUCKETS)
     if buckets is None:
         rows = merged(cleaned, entity, store.read_or_none(table), now)
-        return store.replace(table, rows, split=split)
+        return store.replace(table, rows, split=_bucket(cleaned, entity.keys, _buckets_for(landing)))
+    split = _bucket(cleaned, entity.keys, buckets)
     cleaned = written(cleaned, "batch")
     touched = _values(cleaned, split[1])
     if not touched:
@@ -147,19 +161,19 @@ def _stage_by_month(store: TableStore, entity: Entity, cleaned: DataFrame, now:
     month_of = date_key(F.col(entity.day_column))
     state = uuid.uuid4().int >> 65
     if not store.exists(table):
-        rows = store.replace(table, merged(cleaned, entity, None, now), month_of=month_of, serial=state)
-        _write_index(store, entity)
-        return rows
+        return store.replace(table, merged(cleaned, entity, None, now), month_of=month_of, serial=state)
     may_move = entity.day_column not in entity.keys
     if not index_holds(store, entity):
+        # The first batch after the first load, or after a write from elsewhere.
+        known = _as_first_loaded(store, entity)
         if not store.is_split(table, "month_key"):
             store.replace(table, store.read(table), month_of=month_of)
         _write_index(store, entity)
-        if may_move:
+        if may_move and not known:
             store.append(key_moves(entity), _unknown_moves(store.read(table), entity))
     cleaned = written(cleaned, "batch")
     news = cleaned.select(*entity.keys, _month_of(entity)).distinct()
-    split = _bucket(news, entity.keys, _buckets_held(store, index) or BUCKETS)
+    split = _bucket(news, entity.keys, _buckets_held(store, index) or 1)
     touched = _values(news, split[1])
     if not touched:
         return 0
@@ -182,6 +196,8 @@ def _unknown_moves(table: DataFrame, entity: Entity) -> DataFrame:
 
 def months_left(store: TableStore, entity: Entity, ids: DataFrame, column: str) -> set[str] | None:
     """The months that some keys once had rows in and left; None if that is not known."""
+    if _as_first_loaded(store, entity):
+        return set()
     if not index_holds(store, entity):
         return None
     moves = store.read_or_none(key_moves(entity))

@@ -78,7 +78,8 @@ def zone(spark, folder):
 
 
 @pytest.fixture
-def staged(spark, zone, store):
+def staged(spark, zone, store, monkeypatch):
+    monkeypatch.setattr(staging, "_buckets_for", lambda df: 32)
     land(zone, "b1", NOW, first_batch(spark))
     staging.transform_all(zone, store, now=NOW)
     return store
@@ -250,8 +251,10 @@ def opened(monkeypatch):
 def test_a_small_batch_opens_only_its_months_and_buckets(spark, zone, staged, monkeypatch):
     seen = opened(monkeypatch)
     again = {"Id": "e3", "START": "2020-03-16T08:00:00Z", "PATIENT": "p1"}
-    land(zone, "b2", LATER, {"encounters": rows(spark, "encounters", again)})
-    staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=["b2"])
+    for n in range(2):  # the first batch makes the index
+        seen.clear()
+        land(zone, f"b2{n}", LATER + dt.timedelta(days=n), {"encounters": rows(spark, "encounters", again)})
+        staging.transform(zone, staged, ENTITIES["encounters"], now=LATER, batch_ids=[f"b2{n}"])
     months = {p.split("month_key=")[1] for t, p in seen if t == "Staging_Encounters"}
     assert months == {"202003"}
     assert len({p for t, p in seen if t == "Staging_Encounters_keys"}) == 1
