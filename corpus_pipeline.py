@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.llm.common import stored, table
-from carestar.llm.decontam import fit_blocks, leaks_column
+from carestar.llm.decontam import without_leaks
 from carestar.llm.neardup import one_of_each
 from carestar.llm.packing import pack
 from carestar.llm.quality import fit_quality, kept_column
@@ -26,9 +26,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item."""
-    blocks = fit_blocks(table(spark, sf_dir, "benchmark"))
-    return docs.where(~leaks_column(F.col("text"), blocks))
+    """Documents that leak no benchmark item; those without a text leak none."""
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
