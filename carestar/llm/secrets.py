@@ -136,24 +136,43 @@ def _inflated(data: bytes, limit: int) -> tuple[list[bytes], int]:
     while m := _MAGIC.search(data, at):
         start = m.start()
         at = start + 1
+        broken = False
         try:
-            machine = (
-                bz2.BZ2Decompressor() if m[0][:1] == b"B" else zlib.decompressobj(31 if m[0][:1] == b"\x1f" else 15)
-            )
+            machine = _opener(m[0])
             out = machine.decompress(memoryview(data)[start:], limit + 1)
         except (zlib.error, OSError, ValueError):
-            continue
+            broken = True
+            out = _up_to_error(_opener(m[0]), data, start, limit)
         if len(out) > limit:
             closed += 1
-        elif machine.eof:
+        elif machine.eof and not broken:
             if start == joined and len(outs[-1]) + len(out) <= limit:
                 outs[-1] += out
             else:
                 outs.append(out)
             at = joined = len(data) - len(machine.unused_data)
+        elif out and (_readable(out, holding=True) or _MAGIC.search(out)):
+            outs.append(out)  # cut short or broken: what came out so far is looked through
     return outs, closed
 
 
+def _opener(magic: bytes):
+    return bz2.BZ2Decompressor() if magic[:1] == b"B" else zlib.decompressobj(31 if magic[:1] == b"\x1f" else 15)
+
+
+def _up_to_error(machine, data: bytes, start: int, limit: int) -> bytes:
+    """What a broken piece opens to before its fault, to within the last 256 bytes of it."""
+    out = bytearray()
+    try:
+        for at in range(start, len(data), 256):
+            out += machine.decompress(data[at : at + 256])
+            if len(out) > limit:
+                break
+    except (zlib.error, OSError, ValueError, EOFError):
+        pass
+    return bytes(out)
+
+
 def _all_inflated(data: bytes, limit: int) -> tuple[list[bytes], int]:
     """What the bytes open to, through any compression inside; the same bytes once."""
     seen, closed, work = {data: None}, 0, deque([data])

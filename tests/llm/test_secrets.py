@@ -171,3 +171,16 @@ def test_payloads_after_other_base64_letters_are_opened(lead, tail, wrap):
 def test_members_of_a_compressed_file_are_one_text():
     both = gzip.compress(SECRET[:20].encode()) + gzip.compress(SECRET[20:].encode())
     assert any(k == 0 for _, k, _ in scan(b64(both))[1])
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress])
+def test_cut_and_broken_compressed_pieces_are_looked_through(pack):
+    rng = random.Random(1)
+    lines = "".join(f"{rng.random()} password = Zq{k:03d}hunterLongKey{k}\n" for k in range(40))
+    whole = pack(lines.encode())
+    text = f"log {base64.b64encode(whole[:-9]).decode()} end"
+    assert scan(text)[1]
+    broken = bytearray(whole)
+    broken[len(whole) - 300 : len(whole) - 290] = b"\xff" * 10
+    assert scan(f"log {base64.b64encode(bytes(broken)).decode()} end")[1]
+    assert not scan(f"log {base64.b64encode(pack(bytes(range(256)) * 9)[:-9]).decode()} end")[1]
