@@ -28,12 +28,19 @@ MAX_LEXICON = 4096
 MIN_TOXIC = 4
 MIN_ODDS = math.log(20)
 STEMS = (4, 5)
+ENDINGS = ("ing", "s")  # of threat words, also after a doubled letter
 
-_TOKEN = re.compile(r"\w+|[.!?;:\n\"“”«»„]")
+# A word keeps an apostrophe after it and the t of a negation ("aren't", "n'" of "n'est").
+_TOKEN = re.compile(r"\w+(?:['’](?:t\b)?)?|[.!?;:\n\"“”«»„]")
 _BREAKS = frozenset(".!?;:\n")
 _QUOTES = frozenset("\"“”«»„")
 
 
+def plain(token: str) -> str:
+    """The word without the apostrophe after it."""
+    return token.split("'")[0].split("’")[0]
+
+
 @dataclass
 class Transducer:
     """States are any values; ``arcs[state, symbol]`` lists (next state, output, log weight).
@@ -155,11 +162,18 @@ class Scorer:
         self.machine = grammar()
         self.known: dict[str, tuple[str, float] | None] = {}
 
-    def _class(self, word: str):
+    def _class(self, token: str):
+        word = plain(token)
+        if token != word and (token[-1] == "t" and word[-1] == "n" or word == "n"):
+            return "negation", 0.0
         weight = max(
             [self.lexicon.get(word, 0.0), *(self.lexicon.get(word[:n] + "*", 0.0) for n in STEMS)]
         )
         kind = self.fixed.get(word)
+        if kind is None and any(
+            word.endswith(e) and "threat" in map(self.fixed.get, (word[: -len(e)], word[: -len(e) - 1])) for e in ENDINGS
+        ):
+            kind = "threat"
         if kind == "insult" or weight and kind is None:
             return "insult", max(weight, 1.0)
         return (kind, 0.0) if kind else None

@@ -35,6 +35,19 @@ def test_clauses_not_words_are_scored():
     assert best("") == best(None) == best("you said never") == 0
 
 
+@pytest.mark.parametrize("text", ["you aren't a clown", "you aren’t a clown", "she isn't a clown", "tu n'es pas un clown"])
+def test_contracted_negations_weaken_a_hit(text):
+    assert 0 < best(text) < best("you are a clown") / 2
+
+
+def test_apostrophes_hide_no_word_and_threats_take_endings():
+    assert best("l'idiot arrive") == best("le idiot arrive") > 0
+    assert best("the clown's hat") == best("the clown hat") > 0
+    assert best("they are killing you") == best("they will kill you")
+    assert best("stabbing them") > 0 and best("he shoots you") > 0
+    assert best("killing the lights") == 0
+
+
 def outputs(machine, symbols):
     """Every path of a transducer over symbols: outputs and weight."""
     paths = [(machine.start, (), 0.0)]
