@@ -11,6 +11,7 @@ from carestar.operators import quality
 from carestar.plans import dims, facts
 from carestar.schemas import ENTITIES, FOREIGN_KEYS, UNIQUE, WAREHOUSE
 from carestar.sources.landing import LandingZone
+from carestar.sources.literal import no_rows
 from carestar.sources.store import TableStore
 
 
@@ -34,6 +35,14 @@ def references(store: TableStore) -> DataFrame:
     return quality.foreign_key_violations(tables, FOREIGN_KEYS)
 
 
+def dropped(store: TableStore) -> DataFrame:
+    """Source rows that the loads made no fact of, as they have no patient: what the loads
+    set aside, of all fact tables."""
+    asides = [facts.dropped_name(fact) for fact in ("fact_encounter", "fact_condition", "fact_medications")]
+    held = [store.read(aside) for aside in asides if store.exists(aside)]
+    return reduce(DataFrame.unionByName, held) if held else no_rows(store.spark, facts.DROPPED)
+
+
 def dropped_encounters(store: TableStore) -> DataFrame:
     """Encounters that no fact row was made for, as they have no patient."""
     staged = store.read(ENTITIES["encounters"].staging_table)

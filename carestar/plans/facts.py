@@ -7,6 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from carestar.functions.dates import bounded_date_key, date_key, moment
 from carestar.operators.dimensions import UNKNOWN_CODE
@@ -14,7 +15,7 @@ from carestar.operators.lookup import as_of_lookup
 from carestar.plans import dims
 from carestar.schemas import WAREHOUSE
 
-_PATIENT_RULES = ("drop", "unknown", "error")
+_PATIENT_RULES = ("drop", "unknown", "error", "null")
 
 
 def conform(df: DataFrame, table: str, now: dt.datetime) -> DataFrame:
@@ -63,7 +64,8 @@ def _with_dimensions(
 
     A fact needs its patient: without one the row is dropped, gets the unknown
     member, or fails the load, as ``on_missing`` says. Other members may be
-    absent (NULL), or the unknown member with ``on_missing="unknown"``.
+    absent (NULL), or the unknown member with ``on_missing="unknown"``. With
+    "null" the row stays without its patient, for the writer to count and drop.
     """
     if on_missing not in _PATIENT_RULES:
         raise ValueError(f"unknown rule for missing members {on_missing!r}")
@@ -75,7 +77,7 @@ def _with_dimensions(
             rows = rows.withColumn(dim.surrogate_key, F.coalesce(key, F.lit(dims.UNKNOWN_KEY)))
         elif dim is dims.PATIENT and on_missing == "drop":
             rows = rows.where(key.isNotNull())
-        elif dim is dims.PATIENT:
+        elif dim is dims.PATIENT and on_missing == "error":
             missing = F.concat(F.lit("no patient as of the fact date: "), F.col(dim.natural_key))
             failing = F.raise_error(F.coalesce(missing, F.lit("fact without patient")))
             rows = rows.withColumn(dim.surrogate_key, F.coalesce(key, failing.cast("bigint")))
@@ -253,9 +255,50 @@ def medication_span(
     return bounds["low"] or first, bounds["high"] or last
 
 
+DROPPED = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("fact_table", "patient_id", "encounter_id", "code")]
+    + [T.StructField("fact_date", T.DateType()), T.StructField("date_key", T.IntegerType())]
+)
+
+
+def dropped_name(table: str) -> str:
+    """The table that holds the source rows a fact table could not take."""
+    return f"{table}_dropped"
+
+
+def dropped(
+    table: str,
+    staging: Mapping[str, DataFrame],
+    warehouse: dict[str, DataFrame],
+    first: dt.date,
+    last: dt.date,
+) -> DataFrame:
+    """Who, when, where and what of the source rows that have no patient to be a fact of."""
+    if table == "fact_encounter":
+        rows = encounter_source(staging["encounters"], first, last)
+        day, code = "encounter_date", "encounter_code"
+    elif table == "fact_condition":
+        rows = condition_source(staging["conditions"], staging["encounters"], first, last)
+        day, code = "start_date", "condition_code"
+    else:
+        rows = medication_source(staging["medications"], staging["encounters"], first, last)
+        day, code = "start_date", "medication_code"
+    rows = rows.select(
+        F.lit(table).alias("fact_table"),
+        "patient_id",
+        "encounter_id",
+        F.col(code).alias("code"),
+        F.col(day).alias("fact_date"),
+        date_key(F.col(day)).alias("date_key"),
+    )
+    ranges = warehouse.get(ranges_of(dims.PATIENT.table))
+    lost = rows_without_patient(rows, warehouse[dims.PATIENT.table], "fact_date", ranges)
+    return lost.drop(dims.PATIENT.surrogate_key)
+
+
 def rows_without_patient(
-    source: DataFrame, patients: DataFrame, day: str
+    source: DataFrame, patients: DataFrame, day: str, ranges: DataFrame | None = None
 ) -> DataFrame:
     """Fact source rows that have no patient version on their day."""
-    found = _with_dimension(source, dims.PATIENT, patients, F.col(day))
+    found = _with_dimension(source, dims.PATIENT, patients, F.col(day), ranges)
     return found.where(F.col(dims.PATIENT.surrogate_key).isNull())

@@ -26,6 +26,7 @@ from carestar.sources.store import TableStore
 LOAD = "warehouse_load"
 CALENDAR = "calendar_load"
 EXTRACT = "extract_run"
+DROPPED = "dropped_facts"
 
 # The two documented ranges.
 FULL_RANGE = (FIRST_DAY, LAST_DAY)
@@ -209,14 +210,27 @@ def load_facts(store: TableStore, first, last, now, options: Options) -> dict[st
         "fact_medications": (facts.fact_medications, "medications", "start_date_key"),
     }
 
+    dropped: dict[str, int] = {}
+
     def load(table: str) -> int:
         build, source, key = builders[table]
         staging = Staging(store, (source,), low, high)
-        rows = build(staging, warehouse, first, last, now, options.on_missing)
+        drops = options.on_missing == "drop"
+        rows = build(staging, warehouse, first, last, now, "null" if drops else options.on_missing)
         until = "stop_date_key" if "stop_date_key" in WAREHOUSE[table].names else None
-        return store.replace_keys(table, rows, key, low, high, WAREHOUSE[table].names[0], until)
+        keep = F.col(dims.PATIENT.surrogate_key).isNotNull() if drops else None
+        n, lost = store.replace_kept(table, rows, key, low, high, WAREHOUSE[table].names[0], until, keep)
+        aside = facts.dropped_name(table)
+        if lost or store.exists(aside):
+            rows = no_rows(store.spark, facts.DROPPED)
+            if lost:
+                rows = facts.dropped(table, staging, warehouse, first, last)
+            count = store.replace_keys(aside, rows, "date_key", low, high)
+            if count:
+                dropped[aside] = count
+        return n
 
-    return _together(load, builders, options.parallel)
+    return _together(load, builders, options.parallel) | dropped
 
 
 def drop_moved_encounters(store: TableStore, first: dt.date, last: dt.date) -> list[int]:
@@ -307,6 +321,10 @@ def load_warehouse(
 ) -> dict[str, int] | None:
     """Load a date range; rows written per table, or None for a finished batch.
 
+    With ``on_missing="drop"``, source rows without a patient are counted as the facts are
+    written; only where there are any, they are read again into ``<fact>_dropped``, which is
+    replaced by range like the fact, and counted in the result and in the run log.
+
     Steps that do not depend on each other run as concurrent Spark jobs. Each
     table is published on its own, so a failed load can be run again; the error
     is logged and raised.
@@ -331,7 +349,9 @@ def load_warehouse(
         medications = Staging(store, ("medications",), key_of(first), key_of(last))["medications"]
         span = facts.medication_span(medications, first, last)
         rows["dim_date"] += load_calendar(store, *span, batch_id)
-        rows |= load_facts(store, first, last, now, options)
+        loaded = load_facts(store, first, last, now, options)
+        aside = {name: loaded.pop(name) for name in sorted(loaded) if name not in WAREHOUSE}
+        rows |= loaded
         left = drop_moved_encounters(store, first, last)
         rows |= load_daily_facts(store, first, last, now, options)
         rows["fact_encounter_daily"] += reload_encounter_days(store, left, now)
@@ -340,9 +360,12 @@ def load_warehouse(
             store, LOAD, batch_id, "FAILED", start=start, error=str(error), params=params
         )
         raise
+    for name, count in aside.items():
+        of = f"Table={name};FromDate={first};ToDate={last}"
+        control.log_run(store, DROPPED, batch_id, "SUCCESS", start=start, rows=count, params=of)
     total = sum(rows.values())
     control.log_run(store, LOAD, batch_id, "SUCCESS", start=start, rows=total, params=params)
-    return rows
+    return rows | aside
 
 
 def load_full(store: TableStore, **options):

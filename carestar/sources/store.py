@@ -210,6 +210,21 @@ class TableStore:
         With ``until``, the date key of each row's end, a month is further kept by
         the year of the end (NULL: open), for ``read_open``.
         """
+        return self.replace_kept(table, df, column, low, high, serial, until)[0]
+
+    def replace_kept(
+        self,
+        table: str,
+        df: DataFrame,
+        column: str,
+        low: int,
+        high: int,
+        serial: str | None = None,
+        until: str | None = None,
+        keep: Column | None = None,
+    ) -> tuple[int, int]:
+        """As ``replace_keys``, but of the rows of ``df`` only those that ``keep`` holds for are
+        written; returns how many were, and how many were not, counted in the writing stage."""
         before = self.snapshot(table)
         held, edge, kept = [], [], None
         for part in before.parts if before else ():
@@ -233,10 +248,12 @@ class TableStore:
             partitions = (_MONTH, _UNTIL)
         counted = F.count_if(F.col(column).between(low, high))
         last = before.last_serial if before else 0
-        parts, rows, last = self._write_numbered(table, monthly, partitions, counted, serial, last)
+        parts, rows, last, refused = self._write_numbered(
+            table, monthly, partitions, counted, serial, last, keep
+        )
         schema = before.schema if before else df.schema
         self._publish(table, before, [*held, *parts], schema, last)
-        return rows
+        return rows - refused, refused
 
     # -- inside -----------------------------------------------------------
 
@@ -284,8 +301,10 @@ class TableStore:
         count: Column,
         serial: str | None,
         last: int,
-    ) -> tuple[list[str], int, int]:
-        """Write one part folder per partition value; parts, row count, last serial.
+        keep: Column | None = None,
+    ) -> tuple[list[str], int, int, int]:
+        """Write one part folder per partition value; parts, row count, last serial, and how
+        many of the rows counted ``keep`` left out.
 
         Rows are brought together by a hidden split (month, bucket) first, in shuffle
         partitions that AQE sizes and splits, so that not every task writes into every
@@ -299,13 +318,17 @@ class TableStore:
         if serial is not None:
             sized = unique_ids(sized, serial, last)
         top = F.max(F.lit(last) if serial is None else F.col(serial))
-        writer = sized.observe(seen, count.alias("rows"), top.alias("top")).write
+        # Above every exchange: a stage without rows is planned away with what it observed.
+        refused = F.count_if(F.lit(False) if keep is None else ~keep)
+        counted = sized.observe(seen, count.alias("rows"), top.alias("top"), refused.alias("refused"))
+        writer = (counted if keep is None else counted.where(keep)).write
         writer.partitionBy(*partitions).parquet(path) if partitions else writer.parquet(path)
         parts = [load]
         for _ in partitions:
             folders = [(part, self._list(f"{self._folder(table)}/{part}")) for part in parts]
             parts = [f"{part}/{name}" for part, names in folders for name in names if "=" in name]
-        return parts, seen.get["rows"], max(last, seen.get["top"] or 0)
+        found = seen.get
+        return parts, found["rows"], max(last, found["top"] or 0), found["refused"]
 
     def _publish(
         self, table: str, before: Snapshot | None, parts, schema: T.StructType, last: int = 0

@@ -559,6 +559,23 @@ def _with_facts(*facts: str) -> str:
     return "WITH " + ", ".join(parts)
 
 
+def _audit_dropped() -> str:
+    """Rows of patients that were missing, but for the two years that were loaded again."""
+    sources = {
+        "fact_encounter": "SELECT PATIENT AS patient_id, Id AS encounter_id, CODE AS code, "
+        "CAST(START AS DATE) AS fact_date FROM s_encounters",
+        "fact_condition": "SELECT PATIENT, ENCOUNTER, CODE, START FROM s_conditions WHERE CODE IS NOT NULL",
+        "fact_medications": "SELECT PATIENT, max(ENCOUNTER), coalesce(CODE, 'UNKNOWN') AS code, START "
+        "FROM s_medications GROUP BY PATIENT, START, CODE",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{fact}' AS fact_table, * FROM ({body})" for fact, body in sources.items())
+    return with_staging("patients", "encounters", "conditions", "medications") + f"""
+    SELECT *, {key('fact_date')} AS date_key FROM ({rows})
+    WHERE fact_date BETWEEN DATE '1900-01-01' AND DATE '2099-12-31'
+      AND (patient_id IS NULL OR patient_id NOT IN (SELECT Id FROM s_patients WHERE Id IS NOT NULL)
+           OR ({_number('patient_id')} % 9 = 0 AND NOT fact_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'))"""
+
+
 # -- loads --------------------------------------------------------------------
 
 _DIM_COUNTS = """
@@ -959,6 +976,7 @@ ORACLE = {
     ),
     "audit_references": _audit_references(),
     "audit_keys": _audit_keys(),
+    "audit_dropped": _audit_dropped(),
     "batch_guard": "SELECT 'B' || c_custkey AS batch_id, EXISTS (SELECT 1 FROM orders "
     "WHERE o_custkey = c_custkey AND o_orderpriority IN ('1-URGENT', '2-HIGH') "
     "AND o_orderstatus = 'F') AS skip FROM customer",

@@ -18,7 +18,7 @@ from carestar.operators.clean import clean
 from carestar.operators.lookup import as_of_lookup
 from carestar.operators.surrogate import dense_ids
 from carestar.operators.upsert import insert_missing, upsert
-from carestar.plans import control, daily, dims, facts, load, staging
+from carestar.plans import audit, control, daily, dims, facts, load, staging
 from carestar.schemas import ENTITIES, FOREIGN_KEYS, UNIQUE, WAREHOUSE
 from carestar.schemas import WHOLE as WHOLE_NUMBER
 from carestar.session import scratch_dir
@@ -736,6 +736,27 @@ def audit_keys(spark, folder):
     return quality.unique_violations(tables, UNIQUE, ignore_null=["fact_medication_daily"])
 
 
+def audit_dropped(spark, folder):
+    """What the loads of a warehouse without every ninth patient could make no fact of: the
+    tables they set aside, after the patients came and two of the years were loaded again."""
+    store = _staged_store(spark, folder, "dropped")
+    staged = ENTITIES["patients"].staging_table
+    patients = stored(store.read(staged), "patients")
+    number = F.regexp_extract("Id", "[0-9]+", 0).cast("bigint")
+    store.replace(staged, patients.where(number % 9 != 0))
+    warehouse = load.Options()
+    load.prepare(store, NOW)
+    for dim in dims.CODE_DIMS:
+        load.load_codes(store, dim, NOW)
+    for dim in dims.HISTORY_DIMS:
+        load.load_history(store, dim, AS_OF, NOW, warehouse.valid_from)
+    load.load_facts(store, *WHOLE, NOW, warehouse)
+    store.replace(staged, patients)
+    load.load_history(store, dims.PATIENT, AS_OF, LATER, warehouse.valid_from)
+    load.load_facts(store, dt.date(1996, 1, 1), dt.date(1997, 12, 31), LATER, warehouse)
+    return audit.dropped(store)
+
+
 def batch_guard(spark, folder):
     """Which customer batches a log of order runs marks as done."""
     runs = table(spark, folder, "orders").select(
@@ -896,6 +917,7 @@ QUERIES = {
     "load_log": load_log,
     "audit_references": audit_references,
     "audit_keys": audit_keys,
+    "audit_dropped": audit_dropped,
     "batch_guard": batch_guard,
     "dq_width": dq_width,
     "dq_unique": dq_unique,

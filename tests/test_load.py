@@ -125,6 +125,30 @@ def test_contracts_hold_after_a_load(staged, zone):
     assert [r.encounter_id for r in audit.dropped_encounters(staged).collect()] == ["lost"]
 
 
+def test_rows_without_a_patient_are_counted_and_set_aside(staged, spark, zone):
+    stray = rows(
+        spark, "conditions",
+        {"START": "2020-01-07", "PATIENT": "nobody", "ENCOUNTER": "lost", "CODE": "c"},
+        {"START": "2020-03-07", "PATIENT": "nobody", "ENCOUNTER": "lost", "CODE": "c"},
+    )
+    land(zone, "b2", LATER, {"conditions": stray})
+    staging.transform(zone, staged, ENTITIES["conditions"], now=LATER, batch_ids=["b2"])
+    counts = run(staged, "one")
+    assert counts["fact_encounter"] == counts["fact_condition"] == 4
+    assert (counts["fact_encounter_dropped"], counts["fact_condition_dropped"]) == (1, 2)
+    assert "fact_medications_dropped" not in counts and not staged.exists("fact_medications_dropped")
+    lost = [("fact_condition", "2020-01-07"), ("fact_condition", "2020-03-07"), ("fact_encounter", "2020-01-05")]
+    assert sorted((r.fact_table, str(r.fact_date)) for r in audit.dropped(staged).collect()) == lost
+    log = staged.read(control.RUN_LOG).where(F.col("proc_name") == load.DROPPED).orderBy("params")
+    assert [r.rows_affected for r in log.collect()] == [2, 1]
+    # The patient comes, and January is loaded again: only March is still without.
+    land(zone, "b3", LATER, {"patients": rows(spark, "patients", {"Id": "nobody"})})
+    staging.transform(zone, staged, ENTITIES["patients"], now=LATER, batch_ids=["b3"])
+    counts = run(staged, "two", FIRST, dt.date(2020, 1, 31), now=LATER)
+    assert not any(name.endswith("_dropped") for name in counts)
+    assert [(r.fact_table, str(r.fact_date)) for r in audit.dropped(staged).collect()] == lost[1:2]
+
+
 def test_ranges_loaded_apart_equal_one_load(staged, spark, zone, folder):
     from carestar.sources.store import TableStore
 
