@@ -8,7 +8,7 @@ import bz2
 import hashlib
 import re
 import zlib
-from collections import deque
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +19,10 @@ from carestar.llm.common import column_lists, per_batch
 
 KINDS = ("assign", "access", "hex")
 MASK = "[SECRET]"
-# A compressed layer that would open to more than this is left closed and counted.
-MAX_LAYER_BYTES = 64 << 20
+# What compressed pieces open to is looked through in parts of about this size.
+PART_BYTES = 4 << 20
+# A stretch of this size without a place to part it is parted anyway, and counted.
+MAX_STRETCH_BYTES = 64 << 20
 
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -38,6 +40,10 @@ _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]{2,76}={0,2}")
 _PART = re.compile("[/_+-]")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]")
+# A byte that no match, run or escape holds, or a line end that no wrapped base64 run goes on after.
+_APART = re.compile(
+    rb"""[^A-Za-z0-9+/_.=:"'%\\&#;{}\x20\r\n-]|[^A-Za-z0-9+/\r][A-Za-z0-9+/]{0,59}\r?\n"""
+)
 _TO_STANDARD = bytes.maketrans(b"-_", b"+/")
 
 
@@ -56,17 +62,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class _Layer:
-    """A decoded text; each character knows the characters of the whole text it came from."""
+    """A decoded text; each character knows the characters of the whole text it came from. Those
+    of a compressed text all come from the same ones, two numbers in place of arrays."""
 
-    def __init__(self, text: str, low: np.ndarray | None, high: np.ndarray | None):
+    def __init__(self, text: str, low: np.ndarray | int | None, high: np.ndarray | int | None):
         self.text, self.low, self.high = text, low, high
 
     def source(self, start: int, end: int) -> tuple[int, int]:
         if self.low is None:
             return start, end
+        if isinstance(self.low, int):
+            return self.low, self.high
         return int(self.low[start]), int(self.high[end - 1])
 
     def child(self, text: str, starts, ends) -> _Layer:
+        """The characters of ``text`` come from those places; numbers are one place for all."""
+        if isinstance(self.low, int):
+            return _Layer(text, self.low, self.high)
+        if isinstance(starts, int):
+            return _Layer(text, *self.source(starts, ends))
         starts, ends = np.asarray(starts), np.asarray(ends)
         if self.low is None:
             return _Layer(text, starts, ends)
@@ -120,6 +134,14 @@ def _width(c: str) -> int:
     return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
 
 
+def _widths(text: str) -> np.ndarray:
+    """``_width`` of each character."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    widths = (codes > 0x7F).astype(np.int64) + (codes > 0x7FF) + (codes > 0xFFFF) + 1
+    widths[(codes >= 0xDC80) & (codes <= 0xDCFF)] = 1
+    return widths
+
+
 def _readable(data: bytes, holding: bool = False) -> str | None:
     """The text of the bytes if any of it holds something to find or to open or, unless that is
     asked for (``holding``), all of it is printable; bytes that are not UTF-8 keep a character each."""
@@ -129,61 +151,103 @@ def _readable(data: bytes, holding: bool = False) -> str | None:
     return text if base_spans(text) or any(p.search(text) for p in (_BASE64, _PERCENT, _ESCAPE)) else None
 
 
-def _inflated(data: bytes, limit: int) -> tuple[list[bytes], int]:
-    """What compressed pieces anywhere in the bytes open to, and how many were too much. Pieces
-    that follow one another are one, as long as that is within the limit."""
-    outs, closed, at, joined = [], 0, 0, -1
-    while m := _MAGIC.search(data, at):
-        start = m.start()
-        at = start + 1
-        broken = False
+def _inflated(data: bytes, limit: int) -> Iterator[tuple[bytes, bool, bool]]:
+    """What compressed pieces anywhere in the bytes open to, a part at a time: (part, whether its
+    piece has come to its end or is still going on well, whether the part had to be parted where
+    a match may lie). Pieces that follow one another are one. Of a piece that is cut short or
+    broken, the last part is what came out until then."""
+    at = 0
+    while piece := _MAGIC.search(data, at):
+        at, held, check, whole = piece.start() + 1, bytearray(), PART_BYTES, False
+        while piece:
+            at, end = max(at, piece.start() + 1), None
+            try:
+                for out, end in _poured(data, piece):
+                    held += out
+                    if len(held) <= min(check, limit):
+                        continue
+                    apart = _last_apart(held)
+                    if apart:
+                        yield bytes(held[:apart]), True, False
+                        del held[:apart]
+                    elif len(held) > limit:
+                        yield bytes(held), True, True
+                        del held[: -min(1 << 20, limit // 4)]
+                    check = len(held) + (PART_BYTES if apart else max(PART_BYTES, len(held)))
+            except (zlib.error, OSError, ValueError, EOFError):
+                end = None
+            whole = end is not None
+            at = end or at
+            piece = _MAGIC.match(data, end) if whole else None
+        if held:
+            yield bytes(held), whole, False
+
+
+def _poured(data: bytes | bytearray, piece: re.Match) -> Iterator[tuple[bytes, int | None]]:
+    """A compressed piece as it opens, a little at a time, so that of a broken one little is lost;
+    with the last of it comes where it ends."""
+    machine = _opener(piece[0])
+    bounded = (1 << 18,) if isinstance(machine, bz2.BZ2Decompressor) else ()
+    for at in range(piece.start(), len(data), 256):
+        given = data[at : at + 256]
+        while True:
+            out = machine.decompress(given, *bounded)
+            if machine.eof:
+                yield out, min(at + 256, len(data)) - len(machine.unused_data)
+                return
+            yield out, None
+            if not bounded or machine.needs_input:
+                break
+            given = b""
+
+
+def _last_apart(held: bytearray) -> int:
+    """The last place before which a part may end: nothing to find, to decode or to open lies
+    across it. 0: there is none."""
+    apart = 0
+    for low in (max(0, len(held) - (1 << 16)), 0):
+        for m in _APART.finditer(held, low):
+            apart = m.end()
+        if apart:
+            break
+    for piece in _MAGIC.finditer(held, 0, apart):
+        end = None
         try:
-            machine = _opener(m[0])
-            out = machine.decompress(memoryview(data)[start:], limit + 1)
-        except (zlib.error, OSError, ValueError):
-            broken = True
-            out = _up_to_error(_opener(m[0]), data, start, limit)
-        if len(out) > limit:
-            closed += 1
-        elif machine.eof and not broken:
-            if start == joined and len(outs[-1]) + len(out) <= limit:
-                outs[-1] += out
-            else:
-                outs.append(out)
-            at = joined = len(data) - len(machine.unused_data)
-        elif out and (_readable(out, holding=True) or _MAGIC.search(out)):
-            outs.append(out)  # cut short or broken: what came out so far is looked through
-    return outs, closed
+            for _, end in _poured(held, piece):
+                pass
+        except (zlib.error, OSError, ValueError, EOFError):
+            continue
+        if end is None or end > apart:
+            return piece.start()
+    return apart
 
 
 def _opener(magic: bytes):
     return bz2.BZ2Decompressor() if magic[:1] == b"B" else zlib.decompressobj(31 if magic[:1] == b"\x1f" else 15)
 
 
-def _up_to_error(machine, data: bytes, start: int, limit: int) -> bytes:
-    """What a broken piece opens to before its fault, to within the last 256 bytes of it."""
-    out = bytearray()
-    try:
-        for at in range(start, len(data), 256):
-            out += machine.decompress(data[at : at + 256])
-            if len(out) > limit:
-                break
-    except (zlib.error, OSError, ValueError, EOFError):
-        pass
-    return bytes(out)
+def _opened(data: bytes, limit: int) -> Iterator[tuple[bytes, bool]]:
+    """(part, whether it was parted where a match may lie) of what the bytes open to, through any
+    compression inside; the same bytes once. One part of each level is held at a time."""
+    seen, levels = {_digest(data)}, [_inflated(data, limit)]
+    while levels:
+        found = next(levels[-1], None)
+        if found is None:
+            levels.pop()
+            continue
+        part, whole, parted = found
+        if (mark := _digest(part)) in seen:
+            continue
+        seen.add(mark)
+        inside = _MAGIC.search(part)
+        if whole or inside or _readable(part, holding=True):
+            yield part, parted
+        if inside:
+            levels.append(_inflated(part, limit))
 
 
-def _all_inflated(data: bytes, limit: int) -> tuple[list[bytes], int]:
-    """What the bytes open to, through any compression inside; the same bytes once."""
-    seen, closed, work = {data: None}, 0, deque([data])
-    while work:
-        outs, much = _inflated(work.popleft(), limit)
-        closed += much
-        for out in outs:
-            if out not in seen:
-                seen[out] = None
-                work.append(out)
-    return list(seen)[1:], closed
+def _digest(data: bytes) -> bytes:
+    return hashlib.blake2b(data, digest_size=16).digest()
 
 
 def _base64_runs(text: str):
@@ -205,11 +269,11 @@ def _base64_runs(text: str):
             yield wrapped
 
 
-def _unpacked(layer: _Layer, limit: int) -> tuple[list[_Layer], int]:
+def _unpacked(layer: _Layer, limit: int, closed: set[tuple[int, int]]) -> Iterator[_Layer]:
     """A layer for each base64 run that opens to text, through any compression inside. What a run
     holds may start after other letters, so it is decoded from each of its first four; of the
-    later three, only what holds something to find or to open is text."""
-    layers, closed = [], 0
+    later three, only what holds something to find or to open is text. Runs that open to a stretch
+    over the limit are added to ``closed``."""
     for m in _base64_runs(layer.text):
         run = m[0]
         at = np.array([i for i, c in enumerate(run) if c not in "\r\n="]) if "\n" in run else None
@@ -222,48 +286,54 @@ def _unpacked(layer: _Layer, limit: int) -> tuple[list[_Layer], int]:
                 data = base64.b64decode(body + b"=" * (-len(body) % 4))
             except binascii.Error:
                 continue
-            opened, much = _all_inflated(data, limit)
-            closed += much
-            for out in opened:  # a character of compressed text comes from the whole run
-                text = _readable(out)
-                if text is not None:
-                    n = len(text)
-                    layers.append(layer.child(text, np.full(n, m.start()), np.full(n, m.end())))
+            for part, parted in _opened(data, limit):
+                if parted:
+                    closed.add(layer.source(m.start(), m.end()))
+                text = _readable(part)
+                if text is not None:  # a character of compressed text comes from the whole run
+                    yield layer.child(text, m.start(), m.end())
             text = _readable(data, phase > 0)
             if text is None:
                 continue
-            sizes = np.array([_width(c) for c in text])
+            sizes = _widths(text)
             last = np.cumsum(sizes)
             starts, ends = (last - sizes) * 4 // 3, -(-last * 4 // 3)
             starts, ends = starts + phase, np.minimum(ends, len(body)) + phase
             if at is not None:
                 starts, ends = at[starts], at[ends - 1] + 1
-            layers.append(layer.child(text, m.start() + starts, m.start() + ends))
-    return layers, closed
+            yield layer.child(text, m.start() + starts, m.start() + ends)
+
 
+def scan(text: str, limit: int = MAX_STRETCH_BYTES):
+    """(base spans, all spans, layers opened, runs not surely looked through) of a whole text."""
+    base, spans, layers, closed = _scan(text, limit)
+    return base, spans, layers, len(closed)
 
-def scan(text: str, limit: int = MAX_LAYER_BYTES):
-    """(base spans, all spans, layers opened, layers left closed) of a whole text.
 
-    The worklist starts with the text. Each layer taken from it is scanned; its percent
+def _scan(text: str, limit: int):
+    """The worklist starts with the text. Each layer taken from it is scanned; its percent
     escapes, character escapes and base64 runs, with compression inside, give new layers
-    until none is new. A layer seen before is not opened again, so cycles end.
-    """
+    until none is new. A layer seen before is not opened again, so cycles end. The newest
+    layer is opened first and its layers come one at a time, so the list holds one layer of
+    each depth and never those beside one another."""
     base = base_spans(text)
-    spans, seen, closed = set(base), {_mark(text)}, 0
-    work = deque([_Layer(text, None, None)])
+    spans, seen, closed = set(base), {_mark(text)}, set()
+
+    def inside(layer: _Layer) -> Iterator[_Layer]:
+        yield from filter(None, (_unquoted(layer), _unescaped(layer)))
+        yield from _unpacked(layer, limit, closed)
+
+    work = [inside(_Layer(text, None, None))]
     while work:
-        layer = work.popleft()
-        if layer.low is not None:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif (mark := _mark(layer.text, layer.source(0, 1))) not in seen:
+            seen.add(mark)
             for start, kind, end in base_spans(layer.text):
                 low, high = layer.source(start, end)
                 spans.add((low, kind, high))
-        packed, much = _unpacked(layer, limit)
-        closed += much
-        for new in (_unquoted(layer), _unescaped(layer), *packed):
-            if new is not None and (mark := _mark(new.text, new.source(0, 1))) not in seen:
-                seen.add(mark)
-                work.append(new)
+            work.append(inside(layer))
     return base, sorted(spans), len(seen) - 1, closed
 
 
@@ -302,8 +372,10 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     from: exactly for percent, character and base64 encodings, the whole run for compressed data.
 
     A null text counts as empty and has no spans. A null id is kept. Repeated rows each give a
-    row. An empty table gives no rows. Other columns are not read. A compressed layer of over
-    64 MiB is left closed, which n_closed tells; texts themselves have no limit.
+    row. An empty table gives no rows. Other columns are not read. What compressed data opens to
+    has no limit: it is looked through in parts, parted where nothing to find can lie. A stretch of
+    over 64 MiB without such a place is parted with its last MiB in both parts; n_closed is the
+    number of runs that hold one.
     """
 
     def start():
@@ -333,13 +405,15 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def redact_column(text: Column) -> Column:
-    """The texts with every secret span masked; null stays null."""
+    """The texts with every secret span masked, and every run that n_closed of ``scan_secrets``
+    counts; null and empty texts stay as they are, texts of any length are read whole."""
 
     @F.arrow_udf("string")
     def redact(texts: pa.Array) -> pa.Array:
         out = []
         for value in texts.to_pylist():
-            spans = scan(value)[1] if value else None
+            _, spans, _, closed = _scan(value or "", MAX_STRETCH_BYTES)
+            spans = sorted([*spans, *((low, 0, high) for low, high in closed)])
             out.append(redacted(value, spans) if spans else value)
         return pa.array(out, pa.string())
 

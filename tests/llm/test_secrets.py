@@ -1,8 +1,10 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import random
 import re
+import tracemalloc
 import urllib.parse
 import zlib
 
@@ -94,11 +96,63 @@ def test_a_layer_met_again_ends_the_work():
     assert layers < 12
 
 
-def test_a_bomb_is_left_closed_and_counted():
+def test_a_stretch_that_cannot_be_parted_is_counted():
     bomb = b64(gzip.compress(b"a" * 3_000_000))
     assert scan(bomb, limit=1 << 20)[3] == 1
 
 
+@pytest.mark.parametrize("pack, times", [(gzip.compress, 90), (bz2.compress, 12)])
+def test_a_layer_of_any_size_is_looked_through_to_its_end(pack, times):
+    lines = b"".join(b"%d, nothing of note is said in this line, nor was it ever\n" % (k % 97) for k in range(20_000))
+    big = lines * times  # over 100 MB, and 14
+    nested = b"\x00\x01" + gzip.compress(b"found: " + SECRET.encode()) + b"\x00"
+    text = "see " + b64(pack(big + SECRET.encode() + b"\n" + lines + nested)) + " end"
+    tracemalloc.start()
+    _, spans, _, closed = scan(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans == [(4, 0, len(text) - 4), (4, 2, len(text) - 4)] and not closed
+    assert peak < 100 << 20
+
+
+def test_pieces_are_held_one_at_a_time():
+    lines = b"".join(b"%d, as said, and as said before\n" % (k % 97) for k in range(4_000))
+    runs = [b64(gzip.compress(b"%d\n" % k + lines * 40 + (SECRET.encode() if k == 15 else b""))) for k in range(16)]
+    tracemalloc.start()
+    spans = scan("\n".join(runs))[1]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(spans) == 2 and peak < 100 << 20
+
+
+@pytest.mark.parametrize("size", [64, 1 << 10, 1 << 14])
+def test_parts_lose_nothing_across_their_ends(monkeypatch, size):
+    rng = random.Random(3)
+    wraps = [
+        str, b64, lambda s: b64(b64(s)), escaped, lambda s: urllib.parse.quote(s, safe=""),
+        lambda s: base64.encodebytes((s + " lorem ipsum" * 30).encode()).decode(),
+        lambda s: b64(gzip.compress(s.encode())),
+    ]
+    for _ in range(60):
+        parts = [rng.choice([b"word, ", b"x^2 ", b"\n", b"(a)", b"abcdef/ghi", b"\xe9\x00", bytes(rng.randbytes(40))]) for _ in range(300)]
+        place = rng.randrange(300)
+        inner = rng.choice([w(SECRET).encode() for w in wraps] + [gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode())])
+        parts[place : place + 1] = [b", ", inner, b"\n"]
+        text = b64(gzip.compress(b"".join(parts)))
+        monkeypatch.setattr("carestar.llm.secrets.PART_BYTES", 1 << 30)
+        want = scan(text)[1]
+        monkeypatch.setattr("carestar.llm.secrets.PART_BYTES", size)
+        assert (0, 0, len(text.rstrip("="))) in want or (0, 0, len(text)) in want
+        assert scan(text)[1] == want and scan(text)[3] == 0
+
+
+def test_very_deep_nesting_ends():
+    data = SECRET.encode()
+    for _ in range(1_200):
+        data = zlib.compress(data, 0)
+    assert any(k == 0 for _, k, _ in scan(b64(data))[1])
+
+
 def test_overlapping_spans_are_masked_once():
     assert redacted("0123456789", [(1, 0, 4), (2, 2, 6), (8, 1, 9)]) == "0[SECRET]67[SECRET]9"
 
