@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -92,10 +93,18 @@ def per_batch(
         # Workers are used again, by other stages too: what this task held goes back first.
         work = made = whole = part = None
         pa.default_memory_pool().release_unused()
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def _give_back() -> None:
+    """Has the C library return its free memory to the system, where it can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _ARROW = {
     "long": pa.int64(),
     "int": pa.int32(),
@@ -112,6 +121,16 @@ _ARROW = {
 }
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many more underscores as it takes to be none of the columns of ``df``."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        free.append(name)
+    return free
+
+
 def salted_rank(df: DataFrame, group: str, order: list[str], name: str, rows_per_cell: int) -> DataFrame:
     """Adds ``name``: numbers from 0 without gaps within each ``group``, of which there are few.
 
@@ -153,13 +172,15 @@ def flag_likely(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Colum
     """
     places = wanted.select(F.pmod(F.xxhash64(wanted_key), F.lit(bits)).alias("h"))
     bit = "shiftleft(1L, cast(h % 64 as int))"
-    words = places.groupBy(F.expr("h div 64").alias("__at")).agg(F.expr(f"bit_or({bit})").alias("__word"))
-    marked = df.withColumn("__h", F.pmod(F.xxhash64(key), F.lit(bits)))
-    found = marked.join(F.broadcast(words), F.expr("__h div 64") == F.col("__at"), "left")
-    hit = F.expr("coalesce(shiftright(__word, cast(__h % 64 as int)) & 1L, 0L) = 1L")
-    return found.withColumn(flag, hit).drop("__h", "__at", "__word")
+    h, at, word = free_names(df, "__h", "__at", "__word")
+    words = places.groupBy(F.expr("h div 64").alias(at)).agg(F.expr(f"bit_or({bit})").alias(word))
+    marked = df.withColumn(h, F.pmod(F.xxhash64(key), F.lit(bits)))
+    found = marked.join(F.broadcast(words), F.expr(f"{h} div 64") == F.col(at), "left")
+    hit = F.expr(f"coalesce(shiftright({word}, cast({h} % 64 as int)) & 1L, 0L) = 1L")
+    return found.withColumn(flag, hit).drop(h, at, word)
 
 
 def likely_in(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
     """``df`` without most rows whose key is not wanted, and with all whose key is."""
-    return flag_likely(df, key, wanted, wanted_key, "__likely").where("__likely").drop("__likely")
+    (flag,) = free_names(df, "__likely")
+    return flag_likely(df, key, wanted, wanted_key, flag).where(F.col(flag)).drop(flag)

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, flag_likely, likely_in, per_batch, stored
+from carestar.llm.common import column_lists, flag_likely, free_names, likely_in, per_batch, stored
 from carestar.llm.components import components
 from carestar.llm.dartminhash import DartSignature, WordHashes, shingles
 
@@ -266,33 +266,34 @@ def one_of_each(
     """The rows of ``docs`` without near duplicates: of each class one row of the smallest id.
 
     All columns stay as they are. A class without any id keeps one row. Of rows of a class that
-    share the kept id, those of one text stay, and of rows that repeat it one.
+    share the kept id, those of one text stay, and of rows that repeat it one. Columns may have
+    any names, dots and those of this library's own columns among them.
     """
     classed = stored(_classed(docs, similarity, 32, 5, id_column, text_column), "classed")
     same_text = classed.groupBy("component", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "rows")).alias("first")
-    firsts = same_text.groupBy(F.col("component").alias("__of")).agg(first)
+    firsts = same_text.groupBy(F.col("component").alias("of")).agg(first)
+    of_id, of_mark, stays, likely = free_names(docs, "__id", "__mark", "__stays", "__likely")
     firsts = firsts.select(
-        "__of", F.col("first.id").alias("__id"), F.col("first.mark").alias("__mark"), F.col("first.rows").alias("__rows")
+        "of", F.col("first.id").alias(of_id), F.col("first.mark").alias(of_mark), F.col("first.rows").alias("first_rows")
     )
     # The key is the row, not its class, so that a large class is not one task's work.
     is_first = (
-        (F.col("component") == F.col("__of"))
-        & F.col("id").eqNullSafe(F.col("__id"))
-        & (F.col("mark") == F.col("__mark"))
+        (F.col("component") == F.col("of")) & F.col("id").eqNullSafe(F.col(of_id)) & (F.col("mark") == F.col(of_mark))
     )
     gone = same_text.join(firsts, is_first, "left_anti")
-    gone = gone.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), F.lit(False).alias("__stays"))
-    repeats = firsts.where("__rows > 1").select("__id", "__mark", F.lit(True).alias("__stays"))
+    gone = gone.select(F.col("id").alias(of_id), F.col("mark").alias(of_mark), F.lit(False).alias(stays))
+    repeats = firsts.where("first_rows > 1").select(of_id, of_mark, F.lit(True).alias(stays))
     # Rows that go, and rows of which one stays: few. All others stay without a look-up.
     doubtful = stored(gone.unionAll(repeats), "doubtful")
-    key, wanted = F.struct(F.col(id_column).cast("long"), F.xxhash64(text_column)), F.struct("__id", "__mark")
-    flagged = flag_likely(docs, key, doubtful, wanted, "__likely")
-    sure = flagged.where("not __likely").select(*docs.columns)
-    maybe = flagged.where("__likely").select(*docs.columns)
-    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__mark"))
+    of, text = F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`")
+    flagged = flag_likely(docs, F.struct(of, F.xxhash64(text)), doubtful, F.struct(of_id, of_mark), likely)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    sure = flagged.where(~F.col(likely)).select(*columns)
+    maybe = flagged.where(F.col(likely)).select(*columns)
+    same = of.eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_mark))
     kept = sure.unionAll(maybe.join(doubtful, same, "left_anti"))
-    repeated = doubtful.where("__stays")
+    repeated = doubtful.where(F.col(stays))
     if repeated.isEmpty():
         return kept
     often = maybe.join(repeated, same, "left_semi")

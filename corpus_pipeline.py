@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carestar.llm.common import stored, table
+from carestar.llm.common import free_names, stored, table
 from carestar.llm.decontam import without_leaks
 from carestar.llm.neardup import one_of_each
 from carestar.llm.packing import pack
@@ -15,36 +15,41 @@ from carestar.llm.secrets import redact_column
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, learnt from the labels of documents in hand."""
+    """Documents that the quality rules keep, learnt from the labels of documents in hand. A null
+    text is an empty one, and too short to stay; ties, repeated rows and very long texts are
+    judged each by its own text. An empty table stays empty."""
     rules = fit_quality(docs, table(spark, sf_dir, "labels"))
     return docs.where(kept_column(F.col("text"), rules))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates, the document with the smallest id."""
+    """Of each class of near duplicates, the document with the smallest id. Texts without words
+    are one class; a class without any id keeps one row, and so does a row that is repeated. An
+    empty table stays empty."""
     return one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item; those without a text leak none."""
+    """Documents that leak no benchmark item; those without a text leak none. Rows that repeat an
+    id with another text are judged each by its own; an empty table stays empty."""
     return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; secrets in their texts are masked and n_chars follows."""
-    masked = docs.withColumn("__masked", redact_column(F.col("text")))
-    unchanged = F.col("__masked").eqNullSafe(F.col("text"))
-    length = F.when(unchanged, F.col("n_chars")).otherwise(F.length("__masked"))
-    return masked.select(
-        *(
-            {"text": F.col("__masked").alias("text"), "n_chars": length.alias("n_chars")}.get(c, F.col(f"`{c}`"))
-            for c in docs.columns
-        )
-    )
+    """All documents; secrets in their texts are masked and n_chars, where there is one, follows.
+    Null and empty texts, repeated rows and empty tables stay as they are."""
+    (masked,) = free_names(docs, "__masked")
+    rows = docs.withColumn(masked, redact_column(F.col("text")))
+    length = F.when(F.col(masked).eqNullSafe(F.col("text")), F.col("n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col(masked).alias("text")}
+    if length is not None:
+        new["n_chars"] = length.otherwise(F.length(masked)).alias("n_chars")
+    return rows.select(*(new.get(c, F.col(f"`{c}`")) for c in docs.columns))
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' ids in windows of 4096."""
+    """Pieces of the documents' ids in windows of 4096. A null or empty text is its end id alone;
+    repeated rows are packed each; an empty table gives no windows."""
     return pack(docs, VOCABULARY)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from carestar.llm.common import stored
 from carestar.llm.decontam import GAP, MATCH, MISMATCH, needed_score
 from carestar.llm.secrets import scan
-from tests.llm.cases import edge_rows, frame
+from tests.llm.cases import edge_rows, frame, prose
 from tests.llm.test_decontam import brute_alignment
 from tests.llm.test_neardup import brute_classes
 from tests.llm.test_packing import check
@@ -80,9 +80,26 @@ def test_odd_rows_pass_all_stages(spark):
         assert stage(spark, none, SMALL).collect() == []
 
 
+CLASHES = ["__h", "__at", "__word", "__likely", "__id", "__mark", "__stays", "__masked", "___id", "a.b", "of", "first", "rows"]
+
+
+def test_columns_of_any_name_come_through(spark):
+    rows = [(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60)), (3, prose(2, 60)), (4, None), (5, "token=" + "k1" * 9)]
+    docs = frame(spark, rows)
+    docs = docs.select("doc_id", "text", *(F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in CLASHES))
+    stages = dict(corpus_pipeline.STAGES)
+    for name, kept in (("near_duplicates", [1, 3, 4, 5]), ("decontamination", [1, 3, 4, 5]), ("secret_scans", [1, 3, 4, 5])):
+        docs = stored(stages[name](spark, docs, SMALL), name)
+        assert docs.columns == ["doc_id", "text", *CLASHES]
+        got = sorted(docs.collect())
+        assert [r.doc_id for r in got] == kept
+        assert all(r[c] == f"{c} of {r.doc_id}" for r in got for c in CLASHES)
+    assert got[-1].text == "[SECRET]"
+
+
 def test_all_are_registered():
     names = list(driver.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert len(corpus_pipeline.STAGES) == 5
