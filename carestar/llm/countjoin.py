@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, likely_in, per_batch, stored
+from carestar.llm.common import column_lists, flag_likely, likely_in, per_batch, stored
 from carestar.llm.components import components
 from carestar.llm.dartminhash import mixed
 
@@ -377,22 +377,26 @@ def count_join(
     """
     text = F.col(text_column)
     taken = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"))
-    signs = stored(signed(taken, length, percent), "signs")
+    signs = signed(taken, length, percent).withColumn("row", F.monotonically_increasing_id())
+    signs = stored(signs, "signs")
     full = signs.where("n > 0")
-    narrow = full.groupBy("node", "id").agg(F.count(F.lit(1)).alias("rows")).groupBy("node")
-    narrow = narrow.agg(F.min("id").alias("rep"), F.min_by("rows", "id").alias("rep_rows"))
-    content = F.struct("n", "keys", "first_keys", "classes", "counts")
-    wide = full.groupBy("node").agg(F.any_value(content).alias("content"))
-    nodes = narrow.join(wide, "node").select("node", "rep", "rep_rows", "content.*")
-    nodes = stored(nodes, "nodes")
+    narrow = full.groupBy("node", "id").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("first"))
+    narrow = narrow.groupBy("node").agg(
+        F.min("id").alias("rep"),
+        F.min_by("rows", "id").alias("rep_rows"),
+        F.sum("rows").alias("copies"),
+        F.min("first").alias("first"),
+    )
+    nodes = stored(narrow, "nodes")
+    content = _first_rows(full, nodes)
     number = F.when(F.col("pos") < F.col("first_keys"), 0).otherwise(1)
-    members = nodes.select("node", "first_keys", "classes", F.posexplode("keys").alias("pos", "key"))
+    members = content.select("node", "first_keys", "classes", F.posexplode("keys").alias("pos", "key"))
     members = members.select("node", "key", F.get("classes", number).alias("class"))
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n_seats")).where("n_seats > 1")
     shared = stored(shared, "shared")
     likely = likely_in(members, F.col("key"), shared, F.col("key"))
     seats = stored(likely.join(shared, "key"), "seats")
-    labels = None if seats.isEmpty() else _labels(taken, nodes, seats, length, percent)
+    labels = None if seats.isEmpty() else _labels(taken, nodes, content, seats, length, percent)
     placed = nodes.select("node", "rep")
     if labels is None:
         placed = placed.withColumn("component", F.col("node"))
@@ -407,10 +411,24 @@ def count_join(
     return joined.unionByName(alone).select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _labels(taken, nodes, seats, length, percent) -> DataFrame | None:
+def _first_rows(full: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of the rows of each node one. The other rows, of copies, are left out by their numbers, so
+    that the wide rows need not come together by node."""
+    many = nodes.where("copies > 1").select("node", "first")
+    copies = full.select("node", "row").join(many, "node").where("row <> first").select("row")
+    copies = stored(copies, "copies")
+    if copies.isEmpty():
+        return full
+    flagged = flag_likely(full, F.col("row"), copies, F.col("row"), "likely")
+    sure, maybe = flagged.where("not likely"), flagged.where("likely")
+    return sure.unionByName(maybe.join(copies, "row", "left_anti")).drop("likely")
+
+
+def _labels(taken, nodes, content, seats, length, percent) -> DataFrame | None:
     """(node, component) for the nodes that have links."""
     at = F.explode(F.arrays_zip("classes", "counts")).alias("at")
     wanted = nodes.join(seats.select("node").distinct(), "node")
+    wanted = content.select("node", "n", "classes", "counts").join(wanted, "node")
     wanted = stored(wanted.select("node", "rep", "rep_rows", "n", "classes", "counts"), "wanted")
     points = wanted.select("node", "n", at)
     points = points.select("node", F.col("at.classes").alias("class"), "n", F.col("at.counts").alias("counts"))

@@ -161,3 +161,15 @@ def test_keys_tell_equal_bands():
     gone = int(values[-1] % np.uint64(4 * bands))
     assert (keys != others).nonzero()[0].tolist() == [gone // 4]
     assert (counts != fewer).nonzero()[0].tolist() == [gone]
+
+
+def test_wide_rows_do_not_come_together_by_node(spark, monkeypatch):
+    """Copies are left out by their numbers: what is written by node is narrow."""
+    written, store = {}, countjoin.stored
+    monkeypatch.setattr(countjoin, "stored", lambda df, name: written.setdefault(name, df.columns) and store(df, name))
+    rng = random.Random(4)
+    base = [prose(k, 60) for k in range(30)]
+    rows = [(i, base[i % 30] if i % 3 else edited(base[i % 30], rng, 0.01)) for i in range(300)]
+    rows += [(None, base[0]), (None, base[1]), (7, base[2]), (7, base[3]), (7, base[3])]
+    assert answered(frame(spark, rows)) == brute(rows)[0]
+    assert not {"keys", "counts", "content"} & set(written["nodes"]) and "keys" in written["signs"]
