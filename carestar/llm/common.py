@@ -75,7 +75,7 @@ def per_batch(
     """Maps record batches of at most ``rows`` rows and ``size`` bytes of text, or of one longer
     row; ``start`` makes the function once a task.
 
-    The function returns a column of values (list or array) for each field of ``schema``.
+    The function returns a column of values (list or array of any kind) for each field of ``schema``.
     """
     names = [part.split()[0] for part in schema.split(",")]
     kinds = [_ARROW[part.split()[1]] for part in schema.split(",")]
@@ -87,17 +87,37 @@ def per_batch(
             work = work or start()
             for part in slices(whole, rows, size):
                 made = work(part)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[n], k) for n, k in zip(names, kinds, strict=True)], schema=out
-                )
+                columns = [
+                    made[n].cast(k) if isinstance(made[n], pa.Array) else pa.array(made[n], k)
+                    for n, k in zip(names, kinds, strict=True)
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=out)
         # Workers are used again, by other stages too: what this task held goes back first.
-        work = made = whole = part = None
+        work = made = columns = whole = part = None
         pa.default_memory_pool().release_unused()
         _give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def per_text(text: Column, work: Callable[[list], list], kind: str, rows: int = 2_000, size: int = 4 << 20) -> Column:
+    """A column of ``kind`` that ``work`` makes of lists of at most ``rows`` texts and ``size``
+    bytes, or of one longer text; a null text is None."""
+    out = _ARROW[kind]
+
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for whole in batches:
+            parts = slices(pa.RecordBatch.from_arrays([whole], names=["text"]), rows, size)
+            yield pa.concat_arrays([pa.array([], out), *(pa.array(work(p.column(0).to_pylist()), out) for p in parts)])
+        # As in ``per_batch``: the worker is used again.
+        whole = parts = None
+        pa.default_memory_pool().release_unused()
+        _give_back()
+
+    return run(text)
+
+
 def _give_back() -> None:
     """Has the C library return its free memory to the system, where it can."""
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, per_batch
+from carestar.llm.common import column_lists, per_batch, per_text
 from carestar.llm.trees import Trees, fit_trees
 
 WINDOW = 8
@@ -197,9 +196,4 @@ def judge_quality(
 
 def kept_column(text: Column, rules: QualityRules) -> Column:
     """Whether the rules keep a text."""
-
-    @F.arrow_udf("boolean")
-    def kept(texts: pa.Array) -> pa.Array:
-        return pa.array(rules.judge(_table(texts.to_pylist()))[2], pa.bool_())
-
-    return kept(text)
+    return per_text(text, lambda texts: rules.judge(_table(texts))[2], "boolean")

@@ -11,11 +11,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, per_batch
+from carestar.llm.common import column_lists, per_batch, per_text
 
 KINDS = ("assign", "access", "hex")
 MASK = "[SECRET]"
@@ -408,13 +407,12 @@ def redact_column(text: Column) -> Column:
     """The texts with every secret span masked, and every run that n_closed of ``scan_secrets``
     counts; null and empty texts stay as they are, texts of any length are read whole."""
 
-    @F.arrow_udf("string")
-    def redact(texts: pa.Array) -> pa.Array:
+    def redact(texts: list) -> list:
         out = []
-        for value in texts.to_pylist():
+        for value in texts:
             _, spans, _, closed = _scan(value or "", MAX_STRETCH_BYTES)
             spans = sorted([*spans, *((low, 0, high) for low, high in closed)])
             out.append(redacted(value, spans) if spans else value)
-        return pa.array(out, pa.string())
+        return out
 
-    return redact(text)
+    return per_text(text, redact, "string")

@@ -1,6 +1,8 @@
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from carestar.llm.common import Remembered, slices
+import corpus_pipeline
+from carestar.llm.common import Remembered, per_text, slices
 
 
 def test_slices_hold_few_rows_and_bytes_and_every_row():
@@ -28,3 +30,34 @@ def test_remembered_values_are_bounded_and_right():
     # Those asked for again lately were not made again.
     assert made.count(29) == 1 or made.index(29) > 0
     assert made[:30] == list(range(30)) and made[30:38] != list(range(22, 30))
+
+
+def test_a_column_is_made_of_few_texts_at_a_time(spark):
+    """Texts of one Arrow batch come in lists of bounded size, in order, nulls as None."""
+    rows = [(i, None if i % 50 == 0 else "a" * (i % 90)) for i in range(5_000)] + [(5_000, "b" * 70_000), (5_001, "")]
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+
+    def work(texts):
+        held = sum(len(t or "") for t in texts)
+        assert len(texts) <= 300 and (held <= 9_000 or len(texts) == 1)
+        return [None if t is None else f"{len(texts) <= 300}{len(t)}" for t in texts]
+
+    made = docs.select("id", per_text(F.col("text"), work, "string", rows=300, size=9_000).alias("n"))
+    want = [(i, None if t is None else f"True{len(t)}") for i, t in rows]
+    assert sorted(map(tuple, made.collect())) == want
+    assert docs.where("false").select(per_text(F.col("text"), work, "string")).collect() == []
+
+
+def test_stages_hand_over_small_batches_unless_the_session_says_otherwise(spark):
+    size = corpus_pipeline.BATCH_BYTES
+    held = spark.conf.getAll.get(size)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(size)
+            corpus_pipeline.in_small_batches(lambda *_: None)(spark, None, "")
+            assert spark.conf.get(size) == str(4 << 20) and stage.__wrapped__
+        spark.conf.set(size, "7777777")
+        corpus_pipeline.in_small_batches(lambda *_: None)(spark, None, "")
+        assert spark.conf.get(size) == "7777777"
+    finally:
+        spark.conf.unset(size) if held is None else spark.conf.set(size, held)
