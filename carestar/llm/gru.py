@@ -93,129 +93,165 @@ def inputs_of(targets: np.ndarray, starts: np.ndarray, lexicon: Lexicon) -> np.n
     return np.where(starts | (before < 0), lexicon.start, before)
 
 
-def _gate(x):
-    return 1 / (1 + np.exp(-x))
+def _gate(x: np.ndarray) -> np.ndarray:
+    """The logistic function, in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class Gru:
+    # Below this bound no logit's exponential leaves the range of a 32-bit float.
+    MILD = 60.0
+
     def __init__(self, lexicon: Lexicon, weights: dict[str, np.ndarray]):
         self.lexicon, self.w = lexicon, weights
         self.hidden = weights["u"].shape[0]
         self.inputs_met = np.zeros(0, int)  # the rows of ``table`` whose gradients are not zero
         self.d_table = None
+        self.room = np.empty(0, weights["u"].dtype)
+        # Sorting numbers of 16 bits takes one pass over them.
+        self.narrow = np.uint16 if lexicon.start < 1 << 16 else np.int64
+        self.class_of = lexicon.class_of.astype(np.int32)
+        self.see_weights()
+
+    def see_weights(self) -> None:
+        """Notes whether any state can give a large logit; states are within -1 and 1."""
+        w = self.w
+        most = [np.abs(w["wc"]).sum(axis=0).max(initial=0), np.abs(w["wo"]).sum(axis=1).max(initial=0)]
+        most = max(most) + max(np.abs(w[k]).max(initial=0) for k in ("bc", "bo"))
+        self.mild = bool(most < self.MILD)
 
     def run(self, inputs, starts, state, keep=False):
-        """States after each step of a window, and what the way back needs."""
-        h, size = self.hidden, self.hidden
-        u, table = self.w["u"], self.w["table"]
-        states = np.empty((*inputs.shape, size), np.float32)
-        saved = []
-        fresh = ~starts
-        for t, ids in enumerate(inputs):
-            before = state * fresh[t][:, None]
-            x, q = table[ids], before @ u
-            gates = _gate(x[:, : 2 * h] + q[:, : 2 * h])
-            r, z = gates[:, :h], gates[:, h:]
-            qn = q[:, 2 * h :]
-            n = np.tanh(x[:, 2 * h :] + r * qn)
-            state = n + z * (before - n)
-            states[t] = state
+        """States (steps x lanes x hidden) after each step of a window, the last of them, and
+        what the way back needs. Within, lanes are the last axis, so that every step is work on
+        whole rows."""
+        h, ut = self.hidden, np.ascontiguousarray(self.w["u"].T)
+        x = np.ascontiguousarray(self.w["table"][inputs].transpose(0, 2, 1))
+        steps, lanes = inputs.shape
+        states = np.empty((steps, h, lanes), x.dtype)
+        ns, q = np.empty_like(states), np.empty((3 * h, lanes), x.dtype)
+        befores, qns = (np.empty_like(states) if keep else None for _ in range(2))
+        begins, state = starts.any(axis=1), np.ascontiguousarray(state.T)
+        for t in range(steps):
+            before = state * ~starts[t] if begins[t] else state
+            np.matmul(ut, before, out=q)
+            gates, n, state = x[t, : 2 * h], ns[t], states[t]
+            gates += q[: 2 * h]
+            _gate(gates)
+            np.multiply(gates[:h], q[2 * h :], out=n)
+            n += x[t, 2 * h :]
+            np.tanh(n, out=n)
+            np.subtract(before, n, out=state)
+            state *= gates[h:]
+            state += n
             if keep:
-                saved.append((before, r, z, n, qn))
-        return states, state, saved
+                befores[t], qns[t] = before, q[2 * h :]
+        saved = (befores, x[:, :h], x[:, h : 2 * h], ns, qns) if keep else None
+        return np.ascontiguousarray(states.transpose(0, 2, 1)), states[-1].T, saved
+
+    def _in_order(self, targets):
+        """Places of the targets by their token, and so by class, the tokens and their classes."""
+        ys = targets.ravel()
+        at = np.flatnonzero(ys >= 0)
+        ys = ys[at]
+        order = np.argsort(ys.astype(self.narrow), kind="stable")
+        ys = ys[order]
+        return at[order], ys, self.class_of[ys]
+
+    def _exponentials(self, hs, wo, bo, picked):
+        """The exponentials of each row's logits, less their maximum where that may be large; their
+        sums, the picked logits less the same, and the places of those. They are held in one
+        place, until the next are asked for."""
+        if len(self.room) < len(hs) * len(wo):
+            self.room = np.empty(len(hs) * len(wo), self.room.dtype)
+        logits = np.matmul(hs, wo.T, out=self.room[: len(hs) * len(wo)].reshape(len(hs), len(wo)))
+        logits += bo
+        if not self.mild:
+            logits -= logits.max(axis=1, keepdims=True)
+        rows, width = logits.shape
+        places = np.arange(0, rows * width, width)
+        places += picked
+        own = logits.ravel()[places]
+        np.exp(logits, out=logits)
+        return logits, logits @ np.ones(width, logits.dtype), own, places
+
+    def _softmaxes(self, cls, ys, w):
+        """(rows, weights, biases, what is picked) of the softmax over classes, and of those within
+        the classes that have rows and several tokens; ``w`` are weights or their gradients."""
+        edges = self.lexicon.edges
+        if not len(cls):
+            return
+        yield slice(0, len(cls)), w["wc"].T, w["bc"], cls
+        ends = np.searchsorted(cls, np.arange(len(edges)))
+        for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(edges) > 1)).tolist():
+            rows, low, high = slice(ends[c], ends[c + 1]), edges[c], edges[c + 1]
+            yield rows, w["wo"][low:high], w["bo"][low:high], ys[rows] - low
 
     def log_likelihood(self, states, targets):
         """Natural log probability of each target (0 where there is none)."""
-        lex, w = self.lexicon, self.w
-        hs, ys = states.reshape(-1, self.hidden), targets.ravel()
-        out = np.zeros(len(ys))
-        at = np.flatnonzero(ys >= 0)
-        hs, ys = hs[at], ys[at]
-        order = np.argsort(lex.class_of[ys], kind="stable")
-        at, hs, ys = at[order], hs[order], ys[order]
-        cls = lex.class_of[ys]
-        logits = hs @ w["wc"] + w["bc"]
-        top = logits.max(axis=1)
-        value = logits[np.arange(len(ys)), cls] - top
-        value -= np.log(np.exp(logits - top[:, None]).sum(axis=1))
-        ends = np.searchsorted(cls, np.arange(len(lex.edges)))
-        for c in range(len(lex.edges) - 1):
-            rows = slice(ends[c], ends[c + 1])
-            low, high = lex.edges[c], lex.edges[c + 1]
-            if ends[c] == ends[c + 1] or high - low == 1:
-                continue
-            inner = hs[rows] @ w["wo"][low:high].T + w["bo"][low:high]
-            top = inner.max(axis=1)
-            inner -= top[:, None]
-            value[rows] += inner[np.arange(len(inner)), ys[rows] - low]
-            value[rows] -= np.log(np.exp(inner, out=inner).sum(axis=1))
+        out = np.zeros(targets.size)
+        at, ys, cls = self._in_order(targets)
+        hs, value = states.reshape(-1, self.hidden)[at], np.zeros(len(at))
+        for rows, wo, bo, picked in self._softmaxes(cls, ys, self.w):
+            _, sums, own, _ = self._exponentials(hs[rows], wo, bo, picked)
+            value[rows] += own - np.log(sums)
         out[at] = value
         return out.reshape(targets.shape)
 
     def gradients(self, inputs, starts, targets, state):
         """Mean loss of a window, its gradients by truncated backpropagation, the state after."""
-        lex, w, h = self.lexicon, self.w, self.hidden
+        w, h = self.w, self.hidden
         states, after, saved = self.run(inputs, starts, state, keep=True)
-        grads = {k: np.zeros_like(v) for k, v in w.items() if k != "table"}
+        grads = {k: np.zeros_like(w[k]) for k in ("wc", "bc", "wo", "bo")}
         if self.d_table is None:
             self.d_table = np.zeros_like(w["table"])
         self.d_table[self.inputs_met] = 0
         grads["table"] = self.d_table
-        ys = targets.ravel()
-        at = np.flatnonzero(ys >= 0)
-        at = at[np.argsort(lex.class_of[ys[at]], kind="stable")]
-        scale = np.float32(1 / max(1, len(at)))
-        hs, ys = states.reshape(-1, h)[at], ys[at]
-        cls = lex.class_of[ys]
-        loss = 0.0
-
-        def softmax(logits, picked):
-            nonlocal loss
-            logits -= logits.max(axis=1, keepdims=True)
-            p = np.exp(logits, out=logits)
-            sums = p.sum(axis=1)
-            rows = np.arange(len(picked))
-            loss -= np.log(np.maximum(p[rows, picked] / sums, 1e-30)).sum()
-            p *= (scale / sums)[:, None]
-            p[rows, picked] -= scale
-            return p
-
-        d = softmax(hs @ w["wc"] + w["bc"], cls)
-        grads["wc"], grads["bc"] = hs.T @ d, d.sum(axis=0)
-        back = d @ w["wc"].T
-        ends = np.searchsorted(cls, np.arange(len(lex.edges)))
-        for c in range(len(lex.edges) - 1):
-            rows = slice(ends[c], ends[c + 1])
-            low, high = lex.edges[c], lex.edges[c + 1]
-            if ends[c] == ends[c + 1] or high - low == 1:
-                continue
+        at, ys, cls = self._in_order(targets)
+        scale = states.dtype.type(1 / max(1, len(at)))
+        hs = states.reshape(-1, h)[at]
+        back, loss = np.zeros_like(hs), 0.0
+        into = self._softmaxes(cls, ys, grads)
+        for (rows, wo, bo, picked), (_, d_w, d_b, _) in zip(self._softmaxes(cls, ys, w), into, strict=True):
             inner = hs[rows]
-            d = softmax(inner @ w["wo"][low:high].T + w["bo"][low:high], ys[rows] - low)
-            grads["wo"][low:high], grads["bo"][low:high] = d.T @ inner, d.sum(axis=0)
-            back[rows] += d @ w["wo"][low:high]
-        d_states = np.zeros((states.shape[0] * states.shape[1], h), np.float32)
+            e, sums, own, places = self._exponentials(inner, wo, bo, picked)
+            loss += np.log(sums).sum() - own.sum()
+            # Times its row's share, e is then what the loss gains by each logit.
+            e.ravel()[places] -= sums
+            share = scale / sums
+            d_w[:], d_b[:] = e.T @ (inner * share[:, None]), share @ e
+            part = e @ wo
+            part *= share[:, None]
+            back[rows] += part
+        steps, lanes = inputs.shape
+        d_states = np.zeros((steps * lanes, h), states.dtype)
         d_states[at] = back
-        d_states = d_states.reshape(states.shape)
-        d_inputs = np.empty((*inputs.shape, 3 * h), np.float32)
-        flow = np.zeros_like(after)
-        fresh = ~starts
-        for t in range(len(inputs) - 1, -1, -1):
-            before, r, z, n, qn = saved[t]
-            dh = d_states[t] + flow
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * qn * r * (1 - r)
-            dq = np.concatenate([dr, dz, dn * r], axis=1)
-            grads["u"] += before.T @ dq
-            d_inputs[t, :, :h], d_inputs[t, :, h : 2 * h], d_inputs[t, :, 2 * h :] = dr, dz, dn
-            flow = (dh * z + dq @ w["u"].T) * fresh[t][:, None]
+        d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, h).transpose(0, 2, 1))
+        before, r, z, n, qn = saved
+        of_n, of_z, of_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), qn * r * (1 - r)
+        dq, d_n = np.empty((steps, 3 * h, lanes), states.dtype), np.empty_like(d_states)
+        ends = starts.any(axis=1)
+        flow = np.zeros((h, lanes), states.dtype)
+        for t in range(steps - 1, -1, -1):
+            flow += d_states[t]
+            np.multiply(flow, of_n[t], out=d_n[t])
+            np.multiply(d_n[t], of_r[t], out=dq[t, :h])
+            np.multiply(flow, of_z[t], out=dq[t, h : 2 * h])
+            np.multiply(d_n[t], r[t], out=dq[t, 2 * h :])
+            flow *= z[t]
+            flow += w["u"] @ dq[t]
+            if ends[t]:
+                flow *= ~starts[t]
+        grads["u"] = np.matmul(before, dq.transpose(0, 2, 1)).sum(axis=0)
+        dq[:, 2 * h :] = d_n
         ids = inputs.ravel()
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids.astype(self.narrow), kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         self.inputs_met = ids[order][first]
-        grads["table"][self.inputs_met] = np.add.reduceat(
-            d_inputs.reshape(-1, 3 * h)[order], first, axis=0
-        )
+        d_inputs = np.ascontiguousarray(dq.transpose(0, 2, 1)).reshape(-1, 3 * h)
+        grads["table"][self.inputs_met] = np.add.reduceat(d_inputs[order], first, axis=0)
         return loss * scale, grads, after
 
 
@@ -223,7 +259,7 @@ class Trainer:
     """Adam steps over windows of lanes; the state goes on from window to window. Of the input
     table, a step changes the rows of tokens that it read."""
 
-    def __init__(self, model: Gru, rate: float = 0.01, window: int = 20, lanes: int = 128):
+    def __init__(self, model: Gru, rate: float = 0.02, window: int = 16, lanes: int = 512):
         self.model, self.rate, self.window, self.lanes = model, rate, window, lanes
         self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.w.items()}
         self.updates = 0
@@ -232,19 +268,30 @@ class Trainer:
         self.updates += 1
         met = self.model.inputs_met
         grads = {**grads, "table": grads["table"][met]}
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         shrink = np.float32(min(1.0, 1.0 / max(norm, 1e-12)))
         fix = np.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
         rate = np.float32(self.rate * fix / (1 + self.updates / 400))
         for k, g in grads.items():
             rows = met if k == "table" else slice(None)
             m, v = (x[rows] for x in self.moments[k])
-            g = g * shrink
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            self.model.w[k][rows] -= rate * m / (np.sqrt(v) + 1e-6)
+            # m += 0.1 (g - m), v += 0.01 (g g - v), w -= rate m / (sqrt(v) + 1e-6)
+            g *= shrink * np.float32(0.1)
+            m *= np.float32(0.9)
+            m += g
+            g *= g
+            v *= np.float32(0.99)
+            v += g
+            np.sqrt(v, out=g)
+            g += np.float32(1e-6)
+            np.divide(m, g, out=g)
+            g *= rate
+            self.model.w[k][rows] -= g
             if k == "table":
                 self.moments[k][0][rows], self.moments[k][1][rows] = m, v
+        # A weight moves by little more than the rate, so the bound holds for some steps.
+        if self.updates % 16 == 0:
+            self.model.see_weights()
 
     def learn(self, docs: list[np.ndarray]) -> int:
         """One pass over documents (token numbers); returns the tokens read. A long document
@@ -262,8 +309,9 @@ class Trainer:
         return int(sum(len(d) for d in docs))
 
 
-def score_documents(model: Gru, docs: list[np.ndarray], lanes: int = 512, window: int = 64) -> np.ndarray:
-    """Natural log probability of each whole document; the state is carried across windows."""
+def score_documents(model: Gru, docs: list[np.ndarray], lanes: int = 512, window: int | None = None) -> np.ndarray:
+    """Natural log probability of each whole document; the state is carried across windows, of
+    some 8,192 tokens each unless ``window`` tells their steps."""
     out = np.zeros(len(docs))
     full = [i for i, d in enumerate(docs) if len(d)]
     if not full:
@@ -271,6 +319,7 @@ def score_documents(model: Gru, docs: list[np.ndarray], lanes: int = 512, window
     targets, starts, members = lanes_of([docs[i] for i in full], lanes)
     inputs = inputs_of(targets, starts, model.lexicon)
     state = np.zeros((targets.shape[1], model.hidden), np.float32)
+    window = window or -(-8192 // targets.shape[1])
     values = np.empty(targets.shape)
     for at in range(0, len(targets), window):
         part = slice(at, at + window)

@@ -5,21 +5,22 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, per_batch, stored
+from carestar.llm.common import column_lists, per_batch, slices, stored
 from carestar.llm.gru import NAMES, Gru, Trainer, first_weights, make_lexicon, score_documents
 
 CORE = 16_383
 # All other words share so many tokens, by a hash; the last is the model's ``rest``.
 BUCKETS = 1024
 KNOWN = 1 << 18
-CLASSES = 64
+CLASSES = 32
 HIDDEN = 16
 GROUP_TOKENS = 2_000_000
 # Weights that move through the averaging as one row.
@@ -28,9 +29,17 @@ SLICE = 1024
 END = b""
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space with A-Z in lower case, and the end."""
-    return [*(text or "").encode().lower().split(), END]
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Of all texts in a row, the words between ASCII white space with A-Z in lower case, each
+    text's followed by the end; and how many of both each text has. A null text has the end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "").cast(pa.string())))
+    words, of = lists.flatten().cast(pa.binary()), pc.list_parent_indices(lists).to_numpy()
+    # White space at either end is next to an empty piece.
+    full = np.flatnonzero(pc.binary_length(words).to_numpy() > 0)
+    sizes = np.bincount(of[full], minlength=len(texts)) + 1
+    places = np.full(len(full) + len(texts), len(words), np.int64)
+    places[np.arange(len(full)) + of[full]] = full
+    return pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(places)), sizes
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -38,10 +47,8 @@ def count_words(texts: DataFrame) -> DataFrame:
 
     def start():
         def work(batch):
-            seen = Counter()
-            for text in column_lists(batch, "text")[0]:
-                seen.update(words_of(text))
-            return {"word": list(seen), "n": list(seen.values())}
+            seen = pc.value_counts(words_in(batch.column(0))[0])
+            return {"word": seen.field("values"), "n": seen.field("counts")}
 
         return work
 
@@ -81,7 +88,7 @@ class Vocabulary:
     drawn by their add-half counts, of which half a count is left for words never met."""
 
     def __init__(self, words: list[bytes], counts: list[int], tokens: int, distinct: int, masses: list[float]):
-        self.code = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.binary())
         self.core = min(CORE, len(words))
         self.log_count = np.log10(np.array(counts, float) + 0.5)
         self.total = tokens + 0.5 * (distinct + 1)
@@ -105,21 +112,30 @@ class Vocabulary:
     def buckets(words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % BUCKETS
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.code.get, words, repeat(-1)), np.int32, len(words))
+    @cached_property
+    def code(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
+
+    def codes(self, words: pa.Array | list[bytes]) -> np.ndarray:
+        """Places in the table, -1 for rarer words."""
+        found = pc.index_in(pa.array(words, pa.binary()) if isinstance(words, list) else words, self.words)
+        return pc.fill_null(found, -1).to_numpy(zero_copy_only=False)
+
+    def each(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Numbers that the model knows; what each word adds to its score, of words rarer than
+        those in the table without their counts; and those rarer words."""
+        held = codes >= 0
+        rare = words.filter(pa.array(~held)).to_pylist()
+        numbers, within = np.empty(len(codes), np.int32), np.empty(len(codes))
+        numbers[held], within[held] = self.token[codes[held]], self.within[codes[held]]
+        bucket = self.buckets(rare)
+        numbers[~held], within[~held] = self.bucket_token[bucket], -self.log_left[bucket]
+        return numbers, within, rare
 
     def tokens(self, words: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, float]:
-        """Numbers that the model knows, and what the words add to its score; of words rarer
-        than those in the table, without their counts."""
-        unknown = np.flatnonzero(codes < 0)
-        numbers, within = np.empty(len(codes), np.int32), 0.0
-        numbers[codes >= 0] = self.token[codes[codes >= 0]]
-        within = self.within[codes[codes >= 0]].sum()
-        if len(unknown):
-            bucket = self.buckets([words[i] for i in unknown])
-            numbers[unknown] = self.bucket_token[bucket]
-            within -= self.log_left[bucket].sum()
-        return numbers, within
+        """As ``each`` for one text: its numbers, and what all its words add."""
+        numbers, within, _ = self.each(pa.array(words, pa.binary()), codes)
+        return numbers, within.sum()
 
 
 def in_groups(documents, size: int = GROUP_TOKENS):
@@ -147,29 +163,33 @@ def train(texts: DataFrame, words, lexicon, least_updates: int, seed: int = 7) -
         vocabulary = Vocabulary(*words.value)
         model = Gru(vocabulary.lexicon, first_weights(vocabulary.lexicon, HIDDEN, seed))
         trainer, read = Trainer(model), 0
+        part, tokens = [], 0
+
+        def mixed():
+            order = np.random.default_rng(seed).permutation(len(part))
+            return [part[i] for i in order]
+
         for batch in batches:
-            listed = map(words_of, column_lists(batch, "text")[0])
-            documents = [vocabulary.tokens(w, vocabulary.codes(w))[0] for w in listed]
-            mixed = np.random.default_rng(seed).permutation(len(documents))
-            part, tokens = [], 0
-            for i in mixed:
-                part.append(documents[i])
-                tokens += len(documents[i])
+            for piece in slices(batch, 2_000, 4 << 20):
+                listed, sizes = words_in(piece.column(0))
+                numbers = vocabulary.each(listed, vocabulary.codes(listed))[0]
+                part += np.split(numbers, np.cumsum(sizes)[:-1])
+                tokens += len(numbers)
                 if tokens >= GROUP_TOKENS:
-                    read += trainer.learn(part)
+                    read += trainer.learn(mixed())
                     part, tokens = [], 0
-            if part:
-                read += trainer.learn(part)
-                while trainer.updates < least_updates:
-                    trainer.learn(part)
+        if part:
+            read += trainer.learn(mixed())
+            while trainer.updates < least_updates:
+                trainer.learn(mixed())
         if read:
             flat = np.concatenate([model.w[k].ravel() for k in NAMES]).astype(np.float32)
-            slices = [flat[at : at + SLICE].tobytes() for at in range(0, size, SLICE)]
+            cut = [flat[at : at + SLICE].tobytes() for at in range(0, size, SLICE)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(range(len(slices)), pa.int64()),
-                    pa.array([float(read)] * len(slices), pa.float64()),
-                    pa.array(slices, pa.binary()),
+                    pa.array(range(len(cut)), pa.int64()),
+                    pa.array([float(read)] * len(cut), pa.float64()),
+                    pa.array(cut, pa.binary()),
                 ],
                 names=["i", "weight", "w"],
             )
@@ -250,31 +270,25 @@ def score_texts(
         log_total = math.log10(vocabulary.total)
 
         def work(batch):
-            ids, texts = column_lists(batch, "id", "text")
-            documents, rare, base, score, known, sizes = [], [], [], [], [], []
-            for text in texts:
-                listed = words_of(text)
-                codes = vocabulary.codes(listed)
-                unknown = np.flatnonzero(codes < 0)
-                in_table = codes[codes >= 0]
-                numbers, within = vocabulary.tokens(listed, codes)
-                sums = vocabulary.log_count[in_table].sum()
-                documents.append(numbers)
-                rare.append([listed[i] for i in unknown])
-                known.append(len(in_table))
-                sizes.append(len(listed))
-                base.append(sums - len(listed) * log_total)
-                score.append(within)
+            listed, sizes = words_in(batch.column(1))
+            codes = vocabulary.codes(listed)
+            numbers, within, rare = vocabulary.each(listed, codes)
+            ends = np.cumsum(sizes)
+            starts = ends - sizes
+            log_counts = np.where(codes >= 0, vocabulary.log_count[codes], 0) if len(vocabulary.words) else np.zeros(len(codes))
+            known = np.add.reduceat(codes >= 0, starts, dtype=np.int64)
+            rare_ends = np.cumsum(sizes - known)
+            documents = np.split(numbers, ends[:-1])
             model_part = np.zeros(len(documents))
             for group in in_groups(documents):
                 model_part[group] = score_documents(model, [documents[i] for i in group])
             return {
-                "id": ids,
+                "id": column_lists(batch, "id")[0],
                 "n_tokens": sizes,
                 "n_known": known,
-                "base_score": base,
-                "score": np.array(score) + model_part / natural,
-                "rare": rare,
+                "base_score": np.add.reduceat(log_counts, starts) - sizes * log_total,
+                "score": np.add.reduceat(within, starts) + model_part / natural,
+                "rare": [rare[low:high] for low, high in zip(rare_ends - (sizes - known), rare_ends, strict=True)],
             }
 
         return work
@@ -283,7 +297,8 @@ def score_texts(
     schema = (
         "id long, n_tokens long, n_known long, base_score double, score double, rare array<binary>"
     )
-    scored = per_batch(taken, start, schema).withColumn("row", F.monotonically_increasing_id())
+    # Long documents share their steps with more lanes in large batches.
+    scored = per_batch(taken, start, schema, rows=10_000, size=16 << 20).withColumn("row", F.monotonically_increasing_id())
     scored = stored(scored, "scored")
     # Words rarer than those each task holds: their counts, or none.
     rare = scored.select("row", F.explode("rare").alias("word"))

@@ -2,6 +2,7 @@ import collections
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,34 @@ def test_words_outside_the_core_are_seen_and_predicted(spark, monkeypatch):
     ordered = [" ".join(f"v{(a + k) % 40}" for k in range(30)) for a in rng.integers(0, 40, 200)]
     got = lm.score_texts(frame(spark, list(enumerate(ordered))), F.lit(True)).collect()
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
+
+
+def test_words_of_many_texts_at_once():
+    rng = np.random.default_rng(5)
+    texts = [t for _, t in edge_rows()] + [" A b\t\n", "x\x0b\x0cY\x1cz\x85 É q ", "\n\n"]
+    texts += ["".join(rng.choice(list("aB \t\n\v\f\r\x1c\xa0é"), rng.integers(0, 30))) for _ in range(500)]
+    found, sizes = lm.words_in(pa.array(texts, pa.string()).slice(2))
+    want = [words(t) for t in texts[2:]]
+    assert sizes.tolist() == list(map(len, want))
+    assert [w.decode() for w in found.to_pylist()] == [w for listed in want for w in listed]
+
+
+def test_a_long_document_does_not_make_small_windows(model, monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 9, n) for n in [30_000] + [40] * 3_000]
+    sizes, score = [], Gru.log_likelihood
+    monkeypatch.setattr(Gru, "log_likelihood", lambda self, s, t: sizes.append(t.size) or score(self, s, t))
+    found = score_documents(model, docs)
+    assert min(sizes[:-1]) >= 8_000
+    monkeypatch.undo()
+    assert found[:3] == pytest.approx([score_documents(model, [d])[0] for d in docs[:3]], rel=1e-5)
+
+
+def test_large_logits_do_not_overflow(model):
+    docs = documents()
+    before = score_documents(model, docs)
+    model.w["bo"] += 200  # the same of all tokens, so nothing changes
+    model.w["bc"] += 200
+    model.see_weights()
+    assert not model.mild
+    assert score_documents(model, docs) == pytest.approx(before, rel=1e-5)
