@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carestar.operators import intervals
 from carestar.operators.upsert import one_time
-from carestar.plans import facts, staging
+from carestar.plans import daily, facts, staging
 from carestar.schemas import ENTITIES
 from carestar.session import written
 from carestar.sources.landing import LandingZone, load_entity, stamped
@@ -106,6 +106,18 @@ def test_islands_aggregate_once(spark):
     assert plan(found).count("Aggregate(") == 2 and plan(found).count("Sort [") == 1
 
 
+def test_encounters_move_once_to_their_daily_counts(spark):
+    rows = spark.createDataFrame(
+        [(i % 3, 20200125, i % 2, 1, "wellness", 1, 1, 0, 1) for i in range(12)],
+        "patient_key long, encounter_date_key int, organization_key long, payer_key long, encounter_class string, "
+        "base_cost int, total_claim_cost int, payer_coverage int, out_of_pocket int",
+    )
+    found = daily.fact_encounter_daily(rows, dt.date(2020, 1, 1), dt.date(2020, 1, 31), NOW)
+    assert plan(found).count("Exchange hashpartitioning") == 1
+    counted = found.select("organization_key", "encounter_count", "unique_patient_count", "total_base_cost").collect()
+    assert sorted(map(tuple, counted)) == [(0, 6, 3, 6), (1, 6, 3, 6)]
+
+
 def names_below(spark, path):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return [r[0].rsplit("/", 1)[1] for r in files.select("path").collect()]
