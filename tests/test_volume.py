@@ -1,6 +1,7 @@
 """How much the shared steps move and write: each source row once where once is enough."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +119,14 @@ def test_encounters_move_once_to_their_daily_counts(spark):
     assert sorted(map(tuple, counted)) == [(0, 6, 3, 6), (1, 6, 3, 6)]
 
 
+def test_tables_are_landed_a_few_at_a_time(spark, given, monkeypatch):
+    together = threading.Barrier(2, timeout=30)
+    monkeypatch.setattr(LandingZone, "append", lambda *_: together.wait())
+    monkeypatch.setattr(staging, "transform_all", lambda *_, **__: {})
+    queries._staged_store(spark, given, "test")
+    assert not together.broken
+
+
 def names_below(spark, path):
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return [r[0].rsplit("/", 1)[1] for r in files.select("path").collect()]
