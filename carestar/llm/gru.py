@@ -44,6 +44,8 @@ def make_lexicon(mass: np.ndarray, rest_mass: float, classes: int) -> Lexicon:
 
 # Tokens of a document that a lane learns from in a row.
 PART = 512
+# Rows of a run from which on its sum is a product of its own.
+LONG_RUN = 8
 NAMES = ("table", "u", "wc", "bc", "wo", "bo")
 
 
@@ -101,8 +103,24 @@ def _gate(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def sums_of_runs(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of each run of ``rows``; runs begin at the places ``first``. Short runs are summed
+    together, one row of each at a time."""
+    sizes = np.diff(first, append=len(rows))
+    out, ones = rows.take(first, axis=0), np.ones(sizes.max(initial=0), rows.dtype)
+    for run in np.flatnonzero(sizes > LONG_RUN).tolist():
+        low, n = first[run], sizes[run]
+        out[run] = ones[:n] @ rows[low : low + n]
+    left = np.flatnonzero((sizes > 1) & (sizes <= LONG_RUN))
+    for place in range(1, LONG_RUN):
+        left = left[sizes[left] > place]
+        out[left] += rows.take(first[left] + place, axis=0)
+    return out
+
+
 class Gru:
-    # Below this bound no logit's exponential leaves the range of a 32-bit float.
+    # Below this bound no logit's exponential, nor a sum of them over a bias's, leaves the range of
+    # a 32-bit float.
     MILD = 60.0
 
     def __init__(self, lexicon: Lexicon, weights: dict[str, np.ndarray]):
@@ -120,7 +138,7 @@ class Gru:
         """Notes whether any state can give a large logit; states are within -1 and 1."""
         w = self.w
         most = [np.abs(w["wc"]).sum(axis=0).max(initial=0), np.abs(w["wo"]).sum(axis=1).max(initial=0)]
-        most = max(most) + max(np.abs(w[k]).max(initial=0) for k in ("bc", "bo"))
+        most = max(most) + 2 * max(np.abs(w[k]).max(initial=0) for k in ("bc", "bo"))
         self.mild = bool(most < self.MILD)
 
     def run(self, inputs, starts, state, keep=False):
@@ -128,7 +146,7 @@ class Gru:
         what the way back needs. Within, lanes are the last axis, so that every step is work on
         whole rows."""
         h, ut = self.hidden, np.ascontiguousarray(self.w["u"].T)
-        x = np.ascontiguousarray(self.w["table"][inputs].transpose(0, 2, 1))
+        x = np.ascontiguousarray(self.w["table"].take(inputs, axis=0).transpose(0, 2, 1))
         steps, lanes = inputs.shape
         states = np.empty((steps, h, lanes), x.dtype)
         ns, q = np.empty_like(states), np.empty((3 * h, lanes), x.dtype)
@@ -161,21 +179,25 @@ class Gru:
         return at[order], ys, self.class_of[ys]
 
     def _exponentials(self, hs, wo, bo, picked):
-        """The exponentials of each row's logits, less their maximum where that may be large; their
-        sums, the picked logits less the same, and the places of those. They are held in one
-        place, until the next are asked for."""
+        """The exponentials of each row's logits, without the biases' factor, which is given too;
+        their sums with it, the picked logits, and the places of those. Where logits may be large,
+        they have their biases and are less their maximum, and the factor is one. They are held in
+        one place, until the next are asked for."""
         if len(self.room) < len(hs) * len(wo):
             self.room = np.empty(len(hs) * len(wo), self.room.dtype)
         logits = np.matmul(hs, wo.T, out=self.room[: len(hs) * len(wo)].reshape(len(hs), len(wo)))
-        logits += bo
-        if not self.mild:
-            logits -= logits.max(axis=1, keepdims=True)
         rows, width = logits.shape
         places = np.arange(0, rows * width, width)
         places += picked
-        own = logits.ravel()[places]
+        if self.mild:
+            # One pass less over all logits.
+            factor, own = np.exp(bo), logits.ravel().take(places) + bo.take(picked)
+        else:
+            logits += bo
+            logits -= logits.max(axis=1, keepdims=True)
+            factor, own = np.ones(width, logits.dtype), logits.ravel().take(places)
         np.exp(logits, out=logits)
-        return logits, logits @ np.ones(width, logits.dtype), own, places
+        return logits, factor, logits @ factor, own, places
 
     def _softmaxes(self, cls, ys, w):
         """(rows, weights, biases, what is picked) of the softmax over classes, and of those within
@@ -193,9 +215,9 @@ class Gru:
         """Natural log probability of each target (0 where there is none)."""
         out = np.zeros(targets.size)
         at, ys, cls = self._in_order(targets)
-        hs, value = states.reshape(-1, self.hidden)[at], np.zeros(len(at))
+        hs, value = states.reshape(-1, self.hidden).take(at, axis=0), np.zeros(len(at))
         for rows, wo, bo, picked in self._softmaxes(cls, ys, self.w):
-            _, sums, own, _ = self._exponentials(hs[rows], wo, bo, picked)
+            _, _, sums, own, _ = self._exponentials(hs[rows], wo, bo, picked)
             value[rows] += own - np.log(sums)
         out[at] = value
         return out.reshape(targets.shape)
@@ -211,18 +233,20 @@ class Gru:
         grads["table"] = self.d_table
         at, ys, cls = self._in_order(targets)
         scale = states.dtype.type(1 / max(1, len(at)))
-        hs = states.reshape(-1, h)[at]
+        hs = states.reshape(-1, h).take(at, axis=0)
         back, loss = np.zeros_like(hs), 0.0
         into = self._softmaxes(cls, ys, grads)
         for (rows, wo, bo, picked), (_, d_w, d_b, _) in zip(self._softmaxes(cls, ys, w), into, strict=True):
             inner = hs[rows]
-            e, sums, own, places = self._exponentials(inner, wo, bo, picked)
+            e, factor, sums, own, places = self._exponentials(inner, wo, bo, picked)
             loss += np.log(sums).sum() - own.sum()
-            # Times its row's share, e is then what the loss gains by each logit.
-            e.ravel()[places] -= sums
+            # Times its row's share and the factor, e is then what the loss gains by each logit.
+            e.ravel()[places] -= sums / factor.take(picked)
             share = scale / sums
-            d_w[:], d_b[:] = e.T @ (inner * share[:, None]), share @ e
-            part = e @ wo
+            np.matmul(e.T, inner * share[:, None], out=d_w)
+            d_w *= factor[:, None]
+            np.multiply(share @ e, factor, out=d_b)
+            part = e @ (wo * factor[:, None])
             part *= share[:, None]
             back[rows] += part
         steps, lanes = inputs.shape
@@ -251,7 +275,7 @@ class Gru:
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         self.inputs_met = ids[order][first]
         d_inputs = np.ascontiguousarray(dq.transpose(0, 2, 1)).reshape(-1, 3 * h)
-        grads["table"][self.inputs_met] = np.add.reduceat(d_inputs[order], first, axis=0)
+        grads["table"][self.inputs_met] = sums_of_runs(d_inputs.take(order, axis=0), first)
         return loss * scale, grads, after
 
 
@@ -267,14 +291,14 @@ class Trainer:
     def _update(self, grads):
         self.updates += 1
         met = self.model.inputs_met
-        grads = {**grads, "table": grads["table"][met]}
+        grads = {**grads, "table": grads["table"].take(met, axis=0)}
         norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         shrink = np.float32(min(1.0, 1.0 / max(norm, 1e-12)))
         fix = np.sqrt(1 - 0.99**self.updates) / (1 - 0.9**self.updates)
         rate = np.float32(self.rate * fix / (1 + self.updates / 400))
         for k, g in grads.items():
             rows = met if k == "table" else slice(None)
-            m, v = (x[rows] for x in self.moments[k])
+            m, v = (x.take(met, axis=0) if k == "table" else x for x in self.moments[k])
             # m += 0.1 (g - m), v += 0.01 (g g - v), w -= rate m / (sqrt(v) + 1e-6)
             g *= shrink * np.float32(0.1)
             m *= np.float32(0.9)

@@ -52,7 +52,8 @@ def count_words(texts: DataFrame) -> DataFrame:
 
         return work
 
-    counted = per_batch(texts, start, "word binary, n long", rows=10_000)
+    # In large batches a word comes less often to Spark, with a count for each.
+    counted = per_batch(texts, start, "word binary, n long", rows=10_000, size=16 << 20)
     return counted.groupBy("word").agg(F.sum("n").alias("c"))
 
 

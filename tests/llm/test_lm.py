@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carestar.llm import lm
-from carestar.llm.gru import NAMES, Gru, Trainer, first_weights, inputs_of, lanes_of, make_lexicon, score_documents
+from carestar.llm.gru import NAMES, Gru, Trainer, first_weights, inputs_of, lanes_of, make_lexicon, score_documents, sums_of_runs
 from tests.llm.cases import edge_rows, empty, frame, prose
 
 
@@ -208,6 +208,40 @@ def test_a_long_document_does_not_make_small_windows(model, monkeypatch):
     assert found[:3] == pytest.approx([score_documents(model, [d])[0] for d in docs[:3]], rel=1e-5)
 
 
+def test_sums_of_runs_of_any_length():
+    rng = np.random.default_rng(3)
+    for sizes in ([1], [1, 2, 3], [40, 1, 8, 9, 2, 1, 7], [100]):
+        rows = rng.standard_normal((sum(sizes), 5))
+        first = np.cumsum([0, *sizes[:-1]])
+        assert sums_of_runs(rows, first) == pytest.approx(np.add.reduceat(rows, first, axis=0))
+
+
+@pytest.mark.parametrize("spread", [0, 12])
+def test_biases_left_out_of_the_logits_change_nothing(model, monkeypatch, spread):
+    docs = documents()
+    targets, starts, _ = lanes_of(docs, 3)
+    for k in ("bo", "bc"):
+        model.w[k] += np.linspace(-spread, spread, len(model.w[k]))
+    inputs, state = inputs_of(targets, starts, model.lexicon), np.zeros((targets.shape[1], 4))
+    found = []
+    for bound in (Gru.MILD, 0.0):
+        monkeypatch.setattr(Gru, "MILD", bound)
+        model.see_weights()
+        assert model.mild == (bound > 0)
+        loss, grads, _ = model.gradients(inputs, starts, targets, state)
+        found.append((loss, score_documents(model, docs), [grads[k].copy() for k in NAMES]))
+    (loss, scores, grads), (same_loss, same_scores, same_grads) = found
+    assert loss == pytest.approx(same_loss, rel=1e-5) and scores == pytest.approx(same_scores, rel=1e-5)
+    for ours, theirs in zip(grads, same_grads, strict=True):
+        assert ours == pytest.approx(theirs, rel=1e-4, abs=1e-6)
+
+
+def test_biases_that_no_exponential_can_be_divided_by_are_not_mild(model):
+    model.w["bo"] -= 40.0
+    model.see_weights()
+    assert not model.mild
+
+
 def test_large_logits_do_not_overflow(model):
     docs = documents()
     before = score_documents(model, docs)
