@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from carestar.session import scratch_dir
@@ -26,6 +26,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_and_any(df: DataFrame, purpose: str, condition: Column | None = None) -> tuple[DataFrame, bool]:
+    """The rows as ``stored``, and whether there are any (for which the condition holds). That is
+    seen as they are written, so asking for it costs the driver no further job."""
+    seen = Observation()
+    held = F.lit(True) if condition is None else condition
+    rows = stored(df.observe(seen, F.coalesce(F.bool_or(held), F.lit(False)).alias("any")), purpose)
+    return rows, bool(seen.get["any"])
+
+
 def column_lists(batch: pa.RecordBatch, *names: str) -> tuple[list, ...]:
     return tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
 
@@ -94,8 +103,7 @@ def per_batch(
                 yield pa.RecordBatch.from_arrays(columns, schema=out)
         # Workers are used again, by other stages too: what this task held goes back first.
         work = made = columns = whole = part = None
-        pa.default_memory_pool().release_unused()
-        _give_back()
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -112,14 +120,14 @@ def per_text(text: Column, work: Callable[[list], list], kind: str, rows: int =
             yield pa.concat_arrays([pa.array([], out), *(pa.array(work(p.column(0).to_pylist()), out) for p in parts)])
         # As in ``per_batch``: the worker is used again.
         whole = parts = None
-        pa.default_memory_pool().release_unused()
-        _give_back()
+        give_back()
 
     return run(text)
 
 
-def _give_back() -> None:
-    """Has the C library return its free memory to the system, where it can."""
+def give_back() -> None:
+    """Returns free memory of Arrow, and of the C library where it can, to the system."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

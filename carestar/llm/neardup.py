@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, flag_likely, free_names, likely_in, per_batch, stored
+from carestar.llm.common import column_lists, flag_likely, free_names, likely_in, per_batch, stored, stored_and_any
 from carestar.llm.components import components
 from carestar.llm.dartminhash import DartSignature, WordHashes, shingles
 
@@ -149,14 +149,14 @@ def _links(buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     parts, members of its largest component are joined already; the others are dealt into parts
     of their own, each of which is compared with every part of that leader's members.
     """
-    facing = stored(_facing(buckets), "facing")
+    facing, several = stored_and_any(_facing(buckets), "facing", F.col("parts") > 1)
     with_leader = facing.select("leader", "part", F.col("leader").alias("node")).distinct()
     first = facing.select("leader", "part", "node").where("node <> leader").unionAll(with_leader)
     links = stored(compared(first.select(_block("leader", "part").alias("block"), "node"), texts, similarity), "links")
-    large = facing.where("parts > 1")
-    if large.isEmpty():
+    if not several:
         return links
-    placed = large.join(components(links), "node", "left")
+    labels = components(links)
+    placed = facing.where("parts > 1").join(labels, "node", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "node")), "placed")
     inside = placed.groupBy("leader", "component").agg(F.count(F.lit(1)).alias("n"))
     most = inside.groupBy("leader").agg(
@@ -170,7 +170,9 @@ def _links(buckets: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     cuts = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut")
     rows = others.select("leader", "cut", "node", parts).unionByName(placed.select("leader", "part", "node", cuts))
     rows = rows.select(_block("leader", "cut", "part").alias("block"), "node").distinct()
-    return links.unionAll(stored(compared(rows, texts, similarity), "links"))
+    # The labels join what the links so far join, with fewer rounds to the component.
+    joined = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return joined.unionAll(stored(compared(rows, texts, similarity), "links"))
 
 
 def near_duplicates(
@@ -220,9 +222,9 @@ def _classed(docs, similarity, bands, rows, id_column, text_column) -> DataFrame
     shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(shared, "shared")
     likely = likely_in(members, F.col("key"), shared, F.col("key"))
-    buckets = stored(likely.join(shared, "key"), "buckets")
+    buckets, any_shared = stored_and_any(likely.join(shared, "key"), "buckets")
     labels = None
-    if not buckets.isEmpty():
+    if any_shared:
         labels = components(_links(buckets, _texts_of(taken, nodes, buckets), similarity))
     placed = nodes.select("node", "rep", "copies")
     if labels is None:
@@ -242,7 +244,7 @@ def _texts_of(taken: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFra
     """(node, text) for the nodes that share a bucket, read from the row of each one's
     smallest id; rows that repeat that id are told apart by their words."""
     wanted = nodes.join(buckets.select("node").distinct(), "node").select("node", "rep", "rep_rows")
-    wanted = stored(wanted, "wanted")
+    wanted, any_often = stored_and_any(wanted, "wanted", F.col("rep_rows").isNull() | (F.col("rep_rows") > 1))
 
     @F.arrow_udf("binary")
     def node_of(texts: pa.Array) -> pa.Array:
@@ -254,8 +256,8 @@ def _texts_of(taken: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFra
         return found.where(node_of("text") == F.col("node"))
 
     found = read(wanted.where("rep_rows = 1"))
-    often = wanted.where("rep_rows is null or rep_rows > 1")
-    if not often.isEmpty():
+    if any_often:
+        often = wanted.where("rep_rows is null or rep_rows > 1")
         found = found.unionAll(read(often).groupBy("node").agg(F.min("text").alias("text")))
     return stored(found, "texts")
 
@@ -285,7 +287,7 @@ def one_of_each(
     gone = gone.select(F.col("id").alias(of_id), F.col("mark").alias(of_mark), F.lit(False).alias(stays))
     repeats = firsts.where("first_rows > 1").select(of_id, of_mark, F.lit(True).alias(stays))
     # Rows that go, and rows of which one stays: few. All others stay without a look-up.
-    doubtful = stored(gone.unionAll(repeats), "doubtful")
+    doubtful, any_repeated = stored_and_any(gone.unionAll(repeats), "doubtful", F.col(stays))
     of, text = F.col(f"`{id_column}`").cast("long"), F.col(f"`{text_column}`")
     flagged = flag_likely(docs, F.struct(of, F.xxhash64(text)), doubtful, F.struct(of_id, of_mark), likely)
     columns = [F.col(f"`{c}`") for c in docs.columns]
@@ -293,8 +295,7 @@ def one_of_each(
     maybe = flagged.where(F.col(likely)).select(*columns)
     same = of.eqNullSafe(F.col(of_id)) & (F.xxhash64(text) == F.col(of_mark))
     kept = sure.unionAll(maybe.join(doubtful, same, "left_anti"))
-    repeated = doubtful.where(F.col(stays))
-    if repeated.isEmpty():
+    if not any_repeated:
         return kept
-    often = maybe.join(repeated, same, "left_semi")
+    often = maybe.join(doubtful.where(F.col(stays)), same, "left_semi")
     return kept.unionAll(often.dropDuplicates([id_column, text_column]))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carestar.llm.common import column_lists, per_batch, salted_rank, stored
+from carestar.llm.common import column_lists, give_back, per_batch, salted_rank, stored
 from carestar.llm.wordbpe import Encoder, whole_tokens
 
 STEP = 16
@@ -173,6 +173,7 @@ def pack(
             taken[k] += m * times
             slot += m
         sequences += times
+    give_back()
     schema = "__class long, __low long, __high long, __first long, __each long, __slot long"
     spans = F.broadcast(spark.createDataFrame(spans, schema))
     ranked = salted_rank(

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 import struct
 
-from carestar.llm.common import Remembered
+from carestar.llm.common import Remembered, give_back
 
 # Words of these characters alone are lower-cased and split here; all others go through the
 # library. Latin letters with accents in one code point are in normal form already.
@@ -52,8 +52,16 @@ def whole_tokens(path: str) -> dict[str, int]:
             continue
         if _PLAIN.fullmatch(text) and _PIECE.findall(text) == [text]:
             listed.append((text, number))
-    encoded = tokenizer.encode_batch([text for text, _ in listed], add_special_tokens=False)
-    return {text: n for (text, n), e in zip(listed, encoded, strict=True) if e.ids == [n]}
+    found = {}
+    # Encodings are far larger than their ids, so few are held at a time, and the rest goes back:
+    # the driver runs on long after this.
+    for low in range(0, len(listed), 1_000):
+        part = listed[low : low + 1_000]
+        encoded = tokenizer.encode_batch([text for text, _ in part], add_special_tokens=False)
+        found.update((text, n) for (text, n), e in zip(part, encoded, strict=True) if e.ids == [n])
+    tokenizer = values = listed = part = encoded = None
+    give_back()
+    return found
 
 
 class Encoder:

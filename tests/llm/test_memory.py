@@ -1,8 +1,13 @@
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from carestar.llm.common import Remembered, per_text, slices
+from carestar.llm import wordbpe
+from carestar.llm.common import Remembered, per_text, slices, stored, stored_and_any
+from carestar.llm.components import components
+from carestar.llm.queries import VOCABULARY
 
 
 def test_slices_hold_few_rows_and_bytes_and_every_row():
@@ -61,3 +66,66 @@ def test_stages_hand_over_small_batches_unless_the_session_says_otherwise(spark)
         assert spark.conf.get(size) == "7777777"
     finally:
         spark.conf.unset(size) if held is None else spark.conf.set(size, held)
+
+
+def _jobs(spark, work):
+    """What ``work`` returns, and how many jobs it ran."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        made = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return made, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_rows_are_seen_as_they_are_written(spark):
+    """Whether stored rows are any, or any of a kind, costs no job beside the one that writes them."""
+    rows = spark.createDataFrame([(1, None), (2, 5)], "a long, b long").coalesce(1)
+    for df, condition, want in [
+        (rows, None, True),
+        (rows.where("a > 2"), None, False),
+        (rows.limit(0), None, False),
+        (rows, F.col("b") > 4, True),
+        (rows, F.col("b") > 5, False),
+        (rows.where("a = 1"), F.col("b") > 4, False),
+    ]:
+        (held, found), jobs = _jobs(spark, lambda df=df, c=condition: stored_and_any(df, "seen", c))
+        assert found is want and jobs <= _jobs(spark, lambda df=df: stored(df, "seen"))[1]
+        assert sorted(held.collect()) == sorted(df.collect()) and held.schema == df.schema
+
+
+def test_a_round_of_components_is_few_jobs(spark):
+    """The driver runs two jobs for the steps of a round and three for its edges, and reads the
+    labels once, at the end."""
+    pair = spark.createDataFrame([(100, 101), (7, 7)], "a long, b long")
+    plain, many = _jobs(spark, lambda: components(pair).collect())
+    assert sorted(map(tuple, plain)) == [(100, 100), (101, 100)]
+    star = spark.createDataFrame([(0, i) for i in range(1, 9)] + [(i, i + 10) for i in range(1, 9)], "a long, b long")
+    found, jobs = _jobs(spark, lambda: components(star).collect())
+    assert sorted(map(tuple, found)) == [(i, 0) for i in [*range(9), *range(11, 19)]]
+    assert jobs <= 14, jobs
+    assert many <= 7, many
+
+
+def test_the_driver_encodes_few_vocabulary_strings_at_a_time(monkeypatch):
+    """Encodings of all strings at once stayed in the driver's memory as long as it ran."""
+    sizes, given = [], wordbpe.open_tokenizer
+
+    class Watched:
+        def __init__(self, path):
+            self.tokenizer = given(path)
+
+        def encode_batch(self, texts, **options):
+            sizes.append(len(texts))
+            return self.tokenizer.encode_batch(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+    monkeypatch.setattr(wordbpe, "open_tokenizer", Watched)
+    whole = wordbpe.whole_tokens(VOCABULARY)
+    assert max(sizes) <= 1_000 < len(whole) <= sum(sizes)
+    tokenizer = given(VOCABULARY)
+    for text in sorted(whole)[::997]:
+        assert tokenizer.encode(text, add_special_tokens=False).ids == [whole[text]]
