@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carestar.operators.surrogate import unique_ids
-from carestar.session import COMPRESSION
+from carestar.session import COMPRESSION, tidied
 from carestar.sources.literal import no_rows
 
 _LOAD = "load"
@@ -323,7 +323,8 @@ class TableStore:
         refused = F.count_if(F.lit(False) if keep is None else ~keep)
         counted = sized.observe(seen, count.alias("rows"), top.alias("top"), refused.alias("refused"))
         writer = (counted if keep is None else counted.where(keep)).write.options(**COMPRESSION)
-        writer.partitionBy(*partitions).parquet(path) if partitions else writer.parquet(path)
+        with tidied(df.sparkSession):
+            writer.partitionBy(*partitions).parquet(path) if partitions else writer.parquet(path)
         parts = [load]
         for _ in partitions:
             folders = [(part, self._list(f"{self._folder(table)}/{part}")) for part in parts]

@@ -2,15 +2,17 @@
 
 import datetime as dt
 import threading
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from carestar.operators import intervals
 from carestar.operators.upsert import one_time
-from carestar.plans import daily, facts, staging
+from carestar.plans import daily, dims, facts, staging
 from carestar.schemas import ENTITIES
-from carestar.session import written
+from carestar.session import tidied, written
 from carestar.sources.landing import LandingZone, load_entity, stamped
 from registry import entities, queries
 
@@ -163,3 +165,76 @@ def test_source_rows_that_are_read_again_are_kept(spark, given, query, monkeypat
     monkeypatch.setattr(queries, "stored", lambda df, purpose: kept.append(purpose) or stored(df, purpose))
     assert query(spark, given).count() > 0
     assert len(asked) == 1 and len(kept) in (1, len(ENTITIES))
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {path for folder in folders for path in Path(folder).rglob("shuffle_*")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, folder, store):
+    before = shuffle_files(spark)
+    rows = spark.range(1000).selectExpr("id % 7 AS n", "202001 AS month").groupBy("n", "month").count()
+    assert rows.collect() and shuffle_files(spark) - before
+    for write in (
+        lambda: written(rows, "numbers"),
+        lambda: store.replace("numbers", rows),
+        lambda: store.replace_keys("monthly", rows.selectExpr("n", "month * 100 + 1 AS d"), "d", 20200101, 20200131),
+        lambda: LandingZone(spark, folder).append(MEDICATIONS, landed(spark, [("P1", "E1", "1")]).repartition(3)),
+    ):
+        held = shuffle_files(spark)
+        write()
+        until = time.monotonic() + 20
+        while shuffle_files(spark) - held and time.monotonic() < until:
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - held
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_the_last_writer_gives_the_setting_back(spark):
+    inside, leave = threading.Event(), threading.Event()
+
+    def stay():
+        with tidied(spark):
+            inside.set()
+            leave.wait(30)
+
+    other = threading.Thread(target=stay)
+    with tidied(spark):
+        other.start()
+        assert inside.wait(30)
+    assert spark.conf.get(CLEANUP) == "true"
+    leave.set()
+    other.join()
+    assert spark.conf.get(CLEANUP) == "false"
+    with pytest.raises(ZeroDivisionError), tidied(spark):
+        1 / 0
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_prescriptions_are_off_the_shuffles_before_their_lookups(spark, given):
+    _, found = queries._medication_fact(spark, given)
+    tree = found._jdf.queryExecution().optimizedPlan().toString()
+    # Of the sources nothing is left to do, and the sums are as narrow as the table's columns.
+    assert "sum(" not in tree and "ENCOUNTER#" not in tree and "decimal(28,2)" not in tree
+    rows = found.collect()
+    source = facts.medication_source(
+        queries.cleaned(spark, given, "medications"), queries.cleaned(spark, given, "encounters"), *queries.WHOLE
+    ).collect()
+    # Every order's customer but one is a patient; a prescription is a row of patient, day and code.
+    assert len(rows) == len(source) > 0
+    for name in ("base_cost", "payer_coverage", "dispense_count"):
+        assert sum(r[name] for r in rows) == sum(r[name] for r in source)
+    assert all(r.out_of_pocket == r.base_cost - r.payer_coverage for r in rows)
+
+
+def test_patients_are_looked_up_last(spark, given, monkeypatch):
+    asked, real = [], facts._with_dimension
+    monkeypatch.setattr(facts, "_with_dimension", lambda rows, dim, *a: asked.append(dim.table) or real(rows, dim, *a))
+    _, rows = queries._encounter_fact(spark, given)
+    assert set(asked) == {dim.table for dim in queries._ALL_DIMS} and asked[-1] == dims.PATIENT.table
+    # Orders of customer 3 have no patient.
+    assert rows.count() == 6
