@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from carestar.operators.lookup import timeline
 from carestar.plans import control, daily, dims, facts
 from carestar.plans.staging import months_left
 from carestar.schemas import ENTITIES, WAREHOUSE
-from carestar.session import written
+from carestar.session import forgotten, written
 from carestar.sources.landing import LandingZone, run_extract, utc_now
 from carestar.sources.literal import no_rows
 from carestar.sources.store import TableStore
@@ -203,11 +204,14 @@ def with_timelines(store: TableStore, warehouse: dict[str, DataFrame], parallel:
 def load_facts(store: TableStore, first, last, now, options: Options) -> dict[str, int]:
     warehouse = with_timelines(store, read_dims(store), options.parallel)
     low, high = key_of(first), key_of(last)
+    scratch: list[str] = []
     # Conditions and medications look up encounters of any month by id.
     builders: dict[str, tuple[Callable[..., DataFrame], str, str]] = {
         "fact_encounter": (facts.fact_encounter, "encounters", "encounter_date_key"),
         "fact_condition": (facts.fact_condition, "conditions", "start_date_key"),
-        "fact_medications": (facts.fact_medications, "medications", "start_date_key"),
+        "fact_medications": (
+            partial(facts.fact_medications, aside=scratch), "medications", "start_date_key"
+        ),
     }
 
     dropped: dict[str, int] = {}
@@ -230,7 +234,9 @@ def load_facts(store: TableStore, first, last, now, options: Options) -> dict[st
                 dropped[aside] = count
         return n
 
-    return _together(load, builders, options.parallel) | dropped
+    loaded = _together(load, builders, options.parallel) | dropped
+    forgotten(store.spark, scratch)
+    return loaded
 
 
 def drop_moved_encounters(store: TableStore, first: dt.date, last: dt.date) -> list[int]:

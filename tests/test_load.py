@@ -1,10 +1,11 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from carestar.operators.calendar import InvalidRange
-from carestar.plans import audit, control, load, staging
+from carestar.plans import audit, control, facts, load, staging
 from carestar.schemas import ENTITIES, WAREHOUSE
 from carestar.sources.landing import LandingZone, stamped
 from carestar.sources.store import TableMissing
@@ -453,3 +454,17 @@ def test_a_moved_encounter_is_one_fact(spark, zone, staged, monkeypatch):
     assert sorted(map(tuple, daily.collect())) == [
         (20200105, 1), (20200120, 1), (20200302, 1), (20200315, 1),
     ]
+
+
+def test_a_load_leaves_no_prescriptions_aside(staged, spark, monkeypatch):
+    made, real = [], facts.written
+
+    def seen(df, purpose, paths):
+        rows = real(df, purpose, paths)
+        made.append((paths[-1], rows.count()))
+        return rows
+
+    monkeypatch.setattr(facts, "written", seen)
+    counts = run(staged, "one")
+    assert [n for _, n in made] == [counts["fact_medications"]] and counts["fact_medications"] > 0
+    assert not Path(made[0][0].removeprefix("file:")).exists()
